@@ -64,16 +64,20 @@ def expand_recent_days(
     return inside.withColumn("recent_days", F.explode(F.array_compact(F.array(*tags))))
 
 
+# Ratios are taken in decimals: a double quotient can miss an exact half, and the
+# rounding then loses a cent. Four decimals hold money and counts alike.
+_RATIO = T.DecimalType(24, 4)
+
+
 def divide(numerator: Column, denominator: Column, scale: int = 2) -> Column:
-    """numerator / denominator as a rounded double; NULL when the base is 0 or NULL."""
-    quotient = F.try_divide(numerator.cast("double"), denominator.cast("double"))
-    return F.round(quotient, scale)
+    """numerator / denominator rounded half up; NULL when the base is 0 or NULL."""
+    quotient = F.try_divide(numerator.cast(_RATIO), denominator.cast(_RATIO))
+    return F.round(quotient, scale).cast("double")
 
 
 def pct(numerator: Column, denominator: Column) -> Column:
     """Percentage with two decimals; NULL when the base is 0 or NULL."""
-    quotient = F.try_divide(numerator.cast("double") * 100, denominator.cast("double"))
-    return F.round(quotient, 2)
+    return divide(numerator * 100, denominator)
 
 
 def growth(current: Column, base: Column) -> Column:
