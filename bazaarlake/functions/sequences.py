@@ -15,77 +15,59 @@ from pyspark.sql import functions as F
 
 
 def with_position(
-    df: DataFrame, user: str, slice_expr: Column, order: Sequence[str], name: str
+    df: DataFrame, user: str, slice_expr: Column, order: Sequence[str], value: str, name: str
 ) -> DataFrame:
     """Number each user's rows 1, 2, … in `order`; slice_expr must not decrease
-    along `order`."""
-    sliced = df.withColumn("__slice", slice_expr)
+    along `order`, `value` must not be NULL."""
     in_slice = Window.partitionBy(user, "__slice").orderBy(*order)
     before = Window.partitionBy(user).orderBy("__slice").rowsBetween(
         Window.unboundedPreceding, -1
     )
+    placed = df.withColumn("__slice", slice_expr).withColumn(
+        "__place", F.row_number().over(in_slice)
+    )
+    # Reads the same columns as the rows, so that both share one scan and shuffle.
+    rows = F.max(F.when(F.col(value).isNotNull(), F.col("__place"))).alias("__rows")
     offsets = (
-        sliced.groupBy(user, "__slice")
-        .agg(F.count(F.lit(1)).alias("__rows"))
+        placed.groupBy(user, "__slice")
+        .agg(rows)
         .select(
-            user,
-            "__slice",
-            F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"),
+            user, "__slice", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before")
         )
     )
-    return (
-        sliced.withColumn("__place", F.row_number().over(in_slice))
-        .join(offsets, [user, "__slice"])
-        .withColumn(name, F.col("__place") + F.col("__before"))
-        .drop("__slice", "__place", "__rows", "__before")
+    return placed.join(offsets, [user, "__slice"], "left").select(
+        *df.columns, (F.col("__place") + F.col("__before")).alias(name)
     )
 
 
 def with_next_two(
     df: DataFrame, user: str, slice_expr: Column, order: Sequence[str], value: str
 ) -> DataFrame:
-    """Add next_1 and next_2, `value` of the user's following two rows in `order`, and
-    has_two, whether both exist; slice_expr must not decrease along `order`."""
-    sliced = df.withColumn("__slice", slice_expr)
+    """Rows that have two followers in the user's `order`, with `value` of both as
+    next_1 and next_2; slice_expr must not decrease along `order`, `value` must not
+    be NULL.
+
+    Rows whose followers are in their own slice are done there. The others are
+    among the last two of their slice, and their followers among the first two of
+    later slices: at most four rows per slice go on to the window over the user.
+    """
     in_slice = Window.partitionBy(user, "__slice").orderBy(*order)
-    placed = (
-        sliced.withColumn("__place", F.row_number().over(in_slice))
-        .withColumn("__next_1", F.lead(value, 1).over(in_slice))
-        .withColumn("__next_2", F.lead(value, 2).over(in_slice))
-        .withColumn(
-            "__left",
-            F.lead(F.lit(1), 1, 0).over(in_slice) + F.lead(F.lit(1), 2, 0).over(in_slice),
-        )
-    )
-    # The first two values of each slice, then of what follows each slice.
-    heads = placed.where(F.col("__place") <= 2).groupBy(user, "__slice").agg(
-        F.max(F.when(F.col("__place") == 1, F.struct(F.col(value).alias("v")))).alias("__h1"),
-        F.max(F.when(F.col("__place") == 2, F.struct(F.col(value).alias("v")))).alias("__h2"),
-    )
-    by_slice = Window.partitionBy(user).orderBy("__slice")
-    following = heads.select(
-        user,
-        "__slice",
-        F.lead("__h1", 1).over(by_slice).alias("__f1"),
-        F.coalesce(F.lead("__h2", 1).over(by_slice), F.lead("__h1", 2).over(by_slice)).alias(
-            "__f2"
-        ),
-    )
-    next_1 = F.when(F.col("__left") >= 1, F.col("__next_1")).otherwise(F.col("__f1.v"))
-    next_2 = (
-        F.when(F.col("__left") >= 2, F.col("__next_2"))
-        .when(F.col("__left") == 1, F.col("__f1.v"))
-        .otherwise(F.col("__f2.v"))
-    )
-    has_1 = (F.col("__left") >= 1) | F.col("__f1").isNotNull()
-    has_2 = (
-        (F.col("__left") >= 2)
-        | ((F.col("__left") == 1) & F.col("__f1").isNotNull())
-        | F.col("__f2").isNotNull()
-    )
-    return placed.join(following, [user, "__slice"]).select(
+    over_user = Window.partitionBy(user).orderBy(*order)
+    placed = df.withColumn("__slice", slice_expr).select(
         *df.columns,
-        next_1.alias("next_1"),
-        next_2.alias("next_2"),
-        (has_1 & has_2).alias("has_two"),
+        F.row_number().over(in_slice).alias("__place"),
+        F.lead(value, 1).over(in_slice).alias("next_1"),
+        F.lead(value, 2).over(in_slice).alias("next_2"),
+    )
+    done = placed.where(F.col("next_2").isNotNull())
+    is_tail = F.col("next_2").isNull()
+    tails = (
+        placed.where((F.col("__place") <= 2) | is_tail)
+        .withColumn("__tail", is_tail)
+        .withColumn("next_1", F.lead(value, 1).over(over_user))
+        .withColumn("next_2", F.lead(value, 2).over(over_user))
+        .where("__tail")
+        .where(F.col("next_2").isNotNull())
     )
+    columns = [*df.columns, "next_1", "next_2"]
+    return done.select(*columns).unionByName(tails.select(*columns))

@@ -30,13 +30,14 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     """line_id, line → the parts of the line and what each cleaning strategy needs."""
     split = lines.withColumn("parts", F.split("line", ",", -1))
     first = F.get("parts", 0)
+    date_ok = first.rlike(DATE_PREFIX)
     repaired = F.coalesce(*[F.try_to_timestamp(first, F.lit(f)) for f in REPAIRABLE_FORMATS])
     return split.select(
         "line_id",
         "line",
         "parts",
-        first.rlike(DATE_PREFIX).alias("date_ok"),
-        F.date_format(repaired, TIME_FORMAT).alias("repaired"),
+        date_ok.alias("date_ok"),
+        F.when(~date_ok, F.date_format(repaired, TIME_FORMAT)).alias("repaired"),
     )
 
 
@@ -232,7 +233,7 @@ def user_paths(events: DataFrame, part_size: int = PATH_PART) -> DataFrame:
     actions continues in the next part, so nothing is cut and no row is unbounded."""
     order = ["event_time", "line_id"]
     placed = with_position(
-        events.select("user", "event_time", "line_id", "action"), "user", _minute(), order, "position"
+        events.select("user", "event_time", "line_id", "action"), "user", _minute(), order, "action", "position"
     )
     steps = F.sort_array(F.collect_list(F.struct("position", "action")))
     return (
@@ -256,7 +257,7 @@ def common_trigrams(events: DataFrame, n: int = 5) -> DataFrame:
         _minute(),
         ["event_time", "line_id"],
         "action",
-    ).where("has_two")
+    )
     path = F.concat_ws(SEPARATOR, "action", "next_1", "next_2")
     counted = followed.groupBy(path.alias("path")).agg(F.count(F.lit(1)).alias("path_count"))
     return counted.orderBy(F.col("path_count").desc(), F.col("path").desc()).limit(n)
