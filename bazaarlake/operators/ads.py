@@ -296,10 +296,11 @@ def ads_user_activity(activity: DataFrame, biz_date: str) -> DataFrame:
     A user counts in a window if the last active day falls in it, so one aggregate
     per user serves all three.
     """
-    last = _recent(activity, biz_date, 30).groupBy("user_id").agg(F.max("date_id").alias("last"))
+    day = F.col("date_id").cast("date")
+    last = _recent(activity, biz_date, 30).groupBy("user_id").agg(F.max(day).alias("last"))
     counted = last.agg(
-        count_if(F.col("last") >= biz_date).alias("dau"),
-        count_if(F.col("last") >= shift(biz_date, -6)).alias("wau"),
+        count_if(F.col("last") >= F.lit(biz_date).cast("date")).alias("dau"),
+        count_if(F.col("last") >= F.lit(shift(biz_date, -6)).cast("date")).alias("wau"),
         F.count("user_id").alias("mau"),
     )
     return counted.select(
@@ -413,7 +414,8 @@ def ads_sku_repurchase_analysis(
     if biz_date is not None:
         lines = _recent(lines, biz_date, days)
     per_order = lines.groupBy("sku_id", "user_id", "order_id").agg(
-        F.min("date_id").alias("day"), money_sum("order_amount").alias("amount")
+        F.min(F.col("date_id").cast("date")).alias("day"),
+        money_sum("order_amount").alias("amount"),
     )
     per_user = per_order.groupBy("sku_id", "user_id").agg(
         F.count(F.lit(1)).alias("orders"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from bazaarlake.functions.common import (
     count_if,
+    date_id,
     divide,
     money_sum,
     pct,
@@ -86,23 +87,26 @@ def dws_user_stats(orders: DataFrame, lines: DataFrame, biz_date: str) -> DataFr
     orders: dwd_order_info rows up to biz_date; lines: their order lines.
     """
     paid = F.col("is_paid") == 1
+    day = F.col("date_id").cast("date")
     history = orders.groupBy("user_id", "user_level").agg(
         F.count("id").alias("order_count"),
         money_sum("total_amount").alias("order_amount"),
         count_if(paid).alias("paid_order_count"),
         sum_if(paid, F.col("total_amount")).alias("paid_amount"),
-        F.min("date_id").alias("first_order_date"),
-        F.max("date_id").alias("last_order_date"),
+        F.min(day).alias("first_day"),
+        F.max(day).alias("last_day"),
     )
     goods = lines.groupBy("user_id").agg(F.count(F.lit(1)).alias("goods_num"))
     return history.join(goods, "user_id", "left").select(
-        "*",
-        F.coalesce("goods_num", F.lit(0)).alias("__goods"),
+        *history.drop("first_day", "last_day").columns,
+        F.coalesce("goods_num", F.lit(0)).alias("goods_num"),
+        date_id("first_day").alias("first_order_date"),
+        date_id("last_day").alias("last_order_date"),
         divide(F.col("order_amount"), F.col("order_count")).alias("avg_order_amount"),
-        F.datediff(F.lit(biz_date).cast("date"), F.col("last_order_date").cast("date"))
+        F.datediff(F.lit(biz_date).cast("date"), F.col("last_day"))
         .cast("bigint")
         .alias("days_since_last_order"),
-    ).withColumn("goods_num", F.col("__goods")).drop("__goods")
+    )
 
 
 def day_period(hour: Column) -> Column:
@@ -243,7 +247,8 @@ def dws_order_month(orders: DataFrame) -> DataFrame:
 
 def first_days(activity: DataFrame) -> DataFrame:
     """user_id, create_date: the first day each user appears."""
-    return activity.groupBy("user_id").agg(F.min("date_id").alias("create_date"))
+    first = activity.groupBy("user_id").agg(F.min(F.col("date_id").cast("date")).alias("first"))
+    return first.select("user_id", date_id("first").alias("create_date"))
 
 
 def dws_user_new_day(activity: DataFrame, users: DataFrame | None = None) -> DataFrame:

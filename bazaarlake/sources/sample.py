@@ -41,9 +41,13 @@ class Sample:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        """The table's scan; its files are listed once per query."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        return self._tables[name]
 
     # Orders -------------------------------------------------------------
 
