@@ -86,16 +86,21 @@ def growth(current: Column, base: Column) -> Column:
 
 
 def money_sum(column: str | Column) -> Column:
-    """Exact decimal sum, 0 for no rows."""
-    column = F.col(column) if isinstance(column, str) else column
+    """Exact decimal sum, 0 for no rows. A column's name or an expression."""
+    if isinstance(column, str):
+        return F.expr(f"coalesce(sum({column}), cast(0 AS decimal(16,2)))")
     return F.coalesce(F.sum(column), F.lit(0).cast(MONEY))
 
 
-def sum_if(condition: Column, value: Column) -> Column:
-    return F.coalesce(F.sum(F.when(condition, value)), F.lit(0).cast(MONEY))
+def sum_if(condition: str | Column, value: str | Column) -> Column:
+    if isinstance(condition, str):
+        return money_sum(f"CASE WHEN {condition} THEN {value} END")
+    return money_sum(F.when(condition, value))
 
 
-def count_if(condition: Column) -> Column:
+def count_if(condition: str | Column) -> Column:
+    if isinstance(condition, str):
+        return F.expr(f"count(CASE WHEN {condition} THEN 1 END)")
     return F.count(F.when(condition, F.lit(1)))
 
 
@@ -124,9 +129,9 @@ def null_text_to_null(df: DataFrame, marker: str = "NULL") -> DataFrame:
 def _normalise(column: str, names: dict[str, str]) -> Column:
     """Accept a code, or a name in any case; everything else is UNKNOWN."""
     lookup = {**names, **{name: name for name in names.values()}}
-    mapping = F.create_map(*[F.lit(x) for pair in lookup.items() for x in pair])
-    key = F.upper(F.trim(F.col(column).cast("string")))
-    return F.coalesce(F.try_element_at(mapping, key), F.lit(UNKNOWN))
+    mapping = ", ".join(f"'{key}', '{name}'" for key, name in lookup.items())
+    key = f"upper(trim(cast({column} AS string)))"
+    return F.expr(f"coalesce(try_element_at(map({mapping}), {key}), '{UNKNOWN}')")
 
 
 def order_status_name(column: str = "order_status") -> Column:

@@ -33,7 +33,6 @@ from bazaarlake.operators.measures import (
     line_measures,
     one_row,
     order_measures,
-    refund_measures,
     with_share,
 )
 
@@ -157,10 +156,8 @@ def ads_sku_sales_rank(
 ) -> DataFrame:
     """(recent_days, sku) with its place by money (`rank`) and by pieces
     (`sales_rank`); equal values are ordered by sku_id."""
-    keys = ["recent_days", "sku_id"]
-    sold = line_measures(lines, ["sku_id"], biz_date)
+    sold = line_measures(lines, ["sku_id"], biz_date, refunds=refunds)
     if refunds is not None:
-        sold = combine([sold, refund_measures(refunds, ["sku_id"], biz_date)], keys)
         sold = sold.where(F.col("order_count") > 0)
     ranked = distributed_row_number(
         sold, ["recent_days"], [F.col("order_amount").desc(), F.col("sku_id").asc()], "rank"
@@ -323,12 +320,10 @@ def ads_category_sale_analysis(lines: DataFrame, refunds: DataFrame, biz_date: s
         for c in ("category1_id", "category1_name", "category2_id", "category2_name")
         if c in lines.columns
     ]
-    keys = ["recent_days", *levels]
-    stats = combine(
-        [line_measures(lines, levels, biz_date), refund_measures(refunds, levels, biz_date)], keys
-    )
+    stats = line_measures(lines, levels, biz_date, refunds=refunds)
     return stats.select(
-        *keys,
+        "recent_days",
+        *levels,
         "order_count",
         F.col("order_num").alias("sale_num"),
         F.col("order_amount").alias("sale_amount"),
@@ -570,10 +565,7 @@ def ads_gmv_category(lines: DataFrame, biz_date: str) -> DataFrame:
 def ads_trademark_stats(lines: DataFrame, refunds: DataFrame, biz_date: str) -> DataFrame:
     """(recent_days, brand): sales, payments, refunds, share and place by money."""
     levels = [c for c in ("tm_id", "tm_name") if c in lines.columns]
-    keys = ["recent_days", *levels]
-    stats = combine(
-        [line_measures(lines, levels, biz_date), refund_measures(refunds, levels, biz_date)], keys
-    )
+    stats = line_measures(lines, levels, biz_date, refunds=refunds)
     return distributed_row_number(
         with_share(stats, "order_amount", "gmv_share"),
         ["recent_days"],

@@ -98,14 +98,14 @@ def dwd_order_info(orders: DataFrame, user_dim: DataFrame, province_dim: DataFra
 
 def dwd_order_info_clean(orders: DataFrame) -> DataFrame:
     """The part of dwd_order_info that needs no dimension."""
-    return (
-        orders.where(present(orders, "id", "user_id"))
-        .withColumn("order_status_name", order_status_name())
-        .withColumn("payment_way_name", payment_way_name())
-        .withColumn("goods_amount", (F.col("total_amount") - F.col("feight_fee")).cast(MONEY))
-        .withColumn("is_paid", is_paid("order_status_name").cast("int"))
-        .withColumn("date_id", date_id("create_time"))
+    named = orders.where(present(orders, "id", "user_id")).select(
+        "*",
+        order_status_name().alias("order_status_name"),
+        payment_way_name().alias("payment_way_name"),
+        (F.col("total_amount") - F.col("feight_fee")).cast(MONEY).alias("goods_amount"),
+        date_id("create_time").alias("date_id"),
     )
+    return named.withColumn("is_paid", is_paid("order_status_name").cast("int"))
 
 
 def dwd_order_info_daily(orders: DataFrame) -> DataFrame:

@@ -18,7 +18,6 @@ from bazaarlake.operators.measures import (
     combine,
     line_measures,
     order_measures,
-    refund_measures,
 )
 
 
@@ -62,13 +61,10 @@ def dws_user_action_stats(
     logged = action_counts(actions, keys)
     if lines is None:
         return logged.withColumnRenamed("action_order_count", "order_count")
-    bought = line_measures(lines, keys).select(
-        *keys, "order_count", "order_amount", "payment_count", "payment_amount"
+    bought = line_measures(lines, keys, refunds=refunds).drop(
+        "order_num", "payment_num", "refund_num"
     )
-    parts = [logged.drop("action_order_count"), bought]
-    if refunds is not None:
-        parts.append(refund_measures(refunds, keys).drop("refund_num"))
-    return combine(parts, keys)
+    return combine([logged.drop("action_order_count"), bought], keys)
 
 
 def dws_sku_stats(
@@ -76,8 +72,7 @@ def dws_sku_stats(
 ) -> DataFrame:
     """(sku, day): orders, payments and refunds, optionally named from the SKU
     dimension, which joins the aggregate and not the lines."""
-    keys = ["sku_id", "date_id"]
-    stats = combine([line_measures(lines, keys), refund_measures(refunds, keys)], keys)
+    stats = line_measures(lines, ["sku_id", "date_id"], refunds=refunds)
     return stats if sku_dim is None else stats.join(sku_dim, "sku_id", "left")
 
 

@@ -28,51 +28,44 @@ def line_measures(
     keys: Sequence[str],
     biz_date: str | None = None,
     days: Sequence[int] = RECENT_DAYS,
+    refunds: DataFrame | None = None,
 ) -> DataFrame:
     """Orders, pieces and money per `keys` from order lines.
 
     lines: order_id, sku_num, order_amount, is_paid (0/1), date_id. With biz_date the
-    result has one row per (recent_days, keys).
+    result has one row per (recent_days, keys). With refunds (refund_num,
+    refund_amount, date_id and the keys) their rows, pieces and money are counted in
+    the same aggregation.
     """
-    per_order_keys = [*keys, "order_id"]
-    if biz_date is not None:
-        per_order_keys.append("date_id")
-    per_order = lines.groupBy(*dict.fromkeys(per_order_keys)).agg(
+    dated = [] if biz_date is None else ["date_id"]
+    per_order = lines.groupBy(*dict.fromkeys([*keys, "order_id", *dated])).agg(
         F.sum("sku_num").alias("num"),
         money_sum("order_amount").alias("amount"),
         F.max("is_paid").alias("paid"),
     )
     group = list(keys)
-    if biz_date is not None:
-        per_order = expand_recent_days(per_order, "date_id", biz_date, days)
-        group = ["recent_days", *keys]
-    paid = F.col("paid") == 1
-    return per_order.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("order_count"),
-        F.sum("num").cast("bigint").alias("order_num"),
+    columns = list(dict.fromkeys([*keys, *dated]))
+    measures = [
+        F.expr("count(paid) AS order_count"),
+        F.expr("cast(coalesce(sum(num), 0) AS bigint) AS order_num"),
         money_sum("amount").alias("order_amount"),
-        count_if(paid).alias("payment_count"),
-        F.coalesce(F.sum(F.when(paid, F.col("num"))), F.lit(0)).cast("bigint").alias("payment_num"),
-        sum_if(paid, F.col("amount")).alias("payment_amount"),
-    )
-
-
-def refund_measures(
-    refunds: DataFrame,
-    keys: Sequence[str],
-    biz_date: str | None = None,
-    days: Sequence[int] = RECENT_DAYS,
-) -> DataFrame:
-    """Refund rows, pieces and money per `keys`."""
-    group = list(keys)
+        count_if("paid = 1").alias("payment_count"),
+        F.expr("coalesce(sum(CASE WHEN paid = 1 THEN num END), 0L) AS payment_num"),
+        sum_if("paid = 1", "amount").alias("payment_amount"),
+    ]
+    rows = per_order.select(*columns, "num", "amount", F.expr("coalesce(paid, 0) AS paid"))
+    if refunds is not None:
+        refunded = refunds.select(*columns, "refund_num", "refund_amount", F.expr("1 AS refund"))
+        rows = rows.unionByName(refunded, allowMissingColumns=True)
+        measures += [
+            F.expr("count(refund) AS refund_count"),
+            F.expr("cast(coalesce(sum(refund_num), 0) AS bigint) AS refund_num"),
+            money_sum("refund_amount").alias("refund_amount"),
+        ]
     if biz_date is not None:
-        refunds = expand_recent_days(refunds, "date_id", biz_date, days)
+        rows = expand_recent_days(rows, "date_id", biz_date, days)
         group = ["recent_days", *keys]
-    return refunds.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("refund_count"),
-        F.sum("refund_num").cast("bigint").alias("refund_num"),
-        money_sum("refund_amount").alias("refund_amount"),
-    )
+    return rows.groupBy(*group).agg(*measures)
 
 
 def combine(parts: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
@@ -107,10 +100,7 @@ def order_measures(
     daily distinct buyers.
     """
     daily = list(keys) if biz_date is None else [*keys, "date_id"]
-    paid = F.col("is_paid") == 1
-    completed = F.col("order_status_name") == "COMPLETED"
-    pending_paid = F.col("order_status_name") == "PAID"
-    amount = F.col("total_amount")
+    paid, pending, completed = "is_paid = 1", "order_status_name = 'PAID'", "order_status_name = 'COMPLETED'"
     per_user = orders.groupBy(*dict.fromkeys([*daily, "user_id"])).agg(
         F.count("id").alias("orders"),
         money_sum("total_amount").alias("gmv"),
@@ -118,11 +108,11 @@ def order_measures(
         money_sum("feight_fee").alias("feight_fee"),
         money_sum("benefit_reduce_amount").alias("discount_amount"),
         count_if(paid).alias("payments"),
-        sum_if(paid, amount).alias("payment_amount"),
-        count_if(pending_paid).alias("paid_orders"),
-        sum_if(pending_paid, amount).alias("paid_gmv"),
+        sum_if(paid, "total_amount").alias("payment_amount"),
+        count_if(pending).alias("paid_orders"),
+        sum_if(pending, "total_amount").alias("paid_gmv"),
         count_if(completed).alias("completed_orders"),
-        sum_if(completed, amount).alias("completed_gmv"),
+        sum_if(completed, "total_amount").alias("completed_gmv"),
     )
     money = (
         "gmv",
@@ -135,7 +125,7 @@ def order_measures(
     )
     counts = ("orders", "payments", "paid_orders", "completed_orders")
     group = list(keys)
-    user_days = F.lit(1)
+    user_days = "1"
     if biz_date is not None:
         group = ["recent_days", *keys]
         per_user = (
@@ -147,20 +137,22 @@ def order_measures(
                 F.count(F.lit(1)).alias("user_days"),
             )
         )
-        user_days = F.col("user_days")
+        user_days = "user_days"
     result = per_user.groupBy(*group).agg(
         F.sum("orders").alias("order_count"),
         F.count("user_id").alias("order_user_count"),
-        F.sum(user_days).cast("bigint").alias("order_user_days"),
+        F.expr(f"sum({user_days}) AS order_user_days"),
         F.sum("payments").alias("payment_count"),
-        count_if(F.col("payments") > 0).alias("payment_user_count"),
+        count_if("payments > 0").alias("payment_user_count"),
         F.sum("paid_orders").alias("paid_order_count"),
         F.sum("completed_orders").alias("completed_order_count"),
         *[money_sum(c).alias(c) for c in money],
     )
-    return result.withColumn(
-        "avg_order_amount", divide(F.col("gmv"), F.col("order_count"))
-    ).withColumn("avg_pay_amount", divide(F.col("payment_amount"), F.col("payment_count")))
+    return result.select(
+        "*",
+        divide(F.col("gmv"), F.col("order_count")).alias("avg_order_amount"),
+        divide(F.col("payment_amount"), F.col("payment_count")).alias("avg_pay_amount"),
+    )
 
 
 def with_share(df: DataFrame, value: str, name: str, within: str = "recent_days") -> DataFrame:
