@@ -1,59 +1,53 @@
 """Per-user ordering that survives a user holding a large share of all rows.
 
 A window over the user alone would put all of that user's rows in one task. Here
-rows are windowed inside (user, time slice) and the slices of a user are stitched
-through a summary with one row per slice. The summary of one user is bounded by
-the number of slices in the log's time span, a slice by what one user does in it.
+rows are windowed inside (user, slice), slices being pieces of the user's order
+that the caller bounds, and a window over the user sees only a few rows per slice.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def with_position(
-    df: DataFrame, user: str, slice_expr: Column, order: Sequence[str], value: str, name: str
+    df: DataFrame, user: str, slices: Sequence[str], within: Sequence[str], value: str, name: str
 ) -> DataFrame:
-    """Number each user's rows 1, 2, … in `order`; slice_expr must not decrease
-    along `order`, `value` must not be NULL."""
-    in_slice = Window.partitionBy(user, "__slice").orderBy(*order)
-    before = Window.partitionBy(user).orderBy("__slice").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    placed = df.withColumn("__slice", slice_expr).withColumn(
-        "__place", F.row_number().over(in_slice)
-    )
+    """Number each user's rows 1, 2, … ordered by the slice columns and then `within`;
+    `value` must not be NULL."""
+    in_slice = Window.partitionBy(user, *slices).orderBy(*within)
+    before = Window.partitionBy(user).orderBy(*slices).rowsBetween(Window.unboundedPreceding, -1)
+    placed = df.withColumn("__place", F.row_number().over(in_slice))
     # Reads the same columns as the rows, so that both share one scan and shuffle.
     rows = F.max(F.when(F.col(value).isNotNull(), F.col("__place"))).alias("__rows")
     offsets = (
-        placed.groupBy(user, "__slice")
+        placed.groupBy(user, *slices)
         .agg(rows)
         .select(
-            user, "__slice", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before")
+            user, *slices, F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before")
         )
     )
-    return placed.join(offsets, [user, "__slice"], "left").select(
+    return placed.join(offsets, [user, *slices], "left").select(
         *df.columns, (F.col("__place") + F.col("__before")).alias(name)
     )
 
 
 def with_next_two(
-    df: DataFrame, user: str, slice_expr: Column, order: Sequence[str], value: str
+    df: DataFrame, user: str, slices: Sequence[str], within: Sequence[str], value: str
 ) -> DataFrame:
-    """Rows that have two followers in the user's `order`, with `value` of both as
-    next_1 and next_2; slice_expr must not decrease along `order`, `value` must not
-    be NULL.
+    """Rows that have two followers of the same user, ordered by the slice columns and
+    then `within`, with `value` of both as next_1 and next_2; `value` must not be NULL.
 
     Rows whose followers are in their own slice are done there. The others are
     among the last two of their slice, and their followers among the first two of
     later slices: at most four rows per slice go on to the window over the user.
     """
-    in_slice = Window.partitionBy(user, "__slice").orderBy(*order)
-    over_user = Window.partitionBy(user).orderBy(*order)
-    placed = df.withColumn("__slice", slice_expr).select(
+    in_slice = Window.partitionBy(user, *slices).orderBy(*within)
+    over_user = Window.partitionBy(user).orderBy(*slices, *within)
+    placed = df.select(
         *df.columns,
         F.row_number().over(in_slice).alias("__place"),
         F.lead(value, 1).over(in_slice).alias("next_1"),

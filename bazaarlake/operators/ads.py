@@ -85,17 +85,17 @@ def ads_gmv_day(
     )
 
 
-def _cohorts(activity: DataFrame, biz_date: str, cohort_days: int, offsets: Sequence[int]) -> DataFrame:
+def _cohorts(came_back: DataFrame, biz_date: str, cohort_days: int, offsets: Sequence[int]) -> DataFrame:
     """One row per first-seen day: cohort size and users back on each offset, NULL
     where that day is not over yet."""
     in_scope = F.col("create_date").between(shift(biz_date, -cohort_days), biz_date)
-    came_back = user_offsets(activity.where(F.col("date_id") <= biz_date)).where(in_scope)
     age = F.datediff(F.lit(biz_date).cast("date"), F.col("create_date").cast("date"))
     return (
-        came_back.groupBy("create_date")
+        came_back.where(in_scope)
+        .groupBy("create_date")
         .agg(
-            count_if(F.col("day_offset") == 0).alias("new_user_count"),
-            *[count_if(F.col("day_offset") == k).alias(f"__{k}") for k in offsets],
+            count_if("day_offset = 0").alias("new_user_count"),
+            *[count_if(f"day_offset = {k}").alias(f"__{k}") for k in offsets],
         )
         .select(
             "create_date",
@@ -112,15 +112,16 @@ def ads_user_retention(
     cohort_days: int = 30,
 ) -> DataFrame:
     """(cohort day, retention day): cohort size, users active that many days later,
-    rate. Days not over yet have no row."""
+    rate, and all users active that day. Days not over yet have no row."""
+    came_back = user_offsets(activity.where(F.col("date_id") <= biz_date))
     cells = F.array(
         *[
             F.struct(F.lit(k).alias("retention_day"), F.col(f"back_{k}").alias("retention_count"))
             for k in offsets
         ]
     )
-    return (
-        _cohorts(activity, biz_date, cohort_days, offsets)
+    table = (
+        _cohorts(came_back, biz_date, cohort_days, offsets)
         .select("create_date", "new_user_count", F.explode(cells).alias("c"))
         .where(F.col("c.retention_count").isNotNull())
         .select(
@@ -129,8 +130,17 @@ def ads_user_retention(
             "new_user_count",
             F.col("c.retention_count").alias("retention_count"),
             pct(F.col("c.retention_count"), F.col("new_user_count")).alias("retention_rate"),
+            F.date_format(
+                F.date_add(F.col("create_date").cast("date"), F.col("c.retention_day")), "yyyy-MM-dd"
+            ).alias("date_id"),
         )
     )
+    # One row per day of the log.
+    active = came_back.groupBy("date_id").agg(F.count("user_id").alias("active"))
+    return table.join(active, "date_id", "left").select(
+        *[c for c in table.columns if c != "date_id"],
+        F.coalesce("active", F.lit(0)).alias("active_user_count"),
+    )
 
 
 def ads_user_retention_detail(
@@ -140,7 +150,8 @@ def ads_user_retention_detail(
     cohort_days: int = 90,
 ) -> DataFrame:
     """Cohort day with one count and one rate column per retention day."""
-    return _cohorts(activity, biz_date, cohort_days, offsets).select(
+    came_back = user_offsets(activity.where(F.col("date_id") <= biz_date))
+    return _cohorts(came_back, biz_date, cohort_days, offsets).select(
         F.col("create_date").alias("cohort_day"),
         F.col("new_user_count").alias("total_new_users"),
         *[F.col(f"back_{k}").alias(f"day_{k}_retention") for k in offsets],

@@ -224,17 +224,24 @@ SEPARATOR = " -> "
 PATH_PART = 1000
 
 
-def _minute() -> Column:
-    return F.substring("event_time", 1, 16)
+# Rows of one user and second are sliced further by blocks of 2^20 line ids.
+TIE_BITS = 20
+
+
+def _steps(events: DataFrame) -> DataFrame:
+    """user, action and the slice columns event_time, block: a slice holds at most 2^20
+    rows of a user, however many carry the same time (as filled-in times do)."""
+    block = F.shiftright("line_id", TIE_BITS).alias("block")
+    return events.select("user", "event_time", block, "line_id", "action")
+
+
+SLICES, WITHIN = ["event_time", "block"], ["line_id"]
 
 
 def user_paths(events: DataFrame, part_size: int = PATH_PART) -> DataFrame:
     """Each user's actions in time order as text. A path longer than part_size
     actions continues in the next part, so nothing is cut and no row is unbounded."""
-    order = ["event_time", "line_id"]
-    placed = with_position(
-        events.select("user", "event_time", "line_id", "action"), "user", _minute(), order, "action", "position"
-    )
+    placed = with_position(_steps(events), "user", SLICES, WITHIN, "action", "position")
     steps = F.sort_array(F.collect_list(F.struct("position", "action")))
     return (
         placed.groupBy("user", F.floor((F.col("position") - 1) / part_size).alias("part"))
@@ -251,13 +258,7 @@ def user_paths(events: DataFrame, part_size: int = PATH_PART) -> DataFrame:
 def common_trigrams(events: DataFrame, n: int = 5) -> DataFrame:
     """The n most frequent runs of three successive actions of a user; equal counts
     by path descending."""
-    followed = with_next_two(
-        events.select("user", "event_time", "line_id", "action"),
-        "user",
-        _minute(),
-        ["event_time", "line_id"],
-        "action",
-    )
+    followed = with_next_two(_steps(events), "user", SLICES, WITHIN, "action")
     path = F.concat_ws(SEPARATOR, "action", "next_1", "next_2")
     counted = followed.groupBy(path.alias("path")).agg(F.count(F.lit(1)).alias("path_count"))
     return counted.orderBy(F.col("path_count").desc(), F.col("path").desc()).limit(n)

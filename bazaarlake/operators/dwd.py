@@ -55,20 +55,26 @@ def dwd_order_detail(
 def dwd_order_detail_daily(
     details: DataFrame, orders: DataFrame, amount: Column | None = None
 ) -> DataFrame:
-    """Compact order lines: user and province from the order header (inner join),
-    no reductions applied."""
+    """Compact order lines: user and province from the order header (inner join).
+    Reductions are taken off if the lines carry them, and are 0 otherwise."""
     header = orders.select(F.col("id").alias("order_id"), "user_id", "province_id")
     amount = F.col("order_price") * F.col("sku_num") if amount is None else amount
     none = F.lit(0).cast(MONEY)
-    lines = details.withColumn("original_amount", amount.cast(MONEY)).select(
-        "id", "order_id", "sku_id", "create_time", "sku_num", "original_amount"
+    lines = details.select(
+        "id",
+        "order_id",
+        "sku_id",
+        "create_time",
+        "sku_num",
+        amount.cast(MONEY).alias("original_amount"),
+        *[
+            (F.coalesce(c, none) if c in details.columns else none).alias(c)
+            for c in ("activity_reduce", "coupon_reduce")
+        ],
     )
+    final = F.col("original_amount") - F.col("activity_reduce") - F.col("coupon_reduce")
     return lines.join(header, "order_id").select(
-        "*",
-        none.alias("activity_reduce"),
-        none.alias("coupon_reduce"),
-        F.col("original_amount").alias("final_amount"),
-        date_id("create_time").alias("date_id"),
+        "*", final.cast(MONEY).alias("final_amount"), date_id("create_time").alias("date_id")
     )
 
 

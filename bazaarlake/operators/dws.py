@@ -173,51 +173,95 @@ def dws_category_stats(lines: DataFrame) -> DataFrame:
     return _sales(lines, [c for c in CATEGORY_KEYS if c in lines.columns])
 
 
-def dws_order_day(orders: DataFrame, refunds: DataFrame | None = None) -> DataFrame:
-    """Day: orders, payments and refunds."""
-    day = order_measures(orders, ["date_id"]).select(
-        "date_id",
-        "order_count",
-        "order_user_count",
-        F.col("gmv").alias("order_amount"),
-        "payment_count",
-        "payment_user_count",
-        "payment_amount",
+def _per_order(rows: DataFrame, keys: list[str], amount: str, prefix: str) -> DataFrame:
+    """Distinct orders and money of refunds, coupons or campaigns per `keys`."""
+    orders = rows.groupBy(*keys, "order_id").agg(money_sum(amount).alias("amount"))
+    return orders.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias(f"{prefix}_count"), money_sum("amount").alias(f"{prefix}_amount")
     )
-    if refunds is None:
-        return day
-    per_order = refunds.groupBy("date_id", "order_id").agg(
-        money_sum("refund_amount").alias("amount")
-    )
-    refunded = per_order.groupBy("date_id").agg(
-        F.count(F.lit(1)).alias("refund_count"), money_sum("amount").alias("refund_amount")
-    )
-    return combine([day, refunded], ["date_id"])
 
 
-def dws_user_day(orders: DataFrame) -> DataFrame:
-    """(user, day): orders and payments."""
-    paid = F.col("is_paid") == 1
-    return orders.groupBy("user_id", "date_id").agg(
-        F.count("id").alias("order_count"),
-        money_sum("total_amount").alias("order_amount"),
-        count_if(paid).alias("payment_count"),
-        sum_if(paid, F.col("total_amount")).alias("payment_amount"),
+def dws_order_day(
+    orders: DataFrame,
+    refunds: DataFrame | None = None,
+    coupon_uses: DataFrame | None = None,
+    participations: DataFrame | None = None,
+) -> DataFrame:
+    """Day: orders and payments, and as far as given the orders refunded, bought with
+    a coupon (used_time set) and bought in a campaign."""
+    keys = ["date_id"]
+    parts = [
+        order_measures(orders, keys).select(
+            "date_id",
+            "order_count",
+            "order_user_count",
+            F.col("gmv").alias("order_amount"),
+            "payment_count",
+            "payment_user_count",
+            "payment_amount",
+        )
+    ]
+    if refunds is not None:
+        parts.append(_per_order(refunds, keys, "refund_amount", "refund"))
+    if coupon_uses is not None:
+        used = coupon_uses.where(F.col("used_time").isNotNull() & F.col("order_id").isNotNull())
+        parts.append(_per_order(used, keys, "reduce_amount", "coupon"))
+    if participations is not None:
+        parts.append(_per_order(participations, keys, "reduce_amount", "activity"))
+    return parts[0] if len(parts) == 1 else combine(parts, keys)
+
+
+def _interest(actions: DataFrame, keys: list[str]) -> DataFrame:
+    return action_counts(actions, keys).select(
+        *keys,
+        F.col("cart_add_count").alias("cart_count"),
+        F.col("favor_add_count").alias("favor_count"),
     )
 
 
-def dws_sku_day(lines: DataFrame) -> DataFrame:
-    """(sku, day): orders, pieces, money and payments."""
-    return line_measures(lines, ["sku_id", "date_id"])
+def dws_user_day(
+    orders: DataFrame, actions: DataFrame | None = None, comments: DataFrame | None = None
+) -> DataFrame:
+    """(user, day): orders and payments, and as far as given cart adds, favourites
+    and comments."""
+    keys = ["user_id", "date_id"]
+    parts = [
+        orders.groupBy(*keys).agg(
+            F.count("id").alias("order_count"),
+            money_sum("total_amount").alias("order_amount"),
+            count_if("is_paid = 1").alias("payment_count"),
+            sum_if("is_paid = 1", "total_amount").alias("payment_amount"),
+        )
+    ]
+    if actions is not None:
+        parts.append(_interest(actions, keys))
+    if comments is not None:
+        parts.append(comments.groupBy(*keys).agg(F.count(F.lit(1)).alias("comment_count")))
+    return parts[0] if len(parts) == 1 else combine(parts, keys)
+
+
+def dws_sku_day(
+    lines: DataFrame, refunds: DataFrame | None = None, actions: DataFrame | None = None
+) -> DataFrame:
+    """(sku, day): orders, pieces, money and payments, and as far as given refunds,
+    cart adds and favourites."""
+    keys = ["sku_id", "date_id"]
+    sold = line_measures(lines, keys, refunds=refunds)
+    return sold if actions is None else combine([sold, _interest(actions, keys)], keys)
 
 
-def _period_rollup(orders: DataFrame, start: Column, end: Column, name: str) -> DataFrame:
+def _period_rollup(
+    orders: DataFrame, refunds: DataFrame | None, start: Column, end: Column, name: str
+) -> DataFrame:
     iso = "yyyy-MM-dd"
-    dated = orders.withColumn(f"{name}_start_date", F.date_format(start, iso)).withColumn(
-        f"{name}_end_date", F.date_format(end, iso)
-    )
     keys = [f"{name}_start_date", f"{name}_end_date"]
-    return order_measures(dated, keys).select(
+
+    def dated(df: DataFrame) -> DataFrame:
+        return df.select(
+            "*", F.date_format(start, iso).alias(keys[0]), F.date_format(end, iso).alias(keys[1])
+        )
+
+    rollup = order_measures(dated(orders), keys).select(
         *keys,
         "order_count",
         "order_user_count",
@@ -226,18 +270,21 @@ def _period_rollup(orders: DataFrame, start: Column, end: Column, name: str) ->
         "payment_user_count",
         "payment_amount",
     )
+    if refunds is None:
+        return rollup
+    return combine([rollup, _per_order(dated(refunds), keys, "refund_amount", "refund")], keys)
 
 
-def dws_order_week(orders: DataFrame) -> DataFrame:
+def dws_order_week(orders: DataFrame, refunds: DataFrame | None = None) -> DataFrame:
     """Monday-to-Sunday weeks, from the orders themselves so that buyers are distinct."""
     monday = F.date_trunc("week", F.col("date_id").cast("date")).cast("date")
-    return _period_rollup(orders, monday, F.date_add(monday, 6), "week")
+    return _period_rollup(orders, refunds, monday, F.date_add(monday, 6), "week")
 
 
-def dws_order_month(orders: DataFrame) -> DataFrame:
+def dws_order_month(orders: DataFrame, refunds: DataFrame | None = None) -> DataFrame:
     """Calendar months, from the orders themselves so that buyers are distinct."""
     day = F.col("date_id").cast("date")
-    return _period_rollup(orders, F.trunc(day, "MM"), F.last_day(day), "month")
+    return _period_rollup(orders, refunds, F.trunc(day, "MM"), F.last_day(day), "month")
 
 
 def first_days(activity: DataFrame) -> DataFrame:

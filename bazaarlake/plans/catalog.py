@@ -326,16 +326,19 @@ def dwd_activity_order(s: Sample) -> DataFrame:
     )
 
 
-@query
-def dwd_comment_info(s: Sample) -> DataFrame:
-    comments = s.reviews().select(
+def _comments(s: Sample) -> DataFrame:
+    return s.reviews().select(
         F.col("review_id").alias("id"),
         "user_id",
         "sku_id",
         F.col("review_star").alias("appraisal_star"),
         "create_time",
     )
-    return dwd.dwd_comment_info(comments)
+
+
+@query
+def dwd_comment_info(s: Sample) -> DataFrame:
+    return dwd.dwd_comment_info(_comments(s))
 
 
 @query
@@ -383,10 +386,6 @@ def _province_orders(s: Sample, days: int | None = None) -> DataFrame:
     return orders.join(provinces, "province_id", "left")
 
 
-def _refund_lines(s: Sample, lines: DataFrame) -> DataFrame:
-    return s.refunds_of(lines)
-
-
 @query
 def dws_gmv_stats(s: Sample) -> DataFrame:
     return dws.dws_gmv_stats(_orders(s))
@@ -445,27 +444,29 @@ def dws_category_stats(s: Sample) -> DataFrame:
 
 @query
 def dws_order_day(s: Sample) -> DataFrame:
-    return dws.dws_order_day(_orders(s), s.refunds_of(s.lines()))
+    lines = s.lines()
+    return dws.dws_order_day(_orders(s), s.refunds_of(lines), s.coupon_uses(), s.activity_orders())
 
 
 @query
 def dws_user_day(s: Sample) -> DataFrame:
-    return dws.dws_user_day(_orders(s))
+    return dws.dws_user_day(_orders(s), s.actions(), dwd.dwd_comment_info(_comments(s)))
 
 
 @query
 def dws_sku_day(s: Sample) -> DataFrame:
-    return dws.dws_sku_day(s.lines())
+    lines = s.lines()
+    return dws.dws_sku_day(lines, s.refunds_of(lines), s.actions())
 
 
 @query
 def dws_order_week(s: Sample) -> DataFrame:
-    return dws.dws_order_week(_orders(s))
+    return dws.dws_order_week(_orders(s), s.refunds_of(s.lines()))
 
 
 @query
 def dws_order_month(s: Sample) -> DataFrame:
-    return dws.dws_order_month(_orders(s))
+    return dws.dws_order_month(_orders(s), s.refunds_of(s.lines()))
 
 
 @query
@@ -542,7 +543,8 @@ def ads_user_retention_detail(s: Sample) -> DataFrame:
 @query
 def ads_sku_sales_rank(s: Sample) -> DataFrame:
     lines = s.lines(MONTH)
-    return ads.ads_sku_sales_rank(lines, ORDER_DAY, s.refunds_of(lines))
+    names = s.sku_dim().select("sku_id", "sku_name", "tm_name", "category3_name")
+    return ads.ads_sku_sales_rank(lines, ORDER_DAY, s.refunds_of(lines), names)
 
 
 @query

@@ -169,14 +169,18 @@ BIG_PROVINCE = f"{big('province_id')} AS province_id, province_name, {big('regio
 
 
 def _rollup(unit: str, start: str, end: str) -> str:
+    first = f"strftime({start}, '%Y-%m-%d') AS {unit}_start_date"
     return sql(
-        "o",
+        "l",
         f"""
-        SELECT strftime({start}, '%Y-%m-%d') AS {unit}_start_date,
-               strftime({end}, '%Y-%m-%d') AS {unit}_end_date,
-               count(DISTINCT id) AS order_count, count(DISTINCT user_id) AS order_user_count,
-               {money('amt')} AS order_amount, {PAYMENT_SUMS}
-        FROM o GROUP BY 1, 2""",
+        , od AS (
+          SELECT {first}, strftime({end}, '%Y-%m-%d') AS {unit}_end_date,
+                 count(DISTINCT id) AS order_count, count(DISTINCT user_id) AS order_user_count,
+                 {money('amt')} AS order_amount, {PAYMENT_SUMS}
+          FROM o GROUP BY 1, 2),
+        rd AS (SELECT {first}, count(DISTINCT order_id) AS n, {money('amt')} AS amt FROM l WHERE rf = 'R' GROUP BY 1)
+        SELECT od.*, coalesce(rd.n, 0) AS refund_count, coalesce(rd.amt, 0) AS refund_amount
+        FROM od LEFT JOIN rd USING ({unit}_start_date)""",
     )
 
 
@@ -190,7 +194,8 @@ def _cohort_long(source: str, biz: str, offsets: str, back: int) -> str:
         k(k) AS (VALUES {offsets})
         SELECT strftime(size.cohort, '%Y-%m-%d') AS cohort_day, {big('k.k')} AS retention_day,
                size.n AS new_user_count, count(d.user_id) AS retention_count,
-               {pct('count(d.user_id)', 'size.n')} AS retention_rate
+               {pct('count(d.user_id)', 'size.n')} AS retention_rate,
+               (SELECT count(*) FROM d x WHERE x.day = size.cohort + k.k) AS active_user_count
         FROM size JOIN k ON size.cohort + k.k <= {biz}
              JOIN first ON first.cohort = size.cohort
              LEFT JOIN d ON d.user_id = first.user_id AND d.day = first.cohort + k.k
@@ -555,26 +560,49 @@ ORACLE: dict[str, str] = {
     ),
     "dws_order_day": sql(
         "l",
-        f"""
+        COUPONS
+        + ACTIVITIES
+        + f"""
         , od AS (SELECT date_id, count(DISTINCT id) AS order_count, count(DISTINCT user_id) AS order_user_count,
                         {money('amt')} AS order_amount, {PAYMENT_SUMS} FROM o GROUP BY date_id),
         rd AS (SELECT date_id, count(DISTINCT order_id) AS refund_count, {money('amt')} AS refund_amount
-               FROM l WHERE rf = 'R' GROUP BY date_id)
-        SELECT od.*, coalesce(refund_count, 0) AS refund_count, coalesce(refund_amount, 0) AS refund_amount
-        FROM od LEFT JOIN rd USING (date_id)""",
+               FROM l WHERE rf = 'R' GROUP BY date_id),
+        cd AS (SELECT date_id, count(DISTINCT order_id) AS coupon_count, {money('reduced')} AS coupon_amount
+               FROM cu WHERE used_time IS NOT NULL GROUP BY date_id),
+        ad AS (SELECT date_id, count(DISTINCT order_id) AS activity_count, {money('reduced')} AS activity_amount
+               FROM ac GROUP BY date_id)
+        SELECT od.*, coalesce(refund_count, 0) AS refund_count, coalesce(refund_amount, 0) AS refund_amount,
+               coalesce(coupon_count, 0) AS coupon_count, coalesce(coupon_amount, 0) AS coupon_amount,
+               coalesce(activity_count, 0) AS activity_count, coalesce(activity_amount, 0) AS activity_amount
+        FROM od LEFT JOIN rd USING (date_id) LEFT JOIN cd USING (date_id) LEFT JOIN ad USING (date_id)""",
     ),
     "dws_user_day": sql(
-        "o",
-        f"""SELECT user_id, date_id, count(*) AS order_count, {money('amt')} AS order_amount,
-            count(*) FILTER (WHERE paid = 1) AS payment_count, {money('amt', 'paid = 1')} AS payment_amount
-            FROM o GROUP BY user_id, date_id""",
+        "o a",
+        f"""
+        , u AS (SELECT user_id, date_id, 'o' AS what, amt, paid FROM o
+                UNION ALL SELECT user_id, date_id, code, NULL, 0 FROM a)
+        SELECT user_id, date_id, count(*) FILTER (WHERE what = 'o') AS order_count,
+            {money('amt')} AS order_amount,
+            count(*) FILTER (WHERE what = 'o' AND paid = 1) AS payment_count,
+            {money('amt', 'paid = 1')} AS payment_amount,
+            count(*) FILTER (WHERE what = 'cart_add') AS cart_count,
+            count(*) FILTER (WHERE what = 'favor_add') AS favor_count,
+            count(*) FILTER (WHERE what = 'favor_add') AS comment_count
+            FROM u GROUP BY user_id, date_id""",
     ),
     "dws_sku_day": sql(
-        "l",
+        "l a",
         f"""
-        , m AS ({_line_measures('sku_id, date_id')})
-        SELECT sku_id, date_id, order_count, order_num, {dbl('order_amt')} AS order_amount, payment_count,
-               payment_num, {dbl('payment_amt')} AS payment_amount FROM m""",
+        , m AS ({_line_measures('sku_id, date_id')}),
+        i AS (SELECT sku_id, date_id, count(*) FILTER (WHERE code = 'cart_add') AS cart_count,
+                     count(*) FILTER (WHERE code = 'favor_add') AS favor_count FROM a GROUP BY 1, 2)
+        SELECT sku_id, date_id, coalesce(order_count, 0) AS order_count, coalesce(order_num, 0) AS order_num,
+               coalesce({dbl('order_amt')}, 0) AS order_amount, coalesce(payment_count, 0) AS payment_count,
+               coalesce(payment_num, 0) AS payment_num, coalesce({dbl('payment_amt')}, 0) AS payment_amount,
+               coalesce(refund_count, 0) AS refund_count, coalesce(refund_num, 0) AS refund_num,
+               coalesce({dbl('refund_amt')}, 0) AS refund_amount, coalesce(cart_count, 0) AS cart_count,
+               coalesce(favor_count, 0) AS favor_count
+        FROM m FULL JOIN i USING (sku_id, date_id)""",
     ),
     "dws_order_week": _rollup("week", "date_trunc('week', day)", "date_trunc('week', day) + INTERVAL 6 DAY"),
     "dws_order_month": _rollup("month", "date_trunc('month', day)", "last_day(day)"),
@@ -680,10 +708,10 @@ ORACLE: dict[str, str] = {
         FROM x WHERE cohort >= {BE} - 90 GROUP BY cohort""",
     ),
     "ads_sku_sales_rank": sql(
-        "l r",
+        "lp r",
         f"""
-        , m AS ({_line_measures('sku_id', 'l', BO)})
-        SELECT {big('k')} AS recent_days, sku_id, order_count, order_num, {dbl('order_amt')} AS order_amount,
+        , m AS ({_line_measures('sku_id, sku_name, tm_id, c3', 'lp', BO)})
+        SELECT {big('k')} AS recent_days, sku_id, sku_name, tm_id AS tm_name, c3 AS category3_name, order_count, order_num, {dbl('order_amt')} AS order_amount,
                payment_count, payment_num, {dbl('payment_amt')} AS payment_amount, refund_count, refund_num,
                {dbl('refund_amt')} AS refund_amount,
                row_number() OVER (PARTITION BY k ORDER BY order_amt DESC, sku_id) AS "rank",

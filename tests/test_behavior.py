@@ -119,8 +119,9 @@ def random_items(seed, n):
     return items
 
 
-def test_trigrams_and_paths_against_brute_force(spark):
-    for seed, n in ((1, 60), (2, 400)):
+def test_trigrams_and_paths_against_brute_force(spark, monkeypatch):
+    for seed, n, bits in ((1, 60, 20), (2, 400, 20), (3, 400, 4), (4, 400, 0)):
+        monkeypatch.setattr(b, "TIE_BITS", bits)
         items = random_items(seed, n)
         expected, per_user = brute_trigrams(items)
         got = [tuple(r) for r in b.common_trigrams(events(spark, items), 10**6).collect()]

@@ -67,7 +67,7 @@ def test_retention_denominator_and_unobserved_days(spark, rows):
     acts = [("a", "2024-01-01"), ("a", "2024-01-02"), ("b", "2024-01-01"), ("c", "2024-01-08"), ("a", "2024-01-08")]
     df = spark.createDataFrame(acts + acts[:1], "user_id string, date_id string")
     got = ads.ads_user_retention(df, "2024-01-08", offsets=(1, 7))
-    assert rows(got) == [("2024-01-01", 1, 2, 1, 50.0), ("2024-01-01", 7, 2, 1, 50.0)]
+    assert rows(got) == [("2024-01-01", 1, 2, 1, 50.0, 1), ("2024-01-01", 7, 2, 1, 50.0, 2)]
     wide = ads.ads_user_retention_detail(df, "2024-01-08", offsets=(1, 3))
     assert rows(wide, "cohort_day", "total_new_users", "day_1_retention", "day_3_retention", "day_1_rate") == [
         ("2024-01-01", 2, 1, 0, 50.0), ("2024-01-08", 1, None, None, None)]
