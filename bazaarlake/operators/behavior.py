@@ -28,7 +28,9 @@ STRICT, REPAIR, FILL = 0, 1, 2
 
 def parse_lines(lines: DataFrame) -> DataFrame:
     """line_id, line → the parts of the line and what each cleaning strategy needs."""
-    split = lines.withColumn("parts", F.split("line", ",", -1))
+    # Exploding one array splits each line once: as a plain column the split would be
+    # repeated in every condition that uses a part of it.
+    split = lines.withColumn("parts", F.explode(F.array(F.split("line", ",", -1))))
     first = F.get("parts", 0)
     date_ok = first.rlike(DATE_PREFIX)
     repaired = F.coalesce(*[F.try_to_timestamp(first, F.lit(f)) for f in REPAIRABLE_FORMATS])
