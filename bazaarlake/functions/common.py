@@ -54,6 +54,15 @@ def in_recent_days(time_col: str, biz_date: str, days: int) -> Column:
     return (column >= F.lit(shift(biz_date, 1 - days))) & (column < F.lit(shift(biz_date, 1)))
 
 
+def on_days(time_col: str, days: Sequence[str]) -> Column:
+    """Rows of the given days, as half-open ranges on the raw column."""
+    column = F.col(time_col)
+    chosen = F.lit(False)
+    for day in days:
+        chosen = chosen | ((column >= F.lit(day)) & (column < F.lit(shift(day, 1))))
+    return chosen
+
+
 def expand_recent_days(
     df: DataFrame, day_col: str, biz_date: str, days: Sequence[int] = RECENT_DAYS
 ) -> DataFrame:

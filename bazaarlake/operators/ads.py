@@ -449,28 +449,50 @@ def ads_refund_analysis(refunds: DataFrame, orders: DataFrame) -> DataFrame:
     refunds: order_id, user_id, refund_amount, refund_time, create_time,
     category_name, refund_reason_type. Ties for the category go to the first name.
     """
-    days = F.datediff(F.col("refund_time"), F.col("create_time"))
-    refunded = refunds.agg(
+    ids = refunds.agg(
         F.count_distinct("order_id").alias("refund_count"),
         F.count_distinct("user_id").alias("refund_user_count"),
-        money_sum("refund_amount").alias("refund_amount"),
-        F.round(F.avg(days), 2).alias("avg_refund_days"),
-    )
-    by_category = refunds.groupBy("category_name").agg(F.count(F.lit(1)).alias("n"))
-    most = by_category.agg(F.max("n").alias("n"))
-    top = by_category.join(most, "n").agg(F.min("category_name").alias("top_refund_category"))
-    # One entry per reason code, a fixed code list.
-    reasons = (
-        refunds.groupBy("refund_reason_type")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("refund_reason_type").isNotNull())
-        .agg(F.sort_array(F.collect_list(F.struct("refund_reason_type", "n"))).alias("r"))
-        .select(F.to_json(F.map_from_entries("r")).alias("refund_reason_distribution"))
+    )
+    # Each refund counts once for its category and once for its reason, so one scan
+    # gives both lists; they are as long as the category and reason code tables.
+    category, reason = (
+        F.struct(F.lit(tag).alias("tag"), F.col(c).cast("string").alias("name"))
+        for tag, c in (("category", "category_name"), ("reason", "refund_reason_type"))
+    )
+    named = refunds.select(
+        "refund_amount",
+        F.datediff(F.col("refund_time"), F.col("create_time")).alias("days"),
+        F.explode(F.array(category, reason)).alias("k"),
+    )
+    counted = named.groupBy("k.tag", "k.name").agg(
+        F.expr("count(1) AS n"),
+        money_sum("refund_amount").alias("amount"),
+        F.expr("sum(days) AS days"),
+        F.expr("count(days) AS timed"),
+    )
+    listed = F.expr(
+        "sort_array(collect_list(CASE WHEN tag = 'reason' AND name IS NOT NULL THEN struct(name, n) END))"
+    )
+    refunded = counted.agg(
+        sum_if("tag = 'category'", "amount").alias("refund_amount"),
+        F.expr("sum(CASE WHEN tag = 'category' THEN days END) AS days"),
+        F.expr("sum(CASE WHEN tag = 'category' THEN timed END) AS timed"),
+        # most refunds first, then the first name
+        F.expr(
+            "min(CASE WHEN tag = 'category' AND name IS NOT NULL THEN struct(-n AS n, name) END).name "
+            "AS top_refund_category"
+        ),
+        F.to_json(F.map_from_entries(listed)).alias("refund_reason_distribution"),
+    ).select(
+        "refund_amount",
+        divide(F.col("days"), F.col("timed")).alias("avg_refund_days"),
+        "top_refund_category",
+        "refund_reason_distribution",
     )
     total = orders.agg(
         F.count("id").alias("order_count"), money_sum("total_amount").alias("order_amount")
     )
-    return one_row(refunded, top, reasons, total).select(
+    return one_row(ids, refunded, total).select(
         "*", pct(F.col("refund_count"), F.col("order_count")).alias("refund_rate")
     )
 
@@ -516,21 +538,30 @@ def ads_dashboard(
         pct(F.sum("orders_now"), F.sum("views_now")).alias("current_conversion_rate"),
         pct(F.sum("orders"), F.sum("views")).alias("today_conversion_rate"),
     )
-    bought = today.where(is_order)
-
-    def most_ordered(column: str, name: str) -> DataFrame:
-        counted = bought.where(F.col(column).isNotNull()).groupBy(column).agg(
-            F.count(F.lit(1)).alias("n")
-        )
-        most = counted.agg(F.max("n").alias("n"))
-        return counted.join(most, "n").agg(F.min(column).alias(name))
-
-    merged = one_row(
-        totals,
-        most_ordered("hour", "peak_hour"),
-        most_ordered("sku_id", "hot_sku"),
-        most_ordered(category, "hot_category"),
+    # Each order counts once for its hour, its SKU and its category.
+    keys = ("hour", "sku_id", category)
+    marks = F.array(
+        *[
+            F.struct(F.lit(i).alias("tag"), *[(F.col(c) if c == key else F.lit(None)).alias(c) for c in keys])
+            for i, key in enumerate(keys)
+        ]
+    )
+    counted = (
+        today.where(is_order)
+        .select(F.explode(marks).alias("k"))
+        .groupBy("k.tag", *[f"k.{c}" for c in keys])
+        .agg(F.expr("count(1) AS n"))
+    )
+    # most orders first, then the smallest key
+    most = counted.agg(
+        *[
+            F.expr(f"min(CASE WHEN tag = {i} AND `{c}` IS NOT NULL THEN struct(-n AS n, `{c}` AS v) END).v AS {name}")
+            for i, (c, name) in enumerate(
+                zip(keys, ("peak_hour", "hot_sku", "hot_category"), strict=True)
+            )
+        ]
     )
+    merged = one_row(totals, most)
     return merged.select(
         F.lit(biz_date).alias("date_id"),
         F.lit(hour).cast("bigint").alias("hour"),

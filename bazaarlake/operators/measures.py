@@ -21,6 +21,7 @@ from bazaarlake.functions.common import (
     money_sum,
     sum_if,
 )
+from bazaarlake.session import ensure_checkpoint_dir
 
 
 def line_measures(
@@ -156,13 +157,14 @@ def order_measures(
 
 
 def with_share(df: DataFrame, value: str, name: str, within: str = "recent_days") -> DataFrame:
-    """Share of `value` in its total per `within`, four decimals. The totals are one
-    row per window, joined back, so the groups stay distributed."""
+    """Share of `value` in its total per `within`, four decimals. The aggregated rows
+    are checkpointed, so that rows and totals come from one scan of the facts; the
+    totals, one row per window, are joined back and the groups stay distributed."""
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.checkpoint()
     totals = df.groupBy(within).agg(F.sum(value).alias("__total"))
-    return (
-        df.join(totals, within)
-        .withColumn(name, divide(F.col(value), F.col("__total"), 4))
-        .drop("__total")
+    return df.join(totals, within).select(
+        *df.columns, divide(F.col(value), F.col("__total"), 4).alias(name)
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bazaarlake.functions.common import OPEN_END, latest_per_key, shift
+from bazaarlake.functions.common import OPEN_END, last_year, latest_per_key, on_days, shift
 from bazaarlake.operators import ads, batch, behavior, dim, dwd, dws, quality
 from bazaarlake.sources.sample import (
     EVENT_DAY,
@@ -590,7 +590,9 @@ def ads_province_sale(s: Sample) -> DataFrame:
 
 @query
 def ads_gmv_trend(s: Sample) -> DataFrame:
-    return ads.ads_gmv_trend(_orders(s), ORDER_DAY)
+    compared = on_days("create_time", [ORDER_DAY, shift(ORDER_DAY, -1), last_year(ORDER_DAY)])
+    orders = dwd.dwd_order_info_clean(s.order_info().where(compared))
+    return ads.ads_gmv_trend(orders, ORDER_DAY)
 
 
 @query

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +24,23 @@ def created_between(column: str, dt: str) -> Column:
     return (F.col(column) >= dt) & (F.col(column) < shift(dt, 1))
 
 
+class IngestError(RuntimeError):
+    """The raw folder holds another number of rows than the source delivered."""
+
+
+def ingest(df: DataFrame, table_path: str, dt: str, compression: str = "none") -> int:
+    """write_raw, then compare the rows written with the rows in the folder. The
+    source is read once: its rows are counted while they pass."""
+    delivered = Observation()
+    write_raw(df.observe(delivered, F.count(F.lit(1)).alias("n")), table_path, dt, compression)
+    rows = delivered.get["n"]
+    text = df.sparkSession.read.schema(df.schema).option("sep", SEPARATOR).option("quote", "")
+    stored = text.csv(f"{table_path}/dt={dt}").count()
+    if stored != rows:
+        raise IngestError(f"{table_path}/dt={dt}: {rows} rows delivered, {stored} stored")
+    return rows
+
+
 def write_raw(df: DataFrame, table_path: str, dt: str, compression: str = "none") -> None:
     """Ingest: tab-separated text into the table's dt folder; a rerun replaces it."""
     (

@@ -229,13 +229,21 @@ class Sample:
             c3.alias("id"), c3.alias("name"), F.col("p_type").alias("category2_id")
         )
 
+    @staticmethod
+    def _category1() -> Column:
+        """The sample has one top category, which every typed part belongs to."""
+        return F.when(F.col("p_type").isNotNull(), "ALL")
+
     def category2(self) -> DataFrame:
         return self.table("part").select(
-            F.col("p_type").alias("id"), F.col("p_type").alias("name"), F.lit("ALL").alias("category1_id")
+            F.col("p_type").alias("id"),
+            F.col("p_type").alias("name"),
+            self._category1().alias("category1_id"),
         )
 
     def category1(self) -> DataFrame:
-        return self.table("part").select(F.lit("ALL").alias("id"), F.lit("ALL").alias("name"))
+        top = self._category1()
+        return self.table("part").select(top.alias("id"), top.alias("name"))
 
     def sku_dim(self) -> DataFrame:
         """Flattened SKU attributes. The sample's levels are their own names, so they
@@ -245,7 +253,7 @@ class Sample:
             F.col("p_partkey").alias("sku_id"),
             F.col("p_name").alias("sku_name"),
             F.col("p_brand").alias("tm_id"),
-            F.lit("ALL").alias("category1_id"),
+            self._category1().alias("category1_id"),
             F.col("p_type").alias("category2_id"),
             c3.alias("category3_id"),
             F.col("p_brand").alias("tm_name"),

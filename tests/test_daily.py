@@ -145,3 +145,14 @@ def test_schemas_and_jdbc_slices():
     assert slices == [
         "create_time >= '2024-02-29 00:00:00' AND create_time < '2024-02-29 12:00:00'",
         "create_time >= '2024-02-29 12:00:00' AND create_time < '2024-03-01 00:00:00'"]
+
+
+def test_ingest_counts_rows_and_replaces_a_rerun(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [("1", "a\tb \"q\"", None), ("2", "", "x")]
+    df = spark.createDataFrame(rows, "id string, name string, create_time string")
+    assert files.ingest(df, path, "2024-01-01") == 2
+    assert files.ingest(df.limit(1), path, "2024-01-01") == 1
+    broken = spark.createDataFrame([("1", "two\nlines", None)], df.schema)
+    with pytest.raises(files.IngestError):
+        files.ingest(broken, path, "2024-01-02")
