@@ -14,6 +14,7 @@ from bazaarlake.functions.common import (
     mask_email,
     mask_phone,
     order_status_name,
+    payment_way_name,
     present,
     shift,
 )
@@ -208,8 +209,6 @@ def dim_spu(spus: DataFrame) -> DataFrame:
 
 def dim_payment_type(orders: DataFrame) -> DataFrame:
     """Payment types seen in the orders, with their normalised names."""
-    from bazaarlake.functions.common import payment_way_name
-
     return (
         orders.select(F.col("payment_way").alias("payment_type_id"))
         .distinct()

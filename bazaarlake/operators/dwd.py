@@ -11,10 +11,12 @@ from bazaarlake.functions.common import (
     UNKNOWN,
     date_id,
     is_paid,
+    latest_per_key,
     order_status_name,
     payment_way_name,
     present,
 )
+from bazaarlake.operators.dim import dim_sku_full
 
 SKU_NAMES = (
     "sku_name",
@@ -228,8 +230,6 @@ def dwd_order_status_log(log: DataFrame) -> DataFrame:
 
 def dwd_sku_info(skus: DataFrame, brands: DataFrame, c3: DataFrame, c2: DataFrame, c1: DataFrame) -> DataFrame:
     """SKU fact view of the flattened snowflake."""
-    from bazaarlake.operators.dim import dim_sku_full
-
     return dim_sku_full(skus, brands, c3, c2, c1).withColumnRenamed("sku_id", "id")
 
 
@@ -278,6 +278,4 @@ def dwd_customer_service(tickets: DataFrame) -> DataFrame:
 
 def drop_duplicate_rows(df: DataFrame, keys: list[str], newest_by: list[str]) -> DataFrame:
     """Keep the newest version of each business key."""
-    from bazaarlake.functions.common import latest_per_key
-
     return latest_per_key(df, keys, newest_by)

@@ -3,7 +3,7 @@ definition and not from the operator."""
 
 from __future__ import annotations
 
-from bazaarlake.plans.catalog import RUN_TS, SEGMENTS
+from bazaarlake.plans.catalog import SEGMENTS
 from bazaarlake.sources.sample import EVENT_DAY, FEED_DAYS, ORDER_DAY, SNAPSHOT_DAYS
 
 BO = f"DATE '{ORDER_DAY}'"
