@@ -110,10 +110,15 @@ def ads_user_retention(
     biz_date: str,
     offsets: Sequence[int] = (1, 7, 14, 30),
     cohort_days: int = 30,
+    firsts: DataFrame | None = None,
 ) -> DataFrame:
     """(cohort day, retention day): cohort size, users active that many days later,
-    rate, and all users active that day. Days not over yet have no row."""
-    came_back = user_offsets(activity.where(F.col("date_id") <= biz_date))
+    rate, and all users active that day. Days not over yet have no row.
+
+    Without `firsts` (user_id, create_date) the activity has to reach back to every
+    user's first day; with it, to the first cohort's day.
+    """
+    came_back = user_offsets(activity.where(F.col("date_id") <= biz_date), firsts)
     cells = F.array(
         *[
             F.struct(F.lit(k).alias("retention_day"), F.col(f"back_{k}").alias("retention_count"))

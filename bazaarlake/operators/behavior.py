@@ -151,11 +151,13 @@ def clean_adaptive(
 
 
 def log_basic_stats(events: DataFrame) -> DataFrame:
-    """Distinct users, distinct products, actions."""
-    return events.agg(
+    """Distinct users, distinct products, actions. Counted per (user, product) first,
+    so that the two distinct counts copy pairs and not events."""
+    pairs = events.groupBy("user", "product").agg(F.count(F.lit(1)).alias("n"))
+    return pairs.agg(
         F.count_distinct("user").alias("total_users"),
         F.count_distinct("product").alias("total_products"),
-        F.count(F.lit(1)).alias("total_actions"),
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("total_actions"),
     )
 
 

@@ -301,15 +301,31 @@ def dws_user_new_day(activity: DataFrame, users: DataFrame | None = None) -> Dat
     return new.join(users.withColumnRenamed("id", "user_id"), "user_id", "left")
 
 
-def user_offsets(activity: DataFrame) -> DataFrame:
+def update_first_days(previous: DataFrame | None, activity: DataFrame) -> DataFrame:
+    """first_days carried on: yesterday's table and today's activity, so that the
+    history is not read again every day."""
+    today = first_days(activity)
+    if previous is None:
+        return today
+    day = F.col("create_date").cast("date")
+    both = previous.select("user_id", "create_date").unionByName(today)
+    return both.groupBy("user_id").agg(F.min(day).alias("first")).select(
+        "user_id", date_id("first").alias("create_date")
+    )
+
+
+def user_offsets(activity: DataFrame, firsts: DataFrame | None = None) -> DataFrame:
     """user_id, create_date, date_id, day_offset: a user's active days counted from
-    the first. Deduplicated to days before the window, which bounds its groups."""
+    the first one, which is taken from `firsts` if given and from the activity if not.
+    Deduplicated to days before the window, which bounds its groups."""
     days = activity.select("user_id", "date_id").distinct()
-    first = F.min("date_id").over(Window.partitionBy("user_id"))
-    return days.withColumn("create_date", first).withColumn(
-        "day_offset",
-        F.datediff(F.col("date_id").cast("date"), F.col("create_date").cast("date")),
-    )
+    if firsts is None:
+        first = F.min("date_id").over(Window.partitionBy("user_id"))
+        days = days.withColumn("create_date", first)
+    else:
+        days = days.join(firsts.select("user_id", "create_date"), "user_id")
+    offset = F.datediff(F.col("date_id").cast("date"), F.col("create_date").cast("date"))
+    return days.withColumn("day_offset", offset)
 
 
 def dws_user_retention_day(activity: DataFrame, offsets: tuple[int, ...] = (1, 3, 7)) -> DataFrame:

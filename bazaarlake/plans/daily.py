@@ -14,7 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.functions.common import latest_per_key, shift
+from bazaarlake.functions.common import last_year, latest_per_key, shift
 from bazaarlake.operators import ads, dim, dwd, dws, quality
 from bazaarlake.sources.files import (
     created_on,
@@ -173,6 +173,9 @@ class DailyRun:
             "dws_order_day": dws.dws_order_day(orders, refunds),
             "dws_user_day": dws.dws_user_day(orders),
             "dws_sku_day": dws.dws_sku_day(lines),
+            "dws_user_first_order": dws.update_first_days(
+                self.yesterday("dws", "dws_user_first_order"), orders
+            ),
         }
         for name, df in tables.items():
             self.save("dws", name, df)
@@ -197,11 +200,15 @@ class DailyRun:
                 self._paid_actions(actions, orders), self.dt
             ),
             "ads_gmv_trend": lambda: ads.ads_gmv_trend(
-                read_table(self.spark, self.path("dwd", "dwd_order_info"), shift(self.dt, -366), self.dt),
+                read_table(self.spark, self.path("dwd", "dwd_order_info")).where(
+                    F.col("dt").isin(self.dt, shift(self.dt, -1), last_year(self.dt))
+                ),
                 self.dt,
             ),
             "ads_user_retention": lambda: ads.ads_user_retention(
-                read_table(self.spark, self.path("dwd", "dwd_order_info"), last=self.dt), self.dt
+                self.load_days("dwd", "dwd_order_info", month + 1),
+                self.dt,
+                firsts=self.load("dws", "dws_user_first_order").drop("dt"),
             ),
             "ads_sku_repurchase_analysis": lambda: ads.ads_sku_repurchase_analysis(
                 self.load_days("dwd", "dwd_order_detail", 31), self.dt

@@ -68,6 +68,11 @@ def test_reports_after_two_days(spark, warehouse, rows):
     rank = files.read_partition(spark, f"{root}/ads/ads_sku_sales_rank", d2).where("recent_days = 7")
     assert rows(rank, "sku_id", "order_amount", "payment_amount", "refund_amount", "rank") == [
         ("s1", Decimal("30.00"), Decimal("20.00"), Decimal("4.00"), 1)]
+    back = files.read_partition(spark, f"{root}/ads/ads_user_retention", d2)
+    assert rows(back, "cohort_day", "retention_day", "new_user_count", "retention_count", "active_user_count") == [
+        ("2024-01-21", 1, 2, 1, 1)]
+    trend = files.read_partition(spark, f"{root}/ads/ads_gmv_trend", d2)
+    assert rows(trend, "gmv", "gmv_dod_rate", "gmv_yoy_rate") == [(Decimal("10.00"), -66.67, None)]
     funnel = files.read_partition(spark, f"{root}/ads/ads_conversion_rate", d2).where("recent_days = 1")
     assert rows(funnel, "visit_count", "order_count", "payment_count") == [(1, 1, 1)]
 
