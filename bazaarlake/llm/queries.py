@@ -5,10 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from bazaarlake.llm import quality
 from bazaarlake.llm.decontaminate import contamination
+from bazaarlake.llm.licenses import license_scan
 from bazaarlake.llm.minhash import near_duplicates
-from bazaarlake.llm.shared import table
+from bazaarlake.llm.mixing import mix
+from bazaarlake.llm.shared import fold, table
+from bazaarlake.llm.sharding import shards
+from bazaarlake.llm.topk import top_k
+from bazaarlake.llm.warc import page_records
 
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,9 +28,52 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("doc_id", "contamination.*")
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_records(table(spark, sf_dir, "pages"))
+
+
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mix(docs).select("doc_id", "source", "mix.*")
+
+
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return license_scan(docs).select("doc_id", "license.*").drop("spans")
+
+
+def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    sharded = shards(docs).select("doc_id", "shard.*")
+    return sharded.withColumnsRenamed({"id": "shard_id", "bytes": "shard_bytes"})
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold(F.col("doc_id"), 5) == 0
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), train=~held_out)
+    return quality.score(docs, model, out="score").select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= quality.REJECT_BELOW).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_decontaminate": op2_decontaminate,
+    "op3_warc": op3_warc,
+    "op4_topk": op4_topk,
+    "op5_mix": op5_mix,
+    "op6_licenses": op6_licenses,
+    "op7_shards": op7_shards,
+    "op8_quality": op8_quality,
 }
 
 ORACLE: dict[str, str] = {}
