@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.llm import quality
+from bazaarlake.llm import hmm, quality
 from bazaarlake.llm.decontaminate import contamination
 from bazaarlake.llm.licenses import license_scan
 from bazaarlake.llm.minhash import near_duplicates
@@ -65,6 +65,11 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return hmm.score(docs, fold(F.col("doc_id"), 5) == 1)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_decontaminate": op2_decontaminate,
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_licenses": op6_licenses,
     "op7_shards": op7_shards,
     "op8_quality": op8_quality,
+    "op10_hmm": op10_hmm,
 }
 
 ORACLE: dict[str, str] = {}
