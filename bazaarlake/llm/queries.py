@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.llm import hmm, quality
+from bazaarlake.llm import hmm, pii, quality
 from bazaarlake.llm.decontaminate import contamination
 from bazaarlake.llm.licenses import license_scan
 from bazaarlake.llm.minhash import near_duplicates
@@ -65,6 +65,19 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.personal_data(docs, out="p")
+    p = F.col("p")
+    base = pii.span_text(p, pii.KINDS)
+    return found.select(
+        "doc_id",
+        *[F.size(p[k]).cast("bigint").alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(base, 256).alias("base_sha256"),
+        pii.span_text(p, (*pii.KINDS, pii.SECRET)).alias("spans"),
+    )
+
+
 def op10_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return hmm.score(docs, fold(F.col("doc_id"), 5) == 1)
@@ -79,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_licenses": op6_licenses,
     "op7_shards": op7_shards,
     "op8_quality": op8_quality,
+    "op9_pii": op9_pii,
     "op10_hmm": op10_hmm,
 }
 
