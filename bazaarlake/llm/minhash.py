@@ -12,19 +12,17 @@ a pair at similarity 0.75 shares none with probability (1 - 0.75^4)^48, about 1e
 Candidates are confirmed on their full sets.
 
 Equal sets become one row first, so that copies cost nothing. Inside a band nobody is paired with
-everybody: each set is checked against one hub of its band, sets that became one class
-need no more checks, and only what is left in different classes is compared, by the
-bits of the sketch and then exactly, without a cap.
+everybody: each set is checked against one hub of its band, twice, and sets that became one class
+need no more checks. Only what is left in different classes is compared, by the
+bits of the sketch and then exactly, without a cap; where large groups are left, inside the join.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlake.llm.components import connected_components
@@ -39,10 +37,14 @@ PERCENT = 75
 # Differing sketch bits of a pair at similarity 0.75: 24 on average, deviation 4.6. Beyond this
 # bound, 5.6 deviations up, a pair is no candidate of the exhaustive comparison.
 FAR_BITS = 50
-# Further hub rounds are worth it while the exhaustive comparison would have more pairs than this
-# per set. Results do not depend on it.
-PAIRS_PER_SET = 4
-MAX_ROUNDS = 6
+# Turns in which the sets of a band are checked against one hub of it.
+HUB_TURNS = 2
+# What is left in bands of up to so many sets is compared band by band; in larger ones, where
+# the same sets meet in many bands, once for all bands together.
+SMALL_BAND = 32
+
+# Sets of such a group that one task compares with all others of it.
+BLOCK_SETS = 1024
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -165,27 +167,30 @@ def _pairs(rows: DataFrame) -> DataFrame:
     )
 
 
+def _similar(set_a: str, set_b: str) -> Column:
+    both = F.size(F.array_intersect(set_a, set_b))
+    return both * 100 >= (F.size(set_a) + F.size(set_b) - both) * PERCENT
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose full sets are similar enough."""
     a = sets.select(F.col("set_id").alias("a"), F.col("hashes").alias("set_a"))
     b = sets.select(F.col("set_id").alias("b"), F.col("hashes").alias("set_b"))
-    both = F.size(F.array_intersect("set_a", "set_b"))
-    union = F.size("set_a") + F.size("set_b") - both
-    return pairs.join(a, "a").join(b, "b").where(both * 100 >= union * PERCENT).select("a", "b")
+    return pairs.join(a, "a").join(b, "b").where(_similar("set_a", "set_b")).select("a", "b")
 
 
-def _classed(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """Members of bands whose sets are still in different classes."""
+def _mixed(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """The members of bands whose sets are still in different classes, with the size of the band."""
     known = members.join(classes.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn(
         "component", F.coalesce("component", "set_id")
     )
     mixed = (
         known.groupBy("key")
-        .agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+        .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("sets"))
         .where("lo <> hi")
-        .select("key")
+        .select("key", "sets")
     )
-    return known.join(mixed, "key", "left_semi")
+    return known.join(mixed, "key")
 
 
 def _to_hubs(members: DataFrame, turn: int) -> DataFrame:
@@ -197,22 +202,46 @@ def _to_hubs(members: DataFrame, turn: int) -> DataFrame:
     return members.select("key", me.alias("x")).join(hub, "key").where("x.component <> y.component")
 
 
-def _all_left(members: DataFrame, bits: DataFrame) -> DataFrame:
-    """Members of one band in different classes whose sketch bits are near enough."""
-    rich = members.join(bits, "set_id")
-    x = rich.select("key", F.struct("set_id", "n", "component", "bits").alias("x"))
-    y = rich.select("key", F.struct("set_id", "n", "component", "bits").alias("y"))
+def _near_bits() -> Column:
     differ = sum(
         (F.bit_count(F.col("x.bits")[i].bitwiseXOR(F.col("y.bits")[i])) for i in range(WORDS64)),
         F.lit(0),
     )
-    return x.join(y, "key").where(
+    return (
         (F.col("x.set_id") < F.col("y.set_id"))
         & (F.col("x.component") != F.col("y.component"))
+        & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * PERCENT)
         & (differ <= FAR_BITS)
     )
 
 
+def _left_in_small(members: DataFrame, bits: DataFrame) -> DataFrame:
+    """Members of one band in different classes whose sketch bits are near enough."""
+    me = F.struct("set_id", "n", "component", "bits")
+    rich = members.join(bits, "set_id")
+    x, y = rich.select("key", me.alias("x")), rich.select("key", me.alias("y"))
+    return _pairs(x.join(y, "key").where(_near_bits()))
+
+
+def _left_in_large(members: DataFrame, bits: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between classes in large bands. Bands that share sets make one group, so that a set
+    is there once and not once a band. Pairs are confirmed inside the join, which gives
+    out nothing but links."""
+    low = members.groupBy("key").agg(F.min("set_id").alias("b"))
+    groups = connected_components(members.join(low, "key").select(F.col("set_id").alias("a"), "b"))
+    nodes = members.select("set_id", "n", "component").distinct()
+    rows = nodes.join(groups.withColumnRenamed("component", "of").withColumnRenamed("node", "set_id"), "set_id", "left")
+    rows = rows.withColumn("of", F.coalesce("of", "set_id")).join(bits, "set_id").join(sets, "set_id")
+    # A large group is dealt out in blocks: each block of it meets all of its sets.
+    blocks = rows.groupBy("of").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("blocks"))
+    me = F.struct("set_id", "n", "component", "bits", "hashes")
+    rows = rows.join(blocks, "of").withColumn("me", me)
+    x = rows.select("of", F.pmod(F.xxhash64("set_id"), "blocks").alias("block"), F.col("me").alias("x"))
+    y = rows.select("of", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("me").alias("y"))
+    near = (x["of"] == y["of"]) & (x["block"] == y["block"]) & _near_bits() & _similar("x.hashes", "y.hashes")
+    return x.join(y, near).select(F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b"))
+
+
 def near_duplicate_sets(fingerprints: DataFrame, docs: DataFrame) -> DataFrame:
     """(node, component) of the set ids that are linked with another set."""
     sets = (
@@ -240,30 +269,21 @@ def near_duplicate_sets(fingerprints: DataFrame, docs: DataFrame) -> DataFrame:
         .select("full.*")
         .dropDuplicates(["set_id"])
     )
+    none = members.select(F.col("set_id").alias("node"), F.col("set_id").alias("component")).limit(0)
+    classes = none
+    for turn in range(HUB_TURNS):
+        left = _mixed(members, classes)
+        found = _confirmed(_pairs(_to_hubs(left, turn)), full)
+        classes = connected_components(_links(classes).unionByName(found))
     bits = sets.select("set_id", "bits")
-    links = None
-    checked = None
-    classes = members.select(F.col("set_id").alias("node"), F.col("set_id").alias("component")).limit(0)
-    for turn in range(MAX_ROUNDS + 1):
-        left = checkpointed(_classed(members, classes)) if turn else _classed(members, classes)
-        if turn:
-            sizes = left.groupBy("key").agg(F.count("*").alias("c"), F.min("component").alias("m"))
-            total, pairs_left = sizes.agg(F.sum("c"), F.sum(F.col("c").cast("double") * F.col("c") / 2)).first()
-            if not total:
-                break
-        last = turn == MAX_ROUNDS or (turn and pairs_left <= PAIRS_PER_SET * total)
-        pairs = _pairs(_all_left(left, bits) if last else _to_hubs(left, turn))
-        if checked is not None:
-            pairs = pairs.join(checked, ["a", "b"], "left_anti")
-        pairs = checkpointed(pairs)
-        found = _confirmed(pairs, full)
-        links = found if links is None else links.unionByName(found)
-        checked = pairs if checked is None else checked.unionByName(pairs)
-        classes = connected_components(links)
-        links = classes.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        if last:
-            break
-    return classes
+    left = checkpointed(_mixed(members, classes))
+    small = _confirmed(_left_in_small(left.where(F.col("sets") <= SMALL_BAND), bits), full)
+    large = _left_in_large(left.where(F.col("sets") > SMALL_BAND), bits, full)
+    return connected_components(_links(classes).unionByName(small).unionByName(large))
+
+
+def _links(classes: DataFrame) -> DataFrame:
+    return classes.select(F.col("node").alias("a"), F.col("component").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -285,14 +305,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return _with_class(fingerprints, classes)
 
 
-def _with_class(fingerprints: DataFrame, classes: DataFrame) -> DataFrame:
+def _class_of_sets(fingerprints: DataFrame, classes: DataFrame) -> DataFrame:
+    """(set_id, low, component): every set with its smallest id and the set id of its class."""
     of_set = fingerprints.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("low"))
     node = classes.select(F.col("node").alias("set_id"), "component")
-    labelled = of_set.join(node, "set_id", "left").withColumn(
-        "component", F.coalesce("component", "set_id")
-    )
+    return of_set.join(node, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
+
+
+def _with_class(fingerprints: DataFrame, classes: DataFrame) -> DataFrame:
+    labelled = _class_of_sets(fingerprints, classes)
     lowest = labelled.groupBy("component").agg(F.min("low").alias("component_id"))
-    by_set = labelled.join(lowest, "component").select("set_id", "component", "component_id")
+    by_set = labelled.join(lowest, "component").select("set_id", "component_id")
     component_id = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return (
         fingerprints.select("doc_id", "n", "set_id")
@@ -304,3 +327,32 @@ def _with_class(fingerprints: DataFrame, classes: DataFrame) -> DataFrame:
             F.col("doc_id").eqNullSafe(component_id).alias("kept"),
         )
     )
+
+
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs, one of each near-duplicate class: that with the smallest id, of equal ids
+    that with the smallest hash of the row, and of rows equal in every column one. Rows without a
+    word are in no class, and all stay. Columns stay as they are."""
+    key = F.concat_ws(":", F.col(id_col).cast("string"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).cast("string"))
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        key.alias("key"),
+        F.col(id_col).alias("doc_id"),
+        F.col(text_col).alias("text"),
+    )
+    fingerprints = checkpointed(
+        rows.select("doc_id", "key", "text").withColumn("f", _fingerprint("text")).select(F.col("key").alias("row_key"), "doc_id", "f.*")
+    )
+    classes = near_duplicate_sets(fingerprints, rows.select("doc_id", "text"))
+    component = _class_of_sets(fingerprints, classes).select("set_id", "component")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")
+    keep = (
+        fingerprints.where("n > 0")
+        .join(component, "set_id")
+        .groupBy("component")
+        .agg(F.min(order).alias("first"))
+        .select(F.col("first.row_key").alias("key"))
+    )
+    words = F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
+    one = rows.where(words).join(keep, "key", "left_semi").dropDuplicates(["key"])
+    return one.select("row.*").unionByName(rows.where(~words).select("row.*"))
