@@ -93,14 +93,17 @@ def write_archive(
     narrow.join(holders, "digest").select(
         "id", "digest", F.concat(*lines).cast("binary").alias("header")
     ).write.mode("overwrite").parquet(f"{folder}/headers")
-    # The record that stores a payload: joined by id, which no group of copies shares.
-    keeper = holders.select(F.col("holder").alias("id"), F.col("digest").alias("kept"))
-    stored = (
-        rows.select("id", "payload", "digest")
-        .join(keeper, F.col("digest").eqNullSafe(F.col("kept")) & rows["id"].eqNullSafe(keeper["id"]), "left_semi")
-        .select("digest", "payload")
+    # The record that stores a payload: joined by digest and id, which no group of copies shares. Rows
+    # that repeat both are combined where the join has put them.
+    key = F.when(F.col("id").isNull(), "").otherwise(F.concat(F.lit("="), F.col("id").cast("string")))
+    keeper = holders.select("digest", F.col("holder").alias("id")).select("digest", key.alias("key"))
+    once = (
+        rows.select("digest", key.alias("key"), "payload")
+        .join(keeper, ["digest", "key"], "left_semi")
+        .groupBy("digest", "key")
+        .agg(F.first("payload").alias("payload"))
+        .drop("key")
     )
-    once = stored.groupBy("digest").agg(F.first("payload").alias("payload"))
     once.write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/payloads")
 
 
