@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlake.llm.shared import alnum_words, as_bytes
+from bazaarlake.llm.shared import LONG, TEXT, alnum_words, as_bytes, struct
 
 WINDOW = 10
 SHARD_WORDS = 1 << 19
@@ -217,7 +217,7 @@ def _hit_udf(bench: Benchmark):
     return hits
 
 
-@F.arrow_udf("struct<n_hit: bigint, n_items: bigint, items_sha256: string>")
+@F.arrow_udf(struct(n_hit=LONG, n_items=LONG, items_sha256=TEXT))
 def _digest(spans: pa.Array, items: pa.Array) -> pa.Array:
     n_hit, n_items, sha = [], [], []
     for blocks, lists in zip(spans.to_pylist(), items.to_pylist()):

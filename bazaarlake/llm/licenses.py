@@ -14,8 +14,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from bazaarlake.llm.shared import alnum_words, as_bytes
+from bazaarlake.llm.shared import DOUBLE, INT, LONG, TEXT, alnum_words, as_bytes, struct
 
 # Phrase and label.
 BASE = (
@@ -115,10 +117,16 @@ def _exact(line: bytes) -> list[tuple[int, str]]:
 
 _SEARCH: list[NoticeSearch] = []
 
-SCAN = (
-    "struct<n_words: bigint, n_base: bigint, first_word: bigint, last_word: bigint, base_labels: string, "
-    "labels: string, score: double, "
-    "spans: array<struct<label: string, first_word: bigint, last_word: bigint, edits: int>>>"
+SPAN = struct(label=TEXT, first_word=LONG, last_word=LONG, edits=INT)
+SCAN = struct(
+    n_words=LONG,
+    n_base=LONG,
+    first_word=LONG,
+    last_word=LONG,
+    base_labels=TEXT,
+    labels=TEXT,
+    score=DOUBLE,
+    spans=T.ArrayType(SPAN),
 )
 
 
@@ -150,20 +158,7 @@ def _scan(texts: pa.Array) -> pa.Array:
                 "spans": [dict(zip(("label", "first_word", "last_word", "edits"), s)) for s in spans],
             }
         )
-    span = pa.struct(
-        [("label", pa.string()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("edits", pa.int32())]
-    )
-    kinds = [
-        ("n_words", pa.int64()),
-        ("n_base", pa.int64()),
-        ("first_word", pa.int64()),
-        ("last_word", pa.int64()),
-        ("base_labels", pa.string()),
-        ("labels", pa.string()),
-        ("score", pa.float64()),
-        ("spans", pa.list_(span)),
-    ]
-    return pa.array(out, pa.struct(kinds))
+    return pa.array(out, to_arrow_type(SCAN))
 
 
 def license_scan(docs: DataFrame, text_col: str = "text", out: str = "license") -> DataFrame:

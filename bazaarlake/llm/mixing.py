@@ -45,7 +45,7 @@ def natural_quotas(counts: DataFrame, max_share: float = MAX_SHARE) -> DataFrame
                 break
             rest -= row["n"]
             size = rest / (1 - c * max_share)
-            cap = math.floor(size * max_share)
+            cap = math.floor(size * max_share + 1e-9)
     quota = F.col("n") if cap is None else F.least(F.col("n"), F.lit(cap))
     return counts.select("source", "n", quota.cast("bigint").alias("quota"))
 
@@ -103,7 +103,7 @@ def _round(lanes: DataFrame, slots: int) -> DataFrame:
     # transform over one element names the pick, so that it is made once per slot.
     fold = f"""
         aggregate(
-            sequence(0, {slots} - 1),
+            slice(sequence(0, {slots} - 1), 1, if(size(c) = 0, 0, {slots})),
             named_struct('done', transform(c, x -> 0L), 'picks', cast(array() as array<int>)),
             (s, t) -> transform(array({pick}.i), p -> named_struct(
                 'done', transform(s.done, (x, k) -> if(k = p, x + 1L, x)),

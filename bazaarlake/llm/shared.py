@@ -5,6 +5,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Bytes that are no part of a word `[^\x00-\x2F\x3A-\x60\x7B-\x7F]+` become a space, A-Z a-z.
 # Every byte of a character outside ASCII is above 0x7F and stays, so bytes do as well as characters.
@@ -13,6 +14,13 @@ ALNUM = bytes(
     for b in range(256)
 )
 
+# Types of UDF results. DDL strings would need a session when the module is imported.
+LONG, INT, DOUBLE, TEXT, BOOL = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType(), T.BooleanType()
+
+
+def struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
