@@ -7,8 +7,8 @@ labelled training rows. A linear hinge-loss model on the scaled indicators is fi
 coordinate descent, and a logistic curve, fitted on rows the model has not seen, turns its
 margin into a probability.
 
-Only the descent runs on a sample: FIT_ROWS rows and FIT_FEATURES indicators at most, chosen by the
-hash of the id. Ids, labels, languages and sources are no features.
+Only the descent runs on a sample, in one task: FIT_ROWS rows and FIT_FEATURES indicators or so, chosen
+by the hash of the id. Ids, labels, languages and sources are no features.
 """
 
 from __future__ import annotations
@@ -22,8 +22,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from bazaarlake.llm.shared import as_bytes, checkpointed
+from bazaarlake.llm.shared import INT, as_bytes, checkpointed
 
 BITS = 18
 SIZE = 1 << BITS
@@ -86,7 +87,7 @@ def indicators(text: bytes | None, shapes: dict[bytes, bytes]) -> np.ndarray:
     return np.unique(np.fromiter(found, np.int64, len(found)) & (SIZE - 1))
 
 
-@F.arrow_udf("array<int>")
+@F.arrow_udf(T.ArrayType(INT))
 def _indicators(texts: pa.Array) -> pa.Array:
     shapes: dict[bytes, bytes] = {}
     return pa.array([indicators(t, shapes).astype(np.int32) for t in as_bytes(texts)], pa.list_(pa.int32()))
@@ -131,15 +132,14 @@ def _descend(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray) -> tuple[
     alpha = np.zeros(len(rows))
     share = max(1e-9, float((y > 0).mean()))
     bound = np.where(y > 0, 0.5 / share, 0.5 / max(1e-9, 1 - share)) * COST
-    scaled = [ratio[f] / math.sqrt(max(1, len(f))) for f in rows]
-    norm = np.array([float(x @ x) + 1.0 for x in scaled])
     rng = np.random.default_rng(8)
     for _ in range(EPOCHS):
         moved = 0.0
         for i in rng.permutation(len(rows)):
-            f, x = rows[i], scaled[i]
+            f = rows[i]
+            x = ratio[f] / math.sqrt(max(1, len(f)))
             slack = y[i] * (float(w[f] @ x) + bias) - 1
-            new = min(max(alpha[i] - slack / norm[i], 0.0), bound[i])
+            new = min(max(alpha[i] - slack / (float(x @ x) + 1.0), 0.0), bound[i])
             step = (new - alpha[i]) * y[i]
             if step:
                 w[f] += step * x
@@ -169,6 +169,46 @@ def _curve(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(max(a, 1e-3)), float(b)
 
 
+# Rows of a fitted model: cells below SIZE are weights, these are the rest of it.
+BIAS, SLOPE, OFFSET = SIZE, SIZE + 1, SIZE + 2
+
+
+def _fit_sample(ratio: np.ndarray):
+    """The model of the sample in one task's batches (rank, y, features), as (cell, value)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks, ys, rows = [], [], []
+        for batch in batches:
+            ranks.append(batch.column(0).to_numpy(zero_copy_only=False))
+            ys.append(batch.column(1).to_numpy(zero_copy_only=False))
+            lists = batch.column(2)
+            values = lists.flatten().to_numpy(zero_copy_only=False)
+            rows += np.split(values, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))[:-1])
+        if not rows:
+            return
+        order = np.argsort(np.concatenate(ranks), kind="stable")
+        rows = [rows[i] for i in order]
+        y = np.where(np.concatenate(ys)[order] > 0, 1.0, -1.0)
+        # Every fifth row is kept from the descent for the curve.
+        for_curve = np.arange(len(y)) % 5 == 4
+        if len(set(y[~for_curve])) < 2 or not for_curve.any():
+            for_curve = np.zeros(len(y), bool)
+        weights, bias = _descend([r for r, c in zip(rows, for_curve) if not c], y[~for_curve], ratio)
+        model = QualityModel(weights, bias, 1.0, 0.0)
+        use = for_curve if for_curve.any() else ~for_curve
+        slope, offset = _curve(np.array([model.margin(r) for r, u in zip(rows, use) if u]), y[use])
+        some = np.flatnonzero(weights)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.concatenate([some, [BIAS, SLOPE, OFFSET]])),
+                pa.array(np.concatenate([weights[some], [bias, slope, offset]])),
+            ],
+            names=["cell", "value"],
+        )
+
+    return run
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -208,20 +248,17 @@ def fit(
     q[counts["feature"]] += counts["bad"].to_numpy()
     ratio = np.log((p / (good + 2 * SMOOTHING)) / (q / (bad + 2 * SMOOTHING)))
     share = min(1.0, fit_rows / (good + bad), fit_features / max(1, sum(f for _, f in total.values())))
-    picked = features.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-    sample = picked.orderBy(F.xxhash64("id"), "id").limit(fit_rows).select("y", "features").toPandas()
-    rows_ = [np.asarray(f, np.int64) for f in sample["features"]]
-    y = np.where(sample["y"].to_numpy() > 0, 1.0, -1.0)
-    # Every fifth row is kept from the descent for the curve.
-    for_curve = np.arange(len(y)) % 5 == 4
-    if len(set(y[~for_curve])) < 2 or not for_curve.any():
-        for_curve = np.zeros(len(y), bool)
-    weights, bias = _descend([r for r, c in zip(rows_, for_curve) if not c], y[~for_curve], ratio)
-    model = QualityModel(weights, bias, 1.0, 0.0)
-    use = for_curve if for_curve.any() else ~for_curve
-    margin = np.array([model.margin(r) for r, u in zip(rows_, use) if u])
-    model.slope, model.offset = _curve(margin, y[use])
-    return model
+    rank = F.xxhash64("id")
+    sample = features.where(F.pmod(rank, F.lit(1 << 20)) < math.ceil(share * (1 << 20))).select(
+        rank.alias("rank"), "y", "features"
+    )
+    cells = sample.repartition(1).mapInArrow(_fit_sample(ratio), "cell bigint, value double").toPandas()
+    if not len(cells):  # a sample of a few rows may miss all
+        p = (good + 1) / (good + bad + 2)
+        return QualityModel(np.zeros(SIZE), 0.0, 1.0, math.log(p / (1 - p)))
+    model = np.zeros(SIZE + 3)
+    model[cells["cell"]] = cells["value"]
+    return QualityModel(model[:SIZE], *(float(model[c]) for c in (BIAS, SLOPE, OFFSET)))
 
 
 def score(docs: DataFrame, model: QualityModel, text_col: str = "text", out: str = "quality_score") -> DataFrame:
