@@ -327,13 +327,15 @@ def dim_coupon(coupons: DataFrame) -> DataFrame:
     )
 
 
-def order_accumulating_snapshot(previous: DataFrame, feed: DataFrame, biz_date: str) -> DataFrame:
+def order_accumulating_snapshot(
+    previous: DataFrame, feed: DataFrame, biz_date: str, extra: Sequence[str] = ()
+) -> DataFrame:
     """One row per order with the time each milestone was first reached.
 
     previous: yesterday's snapshot; feed: today's orders with order_status (code or
     name) and operate_time. A milestone is set once, by the day whose feed first
     shows its status; other attributes take the newest non-null value, create_time
-    the oldest.
+    the oldest. extra names further attributes to keep.
     """
     feed = feed.where(present(feed, "id")).withColumn("status_name", order_status_name())
     both = previous.alias("a").join(feed.alias("b"), F.expr("a.order_id = b.id"), "full_outer")
@@ -347,6 +349,7 @@ def order_accumulating_snapshot(previous: DataFrame, feed: DataFrame, biz_date:
         F.coalesce("b.user_id", "a.user_id").alias("user_id"),
         F.coalesce("b.total_amount", "a.total_amount").alias("total_amount"),
         F.coalesce("b.status_name", "a.order_status").alias("order_status"),
+        *[F.coalesce(f"b.{c}", f"a.{c}").alias(c) for c in extra],
         F.coalesce("a.create_time", "b.create_time").alias("create_time"),
         milestone("pay_time", "PAID"),
         milestone("ship_time", "SHIPPED"),
@@ -356,7 +359,9 @@ def order_accumulating_snapshot(previous: DataFrame, feed: DataFrame, biz_date:
     )
 
 
-def empty_order_snapshot(spark: SparkSession, feed: DataFrame) -> DataFrame:
+def empty_order_snapshot(
+    spark: SparkSession, feed: DataFrame, extra: Sequence[str] = ()
+) -> DataFrame:
     """Snapshot before the first day, typed after the feed."""
     fields = {f.name: f.dataType.simpleString() for f in feed.schema.fields}
     time = fields["operate_time"]
@@ -364,5 +369,6 @@ def empty_order_snapshot(spark: SparkSession, feed: DataFrame) -> DataFrame:
         [],
         f"order_id {fields['id']}, user_id {fields['user_id']}, total_amount {fields['total_amount']}, "
         f"order_status string, create_time {fields['create_time']}, pay_time {time}, ship_time {time}, "
-        f"finish_time {time}, refund_time {time}, snapshot_date string",
+        f"finish_time {time}, refund_time {time}, snapshot_date string"
+        + "".join(f", {c} {fields[c]}" for c in extra),
     )

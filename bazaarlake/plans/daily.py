@@ -3,18 +3,24 @@
 Layers are ORC tables in dt folders under one root. A step reads what the steps
 before it wrote, so a rerun of a day, or of a failed step, replaces just that day's
 folders, and a lost executor costs one step's tasks at most. Days have to run in
-order, since the user zipper and the order snapshot continue from the day before.
+order, since the user zipper and the order snapshot continue from the day before:
+without that day's folders the run stops, unless it is told that it is the first.
+
+Lines, payments and refunds take buyer, province and payment state from the order
+snapshot, which knows every order seen so far. An order that changes after its day,
+or is delivered late, is rewritten in the folder of its day, and so are its lines and
+the aggregates of the days they lie in.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.functions.common import last_year, latest_per_key, shift
+from bazaarlake.functions.common import date_id, is_paid, last_year, latest_per_key, shift
 from bazaarlake.operators import ads, dim, dwd, dws, quality
 from bazaarlake.sources.files import (
     created_on,
@@ -22,39 +28,57 @@ from bazaarlake.sources.files import (
     read_raw,
     read_table,
     write_partition,
+    write_partitions,
 )
 from bazaarlake.sources.schemas import raw_schema
 
-# A table may be missing on a day without this being an error.
-OPTIONAL_RAW = {
-    "order_refund_info",
-    "payment_info",
-    "action_page_view",
-    "action_favor_add",
-    "action_cart_add",
-    "action_order",
-    "spu_info",
-}
+# Tables of events that need not occur on a day, and reports over them.
+MAY_BE_EMPTY = (
+    "dwd/dwd_payment_info",
+    "dwd/dwd_order_refund",
+    "dwd/dwd_action",
+    "ads/ads_conversion_rate",
+    "ads/ads_user_activity",
+    "ads/ads_user_retention",
+    "ads/ads_sku_repurchase_analysis",
+)
+
+
+class MissingInput(RuntimeError):
+    """A raw table was not delivered, or the day before has not run."""
 
 
 class DailyRun:
-    def __init__(self, spark: SparkSession, raw_root: str, root: str, biz_date: str):
+    def __init__(
+        self,
+        spark: SparkSession,
+        raw_root: str,
+        root: str,
+        biz_date: str,
+        first_day: bool = False,
+        not_delivered: Collection[str] = (),
+    ):
         self.spark = spark
         self.raw_root = raw_root
         self.root = root
         self.dt = biz_date
+        self.first_day = first_day
+        self.not_delivered = frozenset(not_delivered)
         self.written: list[str] = []
+        self.touched: list[str] = []
 
     # Tables -------------------------------------------------------------
 
     def raw(self, table: str) -> DataFrame:
-        """The day's raw rows; an optional table that was not delivered is empty."""
+        """The day's raw rows; a table that the caller names as not delivered is empty."""
         schema = raw_schema(table)
+        if table in self.not_delivered:
+            return self.spark.createDataFrame([], schema)
         try:
             return read_raw(self.spark, f"{self.raw_root}/{table}", schema, self.dt).drop("dt")
         except AnalysisException as error:
-            if table in OPTIONAL_RAW and error.getCondition() == "PATH_NOT_FOUND":
-                return self.spark.createDataFrame([], schema)
+            if error.getCondition() == "PATH_NOT_FOUND":
+                raise MissingInput(f"{table} was not delivered for {self.dt}") from error
             raise
 
     def facts(self, table: str, time: str = "create_time") -> DataFrame:
@@ -81,11 +105,17 @@ class DailyRun:
         return read_table(self.spark, self.path(layer, table), shift(self.dt, 1 - days), self.dt)
 
     def yesterday(self, layer: str, table: str) -> DataFrame | None:
+        """The table as the day before left it; None on the first day only."""
+        if self.first_day:
+            return None
+        before = shift(self.dt, -1)
         try:
-            return read_partition(self.spark, self.path(layer, table), shift(self.dt, -1)).drop("dt")
+            return read_partition(self.spark, self.path(layer, table), before).drop("dt")
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
-                return None
+                raise MissingInput(
+                    f"{layer}/{table} of {before} is missing: run that day, or start with first_day"
+                ) from error
             raise
 
     # Layers -------------------------------------------------------------
@@ -115,28 +145,18 @@ class DailyRun:
 
     def run_dwd(self) -> None:
         sku_dim = self.load("dim", "dim_sku_full").drop("dt", "create_time", "price")
-        orders = self.save(
-            "dwd",
-            "dwd_order_info",
-            dwd.dwd_order_info(
-                self.facts("order_info"),
-                self.load("dim", "dim_user").drop("dt"),
-                self.load("dim", "dim_province").drop("dt"),
-            ),
-        ).drop("dt")
-        header = orders.select(
-            F.col("id").alias("order_id"), "user_id", "province_id", "is_paid", "date_id"
-        )
+        header, late = self._orders()
         details = dwd.dwd_order_detail(self.facts("order_detail"), sku_dim)
-        self.save("dwd", "dwd_order_detail", details.join(header, "order_id"))
-        refunds = dwd.dwd_order_refund(self.facts("order_refund_info"), orders, sku_dim)
-        self.save("dwd", "dwd_order_refund", refunds)
+        self.save("dwd", "dwd_order_detail", self._with_header(details, header))
+        refunds = self.facts("order_refund_info")
+        orders = header.withColumnRenamed("order_id", "id")
+        self.save("dwd", "dwd_order_refund", dwd.dwd_order_refund(refunds, orders, sku_dim))
         payments = self.facts("payment_info").drop("user_id")
-        with_buyer = orders.select("id", "user_id", "province_id")
+        paid_by = header.select("order_id", "user_id")
         self.save(
             "dwd",
             "dwd_payment_info",
-            dwd.dwd_payment_info(payments, with_buyer.drop("user_id")),
+            dwd.dwd_payment_info(payments, orders).join(paid_by, "order_id", "left"),
         )
         action_feeds = [
             self.facts("action_page_view", "action_time"),
@@ -145,25 +165,102 @@ class DailyRun:
             self.facts("action_order"),
         ]
         self.save("dwd", "dwd_action", dwd.dwd_action(*action_feeds, sku_dim))
-        self._order_snapshot()
+        self.touched = self._carry_back(header, late)
+
+    @staticmethod
+    def _with_header(lines: DataFrame, header: DataFrame) -> DataFrame:
+        """Lines with buyer, province and payment state of their order; a line whose order
+        was never delivered stays, without them."""
+        return (
+            lines.join(header, "order_id", "left")
+            .withColumn("is_paid", F.coalesce("is_paid", F.lit(0)))
+            .withColumn("date_id", date_id("create_time"))
+        )
+
+    def _enriched(self, orders: DataFrame) -> DataFrame:
+        return dwd.dwd_order_info(
+            orders,
+            self.load("dim", "dim_user").drop("dt"),
+            self.load("dim", "dim_province").drop("dt"),
+        )
 
-    def _order_snapshot(self) -> None:
-        feed = latest_per_key(self.raw("order_info"), ["id"], ["operate_time"])
+    def _orders(self) -> tuple[DataFrame, DataFrame]:
+        """Orders of the day and the order snapshot. Returns the snapshot as order_id, user_id,
+        province_id, is_paid, and the orders of earlier days that are new or have changed."""
+        self.save("dwd", "dwd_order_info", self._enriched(self.facts("order_info")))
+        feed = latest_per_key(self.raw("order_info"), ["id"], ["operate_time", "create_time"])
         before = self.yesterday("dim", "dim_order_accumulate_snapshot")
         if before is None:
-            before = dim.empty_order_snapshot(self.spark, feed)
-        self.save(
+            before = dim.empty_order_snapshot(self.spark, feed, ("province_id",))
+        snapshot = self.save(
             "dim",
             "dim_order_accumulate_snapshot",
-            dim.order_accumulating_snapshot(before, feed, self.dt),
+            dim.order_accumulating_snapshot(before, feed, self.dt, ("province_id",)),
+        )
+        header = snapshot.select(
+            "order_id", "user_id", "province_id", is_paid("order_status").cast("int").alias("is_paid")
         )
+        known = before.select(
+            F.col("order_id").alias("id"),
+            F.col("order_status").alias("known_status"),
+            F.col("total_amount").alias("known_amount"),
+            F.lit(1).alias("known"),
+        )
+        now = dwd.dwd_order_info_clean(feed.where(F.col("create_time") < self.dt))
+        same = F.col("known_status").eqNullSafe(F.col("order_status_name")) & F.col(
+            "known_amount"
+        ).eqNullSafe(F.col("total_amount"))
+        changed = now.join(known, "id", "left").where(F.col("known").isNull() | ~same)
+        return header, feed.join(changed.select("id"), "id", "left_semi")
+
+    def _carry_back(self, header: DataFrame, late: DataFrame) -> list[str]:
+        """Rewrite earlier days' orders and lines that have changed; returns the days."""
+        days = {r[0] for r in late.select(date_id("create_time")).distinct().collect()}
+        if not days:
+            return []
+        path = self.path("dwd", "dwd_order_info")
+        new = self._enriched(late).withColumn("dt", F.col("date_id"))
+        old = read_table(self.spark, path).where(F.col("dt").isin(*days))
+        kept = old.join(late.select("id"), "id", "left_anti")
+        write_partitions(kept.unionByName(new, allowMissingColumns=True), path)
+        # Lines lie on their order's day or after it.
+        path = self.path("dwd", "dwd_order_detail")
+        lines = read_table(self.spark, path, min(days), shift(self.dt, -1))
+        of_late = lines.join(late.select(F.col("id").alias("order_id")), "order_id", "left_semi")
+        line_days = {r[0] for r in of_late.select("dt").distinct().collect()}
+        if line_days:
+            stale = lines.where(F.col("dt").isin(*line_days)).drop("user_id", "province_id", "is_paid")
+            columns = lines.columns
+            write_partitions(self._with_header(stale, header).select(*columns), path)
+        return sorted(days | line_days)
 
     def run_dws(self) -> None:
-        orders = self.load("dwd", "dwd_order_info").drop("dt")
-        lines = self.load("dwd", "dwd_order_detail").drop("dt")
-        refunds = self.load("dwd", "dwd_order_refund").drop("dt")
-        actions = self.load("dwd", "dwd_action").drop("dt")
-        tables = {
+        for name, df in self._aggregates(self.dt).items():
+            self.save("dws", name, df)
+        first = dws.update_first_days(
+            self.yesterday("dws", "dws_user_first_order"), self.load("dwd", "dwd_order_info").drop("dt")
+        )
+        if self.touched:
+            # An order that was delivered late may be its buyer's first.
+            late = self._days("dwd_order_info", self.touched).drop("dt")
+            first = dws.update_first_days(first, late)
+        self.save("dws", "dws_user_first_order", first)
+        for day in self.touched:
+            for name, df in self._aggregates(day).items():
+                write_partition(df, self.path("dws", name), day)
+
+    def _days(self, table: str, days: list[str]) -> DataFrame:
+        return read_table(self.spark, self.path("dwd", table)).where(F.col("dt").isin(*days))
+
+    def _aggregates(self, day: str) -> dict[str, DataFrame]:
+        """The daily tables of one day, from the details of that day."""
+
+        def of(table: str) -> DataFrame:
+            return self._days(table, [day]).drop("dt")
+
+        orders, lines = of("dwd_order_info"), of("dwd_order_detail")
+        refunds, actions = of("dwd_order_refund"), of("dwd_action")
+        return {
             "dws_gmv_stats": dws.dws_gmv_stats(orders),
             "dws_user_action_stats": dws.dws_user_action_stats(actions, lines, refunds),
             "dws_sku_stats": dws.dws_sku_stats(lines, refunds),
@@ -173,12 +270,7 @@ class DailyRun:
             "dws_order_day": dws.dws_order_day(orders, refunds),
             "dws_user_day": dws.dws_user_day(orders),
             "dws_sku_day": dws.dws_sku_day(lines),
-            "dws_user_first_order": dws.update_first_days(
-                self.yesterday("dws", "dws_user_first_order"), orders
-            ),
         }
-        for name, df in tables.items():
-            self.save("dws", name, df)
 
     def run_ads(self) -> None:
         """Reports read the month they need; only days in that range are scanned."""
@@ -219,25 +311,51 @@ class DailyRun:
 
     @staticmethod
     def _paid_actions(actions: DataFrame, orders: DataFrame) -> DataFrame:
-        """Order actions marked paid from their order."""
+        """Order actions marked paid from their order; other actions, whose target is a
+        page or a SKU, are not shuffled."""
         paid = orders.select(F.col("id").alias("action_target_id"), F.col("is_paid").alias("paid"))
-        return (
-            actions.join(paid, "action_target_id", "left")
+        is_order = F.col("action_code") == "order"
+        ordered = (
+            actions.where(is_order)
+            .join(paid, "action_target_id", "left")
             .withColumn("is_paid", F.coalesce("paid", F.lit(0)))
             .drop("paid")
         )
+        return ordered.unionByName(actions.where(~is_order))
 
     def check(self) -> DataFrame:
-        """Row counts of the day's tables against the gate: orders and their report
-        must not be empty."""
+        """Row counts of the day's tables against the gate: every table needs rows, but for
+        those of events that may not occur. Orders and lines must all have arrived."""
         tables = {name: self.load(*name.split("/")) for name in self.written}
-        optional = {n: 0 for n in self.written if n not in ("dwd/dwd_order_info", "ads/ads_gmv_day")}
-        return quality.quality_gate(quality.layer_row_counts(tables), optional)
+        minimum = {name: 0 for name in MAY_BE_EMPTY}
+        for name, feed, needed in (
+            ("dwd/dwd_order_info", "order_info", ("id", "user_id")),
+            ("dwd/dwd_order_detail", "order_detail", ("id", "order_id", "sku_id")),
+        ):
+            rows = created_on(self.raw(feed), self.dt)
+            if feed == "order_detail":
+                rows = rows.where((F.col("sku_num") > 0) & (F.col("order_price") >= 0))
+            for column in needed:
+                rows = rows.where(F.col(column).isNotNull() & (F.col(column) != ""))
+            minimum[name] = max(1, rows.select("id").distinct().count())
+        return quality.quality_gate(quality.layer_row_counts(tables), minimum)
+
 
+def run_day(
+    spark: SparkSession,
+    raw_root: str,
+    root: str,
+    biz_date: str,
+    first_day: bool = False,
+    not_delivered: Collection[str] = (),
+) -> list[str]:
+    """Run every layer for one day and fail the day if a table misses rows.
 
-def run_day(spark: SparkSession, raw_root: str, root: str, biz_date: str) -> list[str]:
-    """Run every layer for one day and fail the day if its flagship report is empty."""
-    run = DailyRun(spark, raw_root, root, biz_date)
+    first_day starts the history; on any other day the day before must have run.
+    not_delivered names raw tables that are known to be absent; any other absent one
+    fails the run before anything is replaced that depends on it.
+    """
+    run = DailyRun(spark, raw_root, root, biz_date, first_day, not_delivered)
     run.run_dim()
     run.run_dwd()
     run.run_dws()

@@ -25,31 +25,59 @@ def created_between(column: str, dt: str) -> Column:
 
 
 class IngestError(RuntimeError):
-    """The raw folder holds another number of rows than the source delivered."""
+    """The raw folder does not hold what the source delivered."""
+
+
+# The characters that cannot stand in a text table, and how they are written.
+ESCAPES = (("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r"))
+
+
+def _escaped(value: Column) -> Column:
+    for plain, written in ESCAPES:
+        value = F.replace(value, F.lit(plain), F.lit(written))
+    return value
+
+
+def _unescaped(value: Column) -> Column:
+    """Escaped backslashes first: the text between them holds whole escapes only."""
+    backslash, written = ESCAPES[0]
+
+    def rest(part: Column) -> Column:
+        for plain, escape in ESCAPES[1:]:
+            part = F.replace(part, F.lit(escape), F.lit(plain))
+        return part
+
+    return F.array_join(F.transform(F.split(value, "\\\\\\\\"), rest), backslash)
 
 
 def ingest(df: DataFrame, table_path: str, dt: str, compression: str = "none") -> int:
-    """write_raw, then compare the rows written with the rows in the folder. The
+    """write_raw, then compare rows and fields of the folder with what was delivered. The
     source is read once: its rows are counted while they pass."""
     delivered = Observation()
     write_raw(df.observe(delivered, F.count(F.lit(1)).alias("n")), table_path, dt, compression)
     rows = delivered.get["n"]
-    text = df.sparkSession.read.schema(df.schema).option("sep", SEPARATOR).option("quote", "")
-    stored = text.csv(f"{table_path}/dt={dt}").count()
-    if stored != rows:
-        raise IngestError(f"{table_path}/dt={dt}: {rows} rows delivered, {stored} stored")
+    fields = F.size(F.split("value", SEPARATOR))
+    stored, other = (
+        df.sparkSession.read.text(f"{table_path}/dt={dt}")
+        .agg(F.count(F.lit(1)), F.coalesce(F.sum((fields != len(df.columns)).cast("int")), F.lit(0)))
+        .first()
+    )
+    if stored != rows or other:
+        raise IngestError(
+            f"{table_path}/dt={dt}: {rows} rows delivered, {stored} stored, {other} of another width"
+        )
     return rows
 
 
 def write_raw(df: DataFrame, table_path: str, dt: str, compression: str = "none") -> None:
-    """Ingest: tab-separated text into the table's dt folder; a rerun replaces it."""
+    """Ingest: tab-separated text into the table's dt folder; a rerun replaces it. Tabs,
+    line breaks and backslashes in a value are escaped, NULL is the marker."""
+    fields = [F.coalesce(_escaped(F.col(c).cast("string")), F.lit(NULL_MARKER)) for c in df.columns]
     (
-        df.write.mode("overwrite")
-        .option("sep", SEPARATOR)
-        .option("nullValue", NULL_MARKER)
-        .option("emptyValue", "")
+        df.select(F.concat_ws(SEPARATOR, *fields).alias("value"))
+        .write.mode("overwrite")
         .option("compression", compression)
-        .csv(f"{table_path}/dt={dt}")
+        .text(f"{table_path}/dt={dt}")
     )
 
 
@@ -57,17 +85,20 @@ def read_raw(
     spark: SparkSession, table_path: str, schema: T.StructType, dt: str | None = None
 ) -> DataFrame:
     """Text table with a declared schema; NULL is \\N, or the word a plain export
-    prints. With dt only that folder is read."""
-    reader = (
-        spark.read.schema(schema)
-        .option("sep", SEPARATOR)
-        .option("nullValue", NULL_MARKER)
-        .option("emptyValue", "")
-        .option("quote", "")
-    )
+    prints. Fields a line does not have, and values that are none of their type, are NULL.
+    With dt only that folder is read."""
     if dt is None:
-        return null_text_to_null(reader.option("basePath", table_path).csv(table_path))
-    return null_text_to_null(reader.csv(f"{table_path}/dt={dt}")).withColumn("dt", F.lit(dt))
+        lines = spark.read.option("basePath", table_path).text(table_path)
+    else:
+        lines = spark.read.text(f"{table_path}/dt={dt}").withColumn("dt", F.lit(dt))
+    parts = F.split("value", SEPARATOR, -1)
+    fields = []
+    for i, field in enumerate(schema.fields):
+        written = F.get(parts, F.lit(i))
+        value = F.when(written != NULL_MARKER, _unescaped(written))
+        typed = value if isinstance(field.dataType, T.StringType) else value.try_cast(field.dataType)
+        fields.append(typed.alias(field.name))
+    return null_text_to_null(lines.select(*fields, *(["dt"] if "dt" in lines.columns else [])))
 
 
 def write_partition(df: DataFrame, table_path: str, dt: str, fmt: str = "orc") -> None:

@@ -38,9 +38,10 @@ def read_table(
 
 
 def hour_predicates(column: str, dt: str, step: int = 1) -> list[str]:
-    """Half-open time slices covering one day: one parallel read each."""
-    starts = [f"{dt} {hour:02d}:00:00" for hour in range(0, 24, step)]
-    ends = [*starts[1:], f"{shift(dt, 1)} 00:00:00"]
+    """Half-open time slices covering one day: one parallel read each. Times may be text with
+    or without seconds, so the day's ends are bare dates and the others have minutes."""
+    starts = [dt, *[f"{dt} {hour:02d}:00" for hour in range(step, 24, step)]]
+    ends = [*starts[1:], shift(dt, 1)]
     return [f"{column} >= '{a}' AND {column} < '{b}'" for a, b in zip(starts, ends, strict=True)]
 
 

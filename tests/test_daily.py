@@ -3,7 +3,7 @@ from decimal import Decimal
 import pytest
 
 from bazaarlake.operators import quality
-from bazaarlake.plans.daily import run_day
+from bazaarlake.plans.daily import MissingInput, run_day
 from bazaarlake.sources import files
 from bazaarlake.sources.jdbc import hour_predicates
 from bazaarlake.sources.schemas import RAW_COLUMNS, raw_schema
@@ -41,6 +41,10 @@ def detail(i, oid, day):
     return {"id": i, "order_id": oid, "sku_id": "s1", "order_price": "5", "sku_num": 2, "create_time": f"{day} 09:30"}
 
 
+UNUSED = ("payment_info", "action_favor_add", "action_cart_add")
+NO_EVENTS = (*UNUSED, "order_refund_info", "action_page_view", "action_order")
+
+
 @pytest.fixture(scope="module")
 def warehouse(spark, tmp_path_factory):
     raw, root = str(tmp_path_factory.mktemp("raw")), str(tmp_path_factory.mktemp("wh"))
@@ -55,8 +59,8 @@ def warehouse(spark, tmp_path_factory):
     put(spark, raw, "order_refund_info", d2, [{"id": "r1", "order_id": "o3", "sku_id": "s1", "refund_num": 1, "refund_amount": "4", "create_time": f"{d2} 11:00"}])
     put(spark, raw, "action_page_view", d2, [{"user_id": "u1", "sku_id": "s1", "page_id": "x", "action_time": f"{d2} 08:00"}])
     put(spark, raw, "action_order", d2, [{"user_id": "u1", "sku_id": "s1", "order_id": "o3", "order_detail_id": "d3", "create_time": f"{d2} 09:30"}])
-    run_day(spark, raw, root, d1)
-    run_day(spark, raw, root, d2)
+    run_day(spark, raw, root, d1, first_day=True, not_delivered=NO_EVENTS)
+    run_day(spark, raw, root, d2, not_delivered=UNUSED)
     return raw, root, d1, d2
 
 
@@ -92,7 +96,7 @@ def test_rerun_of_a_day_is_idempotent(spark, warehouse, rows):
     raw, root, _, d2 = warehouse
     tables = ("dim/dim_user", "dwd/dwd_order_detail", "dws/dws_sku_stats", "ads/ads_gmv_day", "ads/ads_user_retention")
     before = {t: rows(files.read_partition(spark, f"{root}/{t}", d2)) for t in tables}
-    run_day(spark, raw, root, d2)
+    run_day(spark, raw, root, d2, not_delivered=UNUSED)
     assert before == {t: rows(files.read_partition(spark, f"{root}/{t}", d2)) for t in tables}
 
 
@@ -133,7 +137,7 @@ def test_external_table_partitions_are_attached(spark, warehouse, rows):
 
 def test_gzip_ingest_clickstream_and_products(spark, tmp_path, rows):
     files.write_raw(spark.createDataFrame([("1", "a", None)], "id string, name string, create_time string"), str(tmp_path / "g"), "d", "gzip")
-    assert list((tmp_path / "g" / "dt=d").glob("*.csv.gz"))
+    assert list((tmp_path / "g" / "dt=d").glob("*.txt.gz"))
     got = files.read_raw(spark, str(tmp_path / "g"), raw_schema("base_category1"), "d")
     assert rows(got, "id", "name", "create_time") == [("1", "a", None)]
     (tmp_path / "log.csv").write_text("2025-06-15 10:00:00,u,ip,a,p\nx,\n")
@@ -148,8 +152,11 @@ def test_schemas_and_jdbc_slices():
     assert raw_schema("order_detail")["order_price"].dataType.simpleString() == "decimal(16,2)"
     slices = hour_predicates("create_time", "2024-02-29", 12)
     assert slices == [
-        "create_time >= '2024-02-29 00:00:00' AND create_time < '2024-02-29 12:00:00'",
-        "create_time >= '2024-02-29 12:00:00' AND create_time < '2024-03-01 00:00:00'"]
+        "create_time >= '2024-02-29' AND create_time < '2024-02-29 12:00'",
+        "create_time >= '2024-02-29 12:00' AND create_time < '2024-03-01'"]
+    # Text times of the minute after midnight belong to the new day, whatever their length.
+    for time in ("2024-02-29 00:00", "2024-02-29 00:00:00"):
+        assert "2024-02-29" <= time < "2024-02-29 12:00"
 
 
 def test_ingest_counts_rows_and_replaces_a_rerun(spark, tmp_path):
@@ -158,6 +165,85 @@ def test_ingest_counts_rows_and_replaces_a_rerun(spark, tmp_path):
     df = spark.createDataFrame(rows, "id string, name string, create_time string")
     assert files.ingest(df, path, "2024-01-01") == 2
     assert files.ingest(df.limit(1), path, "2024-01-01") == 1
-    broken = spark.createDataFrame([("1", "two\nlines", None)], df.schema)
-    with pytest.raises(files.IngestError):
-        files.ingest(broken, path, "2024-01-02")
+
+
+def test_ingest_fails_on_another_width(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([("1", "a\tb"), ("2", "c")], "id string, name string")
+    monkeypatch.setattr(files, "ESCAPES", files.ESCAPES[:1])
+    with pytest.raises(files.IngestError, match="1 of another width"):
+        files.ingest(df, str(tmp_path / "t"), "2024-01-02")
+
+
+def test_raw_text_comes_back_as_it_was(spark, tmp_path, rows):
+    texts = ["a\tb \"q\"", 'say "hi"', "", None, "two\nlines", "\r\n", "\\", "\\t", "\\\\n", "\\\t", "\\N", "x\\", "\\\\\\N", "é \u2028", " "]
+    data = [(str(i), t, "2024-01-02 00:00") for i, t in enumerate(texts)]
+    df = spark.createDataFrame(data, "id string, name string, create_time string")
+    assert files.ingest(df, str(tmp_path / "t"), "2024-01-02") == len(texts)
+    got = files.read_raw(spark, str(tmp_path / "t"), df.schema, "2024-01-02")
+    assert {r["id"]: (r["name"], r["create_time"]) for r in got.collect()} == {i: (t, c) for i, t, c in data}
+    assert files.read_raw(spark, str(tmp_path / "t"), df.schema).count() == len(texts)
+    numbers = spark.createDataFrame([("1", Decimal("1.50"), 3), ("2", None, None)], "id string, price decimal(16,2), n int")
+    files.write_raw(numbers, str(tmp_path / "n"), "d")
+    assert rows(files.read_raw(spark, str(tmp_path / "n"), numbers.schema, "d"), "id", "price", "n") == [
+        ("1", Decimal("1.50"), 3), ("2", None, None)]
+
+
+@pytest.fixture(scope="module")
+def late(spark, tmp_path_factory):
+    """o1 is paid a day later, o2 gets a line and a refund a day later, o4 of day 1 is delivered on day 2."""
+    raw, root = str(tmp_path_factory.mktemp("raw")), str(tmp_path_factory.mktemp("wh"))
+    d1, d2 = "2024-01-21", "2024-01-22"
+    for d in (d1, d2):
+        load_lookups(spark, raw, d, "1")
+    put(spark, raw, "order_info", d1, [order("o1", "u1", "10", d1, "1001"), order("o2", "u2", "10", d1, "1002")])
+    put(spark, raw, "order_detail", d1, [detail("d1", "o1", d1), detail("d2", "o2", d1)])
+    put(spark, raw, "order_info", d2, [order("o1", "u1", "10", d1, "1002"), order("o3", "u1", "10", d2), order("o4", "u2", "30", d1)])
+    put(spark, raw, "order_detail", d2, [detail("d3", "o3", d2), detail("d4", "o2", d2), detail("d5", "nobody", d2)])
+    put(spark, raw, "order_refund_info", d2, [{"id": "r1", "order_id": "o2", "sku_id": "s1", "refund_num": 1, "refund_amount": "4", "create_time": f"{d2} 00:00"}])
+    put(spark, raw, "payment_info", d2, [{"id": "p1", "order_id": "o1", "total_amount": "10", "create_time": f"{d2} 01:00"}])
+    skip = ("action_page_view", "action_favor_add", "action_cart_add", "action_order")
+    run_day(spark, raw, root, d1, first_day=True, not_delivered=(*skip, "order_refund_info", "payment_info"))
+    run_day(spark, raw, root, d2, not_delivered=skip)
+    return raw, root, d1, d2, skip
+
+
+def test_late_lines_refunds_and_payments_have_their_order(spark, late, rows):
+    _, root, d1, d2, _ = late
+    lines = files.read_partition(spark, f"{root}/dwd/dwd_order_detail", d2)
+    assert rows(lines, "id", "user_id", "province_id", "is_paid", "date_id") == [
+        ("d3", "u1", "p1", 1, d2), ("d4", "u2", "p1", 1, d2), ("d5", None, None, 0, d2)]
+    refunds = files.read_partition(spark, f"{root}/dwd/dwd_order_refund", d2)
+    assert rows(refunds, "id", "user_id", "province_id", "date_id") == [("r1", "u2", "p1", d2)]
+    payments = files.read_partition(spark, f"{root}/dwd/dwd_payment_info", d2)
+    assert rows(payments, "id", "user_id", "province_id") == [("p1", "u1", "p1")]
+
+
+def test_changed_and_late_orders_reach_their_day(spark, late, rows):
+    _, root, d1, d2, _ = late
+    orders = files.read_partition(spark, f"{root}/dwd/dwd_order_info", d1)
+    assert rows(orders, "id", "order_status", "is_paid", "user_level") == [
+        ("o1", "1002", 1, "1"), ("o2", "1002", 1, "1"), ("o4", "1002", 1, "1")]
+    lines = files.read_partition(spark, f"{root}/dwd/dwd_order_detail", d1)
+    assert rows(lines, "id", "is_paid", "user_id") == [("d1", 1, "u1"), ("d2", 1, "u2")]
+    gmv = files.read_partition(spark, f"{root}/dws/dws_gmv_stats", d1)
+    assert rows(gmv, "gmv", "paid_gmv") == [(Decimal("50.00"), Decimal("50.00"))]
+    rank = files.read_partition(spark, f"{root}/ads/ads_sku_sales_rank", d2).where("recent_days = 30")
+    assert rows(rank, "order_amount", "payment_amount") == [(Decimal("50.00"), Decimal("40.00"))]
+
+
+def test_a_rerun_with_late_rows_changes_nothing(spark, late, rows):
+    raw, root, d1, d2, skip = late
+    tables = [(t, d) for t in ("dwd/dwd_order_info", "dwd/dwd_order_detail", "dws/dws_gmv_stats", "dws/dws_sku_stats") for d in (d1, d2)]
+    before = [rows(files.read_partition(spark, f"{root}/{t}", d)) for t, d in tables]
+    run_day(spark, raw, root, d2, not_delivered=skip)
+    assert before == [rows(files.read_partition(spark, f"{root}/{t}", d)) for t, d in tables]
+
+
+def test_missing_days_and_feeds_stop_the_run(spark, late):
+    raw, root, _, d2, skip = late
+    d4 = "2024-01-24"
+    load_lookups(spark, raw, d4, "1")
+    with pytest.raises(MissingInput, match="2024-01-23"):
+        run_day(spark, raw, root, d4, not_delivered=skip)
+    with pytest.raises(MissingInput, match="action_page_view"):
+        run_day(spark, raw, root, d2)
