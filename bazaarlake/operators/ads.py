@@ -85,10 +85,14 @@ def ads_gmv_day(
     )
 
 
-def _cohorts(came_back: DataFrame, biz_date: str, cohort_days: int, offsets: Sequence[int]) -> DataFrame:
+def _cohorts(
+    came_back: DataFrame, biz_date: str, cohort_days: int | None, offsets: Sequence[int]
+) -> DataFrame:
     """One row per first-seen day: cohort size and users back on each offset, NULL
     where that day is not over yet."""
-    in_scope = F.col("create_date").between(shift(biz_date, -cohort_days), biz_date)
+    in_scope = F.col("create_date") <= biz_date
+    if cohort_days is not None:
+        in_scope = in_scope & (F.col("create_date") >= shift(biz_date, -cohort_days))
     age = F.datediff(F.lit(biz_date).cast("date"), F.col("create_date").cast("date"))
     return (
         came_back.where(in_scope)
@@ -109,11 +113,12 @@ def ads_user_retention(
     activity: DataFrame,
     biz_date: str,
     offsets: Sequence[int] = (1, 7, 14, 30),
-    cohort_days: int = 30,
+    cohort_days: int | None = 30,
     firsts: DataFrame | None = None,
 ) -> DataFrame:
     """(cohort day, retention day): cohort size, users active that many days later,
     rate, and all users active that day. Days not over yet have no row.
+    Cohorts of the last cohort_days days, or of the whole history with None.
 
     Without `firsts` (user_id, create_date) the activity has to reach back to every
     user's first day; with it, to the first cohort's day.

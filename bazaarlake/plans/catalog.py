@@ -264,7 +264,7 @@ def dwd_action(s: Sample) -> DataFrame:
 
 @query
 def dwd_order_refund(s: Sample) -> DataFrame:
-    refunds = s.refunds_of(s.lines()).select(
+    refunds = s.refunds().select(
         "order_id", "user_id", "sku_id", "refund_num", "refund_amount", "create_time"
     )
     return dwd.dwd_order_refund(refunds, s.order_info_with_province(), s.sku_dim()).select(
@@ -401,14 +401,14 @@ def dws_user_action_stats(s: Sample) -> DataFrame:
 def dws_user_action_order_stats(s: Sample) -> DataFrame:
     """The action aggregate with its order, payment and refund branches."""
     lines = s.lines()
-    return dws.dws_user_action_stats(s.actions(), lines, s.refunds_of(lines))
+    return dws.dws_user_action_stats(s.actions(), lines, s.refunds())
 
 
 @query
 def dws_sku_stats(s: Sample) -> DataFrame:
     lines = s.lines()
     names = s.sku_dim().select("sku_id", "tm_id", "category3_id")
-    return dws.dws_sku_stats(lines, s.refunds_of(lines), names)
+    return dws.dws_sku_stats(lines, s.refunds(), names)
 
 
 @query
@@ -446,7 +446,7 @@ def dws_category_stats(s: Sample) -> DataFrame:
 @query
 def dws_order_day(s: Sample) -> DataFrame:
     lines = s.lines()
-    return dws.dws_order_day(_orders(s), s.refunds_of(lines), s.coupon_uses(), s.activity_orders())
+    return dws.dws_order_day(_orders(s), s.refunds(), s.coupon_uses(), s.activity_orders())
 
 
 @query
@@ -457,17 +457,17 @@ def dws_user_day(s: Sample) -> DataFrame:
 @query
 def dws_sku_day(s: Sample) -> DataFrame:
     lines = s.lines()
-    return dws.dws_sku_day(lines, s.refunds_of(lines), s.actions())
+    return dws.dws_sku_day(lines, s.refunds(), s.actions())
 
 
 @query
 def dws_order_week(s: Sample) -> DataFrame:
-    return dws.dws_order_week(_orders(s), s.refunds_of(s.lines()))
+    return dws.dws_order_week(_orders(s), s.refunds())
 
 
 @query
 def dws_order_month(s: Sample) -> DataFrame:
-    return dws.dws_order_month(_orders(s), s.refunds_of(s.lines()))
+    return dws.dws_order_month(_orders(s), s.refunds())
 
 
 @query
@@ -512,7 +512,7 @@ def dws_customer_service_day(s: Sample) -> DataFrame:
 
 @query
 def dws_page_view_day(s: Sample) -> DataFrame:
-    return dws.dws_page_view_day(s.events(), "ts")
+    return dws.dws_page_view_day(s.events().where("event_type = 'view'"), "ts")
 
 
 # Reports ------------------------------------------------------------------
@@ -522,7 +522,7 @@ MONTH = 30
 
 @query
 def ads_gmv_day(s: Sample) -> DataFrame:
-    return ads.ads_gmv_day(_orders(s, MONTH), ORDER_DAY, s.refunds_of(s.lines(MONTH)))
+    return ads.ads_gmv_day(_orders(s, MONTH), ORDER_DAY, s.refunds(MONTH))
 
 
 @query
@@ -533,7 +533,7 @@ def ads_user_retention(s: Sample) -> DataFrame:
 @query
 def ads_user_retention_orders(s: Sample) -> DataFrame:
     """Retention of buyers: cohorts by first order day over the whole history."""
-    return ads.ads_user_retention(_orders(s), ORDER_DAY, cohort_days=3650)
+    return ads.ads_user_retention(_orders(s), ORDER_DAY, cohort_days=None)
 
 
 @query
@@ -545,7 +545,7 @@ def ads_user_retention_detail(s: Sample) -> DataFrame:
 def ads_sku_sales_rank(s: Sample) -> DataFrame:
     lines = s.lines(MONTH)
     names = s.sku_dim().select("sku_id", "sku_name", "tm_name", "category3_name")
-    return ads.ads_sku_sales_rank(lines, ORDER_DAY, s.refunds_of(lines), names)
+    return ads.ads_sku_sales_rank(lines, ORDER_DAY, s.refunds(MONTH), names)
 
 
 @query
@@ -581,7 +581,7 @@ def ads_user_active_day(s: Sample) -> DataFrame:
 @query
 def ads_category_sale_analysis(s: Sample) -> DataFrame:
     lines = s.sku_lines(MONTH)
-    return ads.ads_category_sale_analysis(lines, s.refunds_of(lines), ORDER_DAY)
+    return ads.ads_category_sale_analysis(lines, s.sku_refunds(MONTH), ORDER_DAY)
 
 
 @query
@@ -608,8 +608,12 @@ def ads_sku_repurchase_analysis(s: Sample) -> DataFrame:
 
 @query
 def ads_refund_analysis(s: Sample) -> DataFrame:
-    refunds = s.refunds_of(s.sku_lines()).select(
-        "*",
+    refunds = s.sku_refunds().select(
+        "order_id",
+        "user_id",
+        "refund_amount",
+        F.col("create_time").alias("refund_time"),
+        F.col("order_time").alias("create_time"),
         F.col("category3_name").alias("category_name"),
         F.col("line_status").alias("refund_reason_type"),
     )
@@ -641,16 +645,17 @@ def ads_gmv_category(s: Sample) -> DataFrame:
 @query
 def ads_trademark_stats(s: Sample) -> DataFrame:
     lines = s.sku_lines(MONTH).drop("tm_name")
-    return ads.ads_trademark_stats(lines, s.refunds_of(lines), ORDER_DAY)
+    return ads.ads_trademark_stats(lines, s.sku_refunds(MONTH), ORDER_DAY)
 
 
 @query
 def ads_province_stats(s: Sample) -> DataFrame:
     orders = _province_orders(s, MONTH)
-    home = orders.select(
+    # A refund of the window may be of an older order.
+    home = _province_orders(s).select(
         F.col("id").alias("order_id"), "province_id", "province_name", "region_id", "region_name"
     )
-    refunds = s.refunds_of(s.lines(MONTH)).join(home, "order_id")
+    refunds = s.refunds(MONTH).join(home, "order_id")
     return ads.ads_province_stats(orders, refunds, ORDER_DAY)
 
 
@@ -661,8 +666,9 @@ def ads_user_new_day(s: Sample) -> DataFrame:
 
 @query
 def ads_sku_exposure_click(s: Sample) -> DataFrame:
+    """Views are exposures; a click counts as one and, as in all other queries, as a cart add."""
     log = s.events().select("sku_id", F.col("event_type").alias("action_code"))
-    return ads.ads_sku_exposure_click(log, "view", "click", "purchase")
+    return ads.ads_sku_exposure_click(log, "view", "click", "click")
 
 
 @query
@@ -752,7 +758,14 @@ def order_amount_summary(s: Sample) -> DataFrame:
 
 
 def _clicks(s: Sample) -> DataFrame:
-    return behavior.valid(behavior.log_clean_strict(s.raw_lines()))
+    """The lines that adaptive cleaning keeps, which all analyses of the log read."""
+    cleaned, _ = behavior.clean_adaptive(s.raw_lines(), RUN_TS)
+    return behavior.valid(cleaned)
+
+
+@query
+def log_clean_adaptive(s: Sample) -> DataFrame:
+    return _clicks(s)
 
 
 @query
@@ -852,7 +865,7 @@ def _layers(s: Sample) -> dict[str, DataFrame]:
         "ods_order_detail": s.table("lineitem"),
         "dwd_order_info": _orders(s),
         "dwd_action": s.actions(),
-        "dwd_order_refund": s.refunds_of(s.lines()),
+        "dwd_order_refund": s.refunds(),
         "dws_user_day": dws.dws_user_day(_orders(s)),
     }
 

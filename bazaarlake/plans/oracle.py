@@ -63,6 +63,15 @@ PARTS = {
              CAST(l_discount AS DECIMAL(4,2)) AS disc, CAST(l_tax AS DECIMAL(4,2)) AS tax,
              l_returnflag AS rf, l_linestatus AS ls, l_shipdate, o.paid, o.day, o.date_id, o.o_orderdate
       FROM lineitem JOIN o ON l_orderkey = o.id)""",
+    "rl": """rl AS (
+      SELECT l_orderkey AS order_id, o.user_id, l_partkey AS sku_id, CAST(l_quantity AS BIGINT) AS num,
+             CAST(l_extendedprice AS DECIMAL(16,2)) AS amt, CAST(l_shipdate AS DATE) AS day,
+             strftime(l_shipdate, '%Y-%m-%d') AS date_id
+      FROM lineitem JOIN o ON l_orderkey = o.id WHERE l_returnflag = 'R')""",
+    "lr": """lr AS (
+      SELECT order_id, user_id, sku_id, num, amt, paid, day, date_id, 0 AS back FROM l
+      UNION ALL SELECT order_id, user_id, sku_id, num, amt, 0, day, date_id, 1 FROM rl)""",
+    "lrp": """lrp AS (SELECT lr.*, p.tm_id, p.c2, p.c3, p.sku_name FROM lr LEFT JOIN p USING (sku_id))""",
     "p": """p AS (
       SELECT p_partkey AS sku_id, p_name AS sku_name, p_brand AS tm_id, p_type AS c2,
              p_type || '/' || CAST(p_size // 10 AS VARCHAR) AS c3,
@@ -105,12 +114,20 @@ PARTS = {
              CASE event_id % 40 WHEN 1 THEN '' WHEN 2 THEN NULL ELSE 'product' || sku_id END AS prod,
              event_id % 40 AS kind
       FROM e)""",
-    "c": """c AS (
-      SELECT line_id, t AS event_time, u AS "user", ip, act AS action, prod AS product
-      FROM raw WHERE kind > 3)""",
+    # What the mildest strategy that keeps 95 % of the lines leaves: 0 strict, 1 repair, 2 fill.
+    "c": f"""c AS (
+      SELECT line_id, CASE WHEN k = 0 THEN t ELSE good_t END AS event_time, u AS "user", ip, act AS action,
+             CASE WHEN prod IS NULL THEN 'unknown' WHEN prod = '' THEN 'unknown_product' ELSE prod END AS product
+      FROM raw, (SELECT CASE WHEN {pct('s0', 'total')} >= 95 THEN 0 WHEN {pct('s1', 'total')} >= 95 THEN 1 ELSE 2 END AS k
+                 FROM (SELECT count(*) AS total, count(*) FILTER (WHERE kind > 3) AS s0,
+                              count(*) FILTER (WHERE kind NOT IN (1, 2)) AS s1 FROM raw)) chosen
+      WHERE k = 2 OR kind > 3 OR (k = 1 AND kind NOT IN (1, 2)))""",
 }
 NEEDS = {
     "l": ["o"],
+    "rl": ["o"],
+    "lr": ["l", "rl"],
+    "lrp": ["lr", "p"],
     "lp": ["l", "p"],
     "op": ["o"],
     "a": ["e"],
@@ -141,21 +158,27 @@ def sql(parts: str, body: str) -> str:
 
 
 def _line_measures(keys: str, source: str = "l", recent: str | None = None) -> str:
-    """Per keys: orders, pieces and money of the lines."""
+    """Per keys: orders, pieces and money of the lines, and in the sources lr and lrp of the refunds."""
     group = f"{keys}, k" if recent else keys
     window = (
         f" JOIN r ON {source}.day > {recent} - r.k AND {source}.day <= {recent}" if recent else ""
     )
     k = "k, " if recent else ""
+    rows, back = f"(SELECT *, 0 AS back FROM {source}) {source}", ""
+    if source in ("lr", "lrp"):
+        rows = source
+        back = f""",
+             count(*) FILTER (WHERE back = 1) AS refund_count,
+             {big("coalesce(sum(num) FILTER (WHERE back = 1), 0)")} AS refund_num,
+             coalesce(sum(amt) FILTER (WHERE back = 1), 0) AS refund_amt"""
     return f"""
-      SELECT {k}{keys}, count(DISTINCT order_id) AS order_count, {big('sum(num)')} AS order_num,
-             sum(amt) AS order_amt, count(DISTINCT CASE WHEN paid = 1 THEN order_id END) AS payment_count,
+      SELECT {k}{keys}, count(DISTINCT CASE WHEN back = 0 THEN order_id END) AS order_count,
+             {big('coalesce(sum(num) FILTER (WHERE back = 0), 0)')} AS order_num,
+             coalesce(sum(amt) FILTER (WHERE back = 0), 0) AS order_amt,
+             count(DISTINCT CASE WHEN paid = 1 THEN order_id END) AS payment_count,
              {big('coalesce(sum(num) FILTER (WHERE paid = 1), 0)')} AS payment_num,
-             coalesce(sum(amt) FILTER (WHERE paid = 1), 0) AS payment_amt,
-             count(*) FILTER (WHERE rf = 'R') AS refund_count,
-             {big("coalesce(sum(num) FILTER (WHERE rf = 'R'), 0)")} AS refund_num,
-             coalesce(sum(amt) FILTER (WHERE rf = 'R'), 0) AS refund_amt
-      FROM {source}{window} GROUP BY {group}"""
+             coalesce(sum(amt) FILTER (WHERE paid = 1), 0) AS payment_amt{back}
+      FROM {rows}{window} GROUP BY {group}"""
 
 
 ORDER_SUMS = f"""count(DISTINCT id) AS order_count, count(DISTINCT user_id) AS order_user_count,
@@ -168,28 +191,37 @@ PROVINCE = "province_id, province_name, region_id, region_name"
 BIG_PROVINCE = f"{big('province_id')} AS province_id, province_name, {big('region_id')} AS region_id, region_name"
 
 
+ORDER_DAY_SUMS = (
+    "order_count", "order_user_count", "order_amount", "payment_count", "payment_user_count", "payment_amount",
+)
+
+
 def _rollup(unit: str, start: str, end: str) -> str:
     first = f"strftime({start}, '%Y-%m-%d') AS {unit}_start_date"
+    zeros = ", ".join(f"coalesce({c}, 0) AS {c}" for c in ORDER_DAY_SUMS)
     return sql(
-        "l",
+        "rl",
         f"""
         , od AS (
           SELECT {first}, strftime({end}, '%Y-%m-%d') AS {unit}_end_date,
                  count(DISTINCT id) AS order_count, count(DISTINCT user_id) AS order_user_count,
                  {money('amt')} AS order_amount, {PAYMENT_SUMS}
           FROM o GROUP BY 1, 2),
-        rd AS (SELECT {first}, count(DISTINCT order_id) AS n, {money('amt')} AS amt FROM l WHERE rf = 'R' GROUP BY 1)
-        SELECT od.*, coalesce(rd.n, 0) AS refund_count, coalesce(rd.amt, 0) AS refund_amount
-        FROM od LEFT JOIN rd USING ({unit}_start_date)""",
+        rd AS (SELECT {first}, strftime({end}, '%Y-%m-%d') AS {unit}_end_date,
+                      count(DISTINCT order_id) AS n, {money('amt')} AS amt FROM rl GROUP BY 1, 2)
+        SELECT {unit}_start_date, {unit}_end_date, {zeros},
+               coalesce(rd.n, 0) AS refund_count, coalesce(rd.amt, 0) AS refund_amount
+        FROM od FULL JOIN rd USING ({unit}_start_date, {unit}_end_date)""",
     )
 
 
-def _cohort_long(source: str, biz: str, offsets: str, back: int) -> str:
+def _cohort_long(source: str, biz: str, offsets: str, back: int | None) -> str:
+    since = f"HAVING min(day) >= {biz} - {back}" if back else ""
     return sql(
         source,
         f"""
         , d AS (SELECT DISTINCT user_id, day FROM {source} WHERE day <= {biz}),
-        first AS (SELECT user_id, min(day) AS cohort FROM d GROUP BY 1 HAVING min(day) >= {biz} - {back}),
+        first AS (SELECT user_id, min(day) AS cohort FROM d GROUP BY 1 {since}),
         size AS (SELECT cohort, count(*) AS n FROM first GROUP BY 1),
         k(k) AS (VALUES {offsets})
         SELECT strftime(size.cohort, '%Y-%m-%d') AS cohort_day, {big('k.k')} AS retention_day,
@@ -398,10 +430,10 @@ ORACLE: dict[str, str] = {
            FROM a LEFT JOIN p ON a.sku_id = p.sku_id WHERE user_id IS NOT NULL""",
     ),
     "dwd_order_refund": sql(
-        "lp",
+        "rl p",
         f"""SELECT order_id, user_id, sku_id, num AS refund_num, {dbl('amt')} AS refund_amount,
             {big('c_nationkey')} AS province_id, c3 AS category3_name, tm_id AS tm_name, date_id
-            FROM lp LEFT JOIN customer ON user_id = c_custkey WHERE rf = 'R'""",
+            FROM rl LEFT JOIN p USING (sku_id) LEFT JOIN customer ON user_id = c_custkey""",
     ),
     "dwd_review_info": sql(
         "e p",
@@ -496,24 +528,25 @@ ORACLE: dict[str, str] = {
            count(*) FILTER (WHERE code = 'order') AS order_count FROM a GROUP BY ALL""",
     ),
     "dws_user_action_order_stats": sql(
-        "a l",
+        "a l rl",
         f"""
         , u AS (
-          SELECT user_id, sku_id, date_id, code, NULL AS order_id, NULL AS amt, 0 AS paid, NULL AS rf FROM a
-          UNION ALL SELECT user_id, sku_id, date_id, 'line', order_id, amt, paid, rf FROM l)
+          SELECT user_id, sku_id, date_id, code, NULL AS order_id, NULL AS amt, 0 AS paid, NULL AS back FROM a
+          UNION ALL SELECT user_id, sku_id, date_id, 'line', order_id, amt, paid, NULL FROM l
+          UNION ALL SELECT user_id, sku_id, date_id, 'back', NULL, NULL, 0, amt FROM rl)
         SELECT user_id, sku_id, date_id, count(*) FILTER (WHERE code = 'page_view') AS page_view_count,
           count(*) FILTER (WHERE code = 'cart_add') AS cart_add_count,
           count(*) FILTER (WHERE code = 'favor_add') AS favor_add_count,
           count(DISTINCT order_id) AS order_count, {money('amt')} AS order_amount,
           count(DISTINCT CASE WHEN paid = 1 THEN order_id END) AS payment_count,
           {money('amt', 'paid = 1')} AS payment_amount,
-          count(*) FILTER (WHERE rf = 'R') AS refund_count, {money('amt', "rf = 'R'")} AS refund_amount
+          count(back) AS refund_count, {money('back')} AS refund_amount
         FROM u GROUP BY user_id, sku_id, date_id""",
     ),
     "dws_sku_stats": sql(
-        "l p",
+        "lr p",
         f"""
-        , m AS ({_line_measures('sku_id, date_id')})
+        , m AS ({_line_measures('sku_id, date_id', 'lr')})
         SELECT m.sku_id, date_id, order_count, order_num, {dbl('order_amt')} AS order_amount, payment_count,
                payment_num, {dbl('payment_amt')} AS payment_amount, refund_count, refund_num,
                {dbl('refund_amt')} AS refund_amount, tm_id, c3 AS category3_id
@@ -559,22 +592,22 @@ ORACLE: dict[str, str] = {
             FROM lp GROUP BY c2, c3, date_id""",
     ),
     "dws_order_day": sql(
-        "l",
+        "l rl",
         COUPONS
         + ACTIVITIES
         + f"""
         , od AS (SELECT date_id, count(DISTINCT id) AS order_count, count(DISTINCT user_id) AS order_user_count,
                         {money('amt')} AS order_amount, {PAYMENT_SUMS} FROM o GROUP BY date_id),
         rd AS (SELECT date_id, count(DISTINCT order_id) AS refund_count, {money('amt')} AS refund_amount
-               FROM l WHERE rf = 'R' GROUP BY date_id),
+               FROM rl GROUP BY date_id),
         cd AS (SELECT date_id, count(DISTINCT order_id) AS coupon_count, {money('reduced')} AS coupon_amount
                FROM cu WHERE used_time IS NOT NULL GROUP BY date_id),
         ad AS (SELECT date_id, count(DISTINCT order_id) AS activity_count, {money('reduced')} AS activity_amount
                FROM ac GROUP BY date_id)
-        SELECT od.*, coalesce(refund_count, 0) AS refund_count, coalesce(refund_amount, 0) AS refund_amount,
+        SELECT date_id, {", ".join(f"coalesce({c}, 0) AS {c}" for c in ORDER_DAY_SUMS)}, coalesce(refund_count, 0) AS refund_count, coalesce(refund_amount, 0) AS refund_amount,
                coalesce(coupon_count, 0) AS coupon_count, coalesce(coupon_amount, 0) AS coupon_amount,
                coalesce(activity_count, 0) AS activity_count, coalesce(activity_amount, 0) AS activity_amount
-        FROM od LEFT JOIN rd USING (date_id) LEFT JOIN cd USING (date_id) LEFT JOIN ad USING (date_id)""",
+        FROM od FULL JOIN rd USING (date_id) LEFT JOIN cd USING (date_id) LEFT JOIN ad USING (date_id)""",
     ),
     "dws_user_day": sql(
         "o a",
@@ -591,9 +624,9 @@ ORACLE: dict[str, str] = {
             FROM u GROUP BY user_id, date_id""",
     ),
     "dws_sku_day": sql(
-        "l a",
+        "lr a",
         f"""
-        , m AS ({_line_measures('sku_id, date_id')}),
+        , m AS ({_line_measures('sku_id, date_id', 'lr')}),
         i AS (SELECT sku_id, date_id, count(*) FILTER (WHERE code = 'cart_add') AS cart_count,
                      count(*) FILTER (WHERE code = 'favor_add') AS favor_count FROM a GROUP BY 1, 2)
         SELECT sku_id, date_id, coalesce(order_count, 0) AS order_count, coalesce(order_num, 0) AS order_num,
@@ -666,7 +699,7 @@ ORACLE: dict[str, str] = {
         "e",
         f"""
         , g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts)
-                       <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS opens FROM e),
+                       <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS opens FROM e WHERE event_type = 'view'),
         n AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, opens DESC
                      ROWS UNBOUNDED PRECEDING) AS sid FROM g),
         s AS (SELECT user_id, sid, min(ts) AS t0, epoch_us(max(ts)) - epoch_us(min(ts)) AS us, count(*) AS views
@@ -679,12 +712,12 @@ ORACLE: dict[str, str] = {
     ),
     # Reports
     "ads_gmv_day": sql(
-        "l r",
+        "rl r",
         f"""
         , w AS (SELECT k, o.* FROM o JOIN r ON day > {BO} - k AND day <= {BO}),
         days AS (SELECT k, count(*) AS n FROM (SELECT DISTINCT k, date_id, user_id FROM w) GROUP BY k),
         ref AS (SELECT k, count(DISTINCT order_id) AS n, sum(amt) AS amt
-                FROM l JOIN r ON day > {BO} - k AND day <= {BO} WHERE rf = 'R' GROUP BY k)
+                FROM rl JOIN r ON day > {BO} - k AND day <= {BO} GROUP BY k)
         SELECT {big('w.k')} AS recent_days, {ORDER_SUMS.replace('amt', 'w.amt').replace('id)', 'id)')},
                {big('any_value(days.n)')} AS order_user_days, {money('w.amt')} AS goods_amount, {ZERO_FREIGHT},
                {PAYMENT_SUMS.replace('amt', 'w.amt')}, {money('w.amt', "status = 'COMPLETED'")} AS completed_amount,
@@ -697,7 +730,7 @@ ORACLE: dict[str, str] = {
         FROM w JOIN days USING (k) LEFT JOIN ref USING (k) GROUP BY w.k""",
     ),
     "ads_user_retention": _cohort_long("a", BE, "(1), (7), (14), (30)", 30),
-    "ads_user_retention_orders": _cohort_long("o", BO, "(1), (7), (14), (30)", 3650),
+    "ads_user_retention_orders": _cohort_long("o", BO, "(1), (7), (14), (30)", None),
     "ads_user_retention_detail": sql(
         "a",
         f"""
@@ -708,15 +741,15 @@ ORACLE: dict[str, str] = {
         FROM x WHERE cohort >= {BE} - 90 GROUP BY cohort""",
     ),
     "ads_sku_sales_rank": sql(
-        "lp r",
+        "lrp r",
         f"""
-        , m AS ({_line_measures('sku_id, sku_name, tm_id, c3', 'lp', BO)})
+        , m AS ({_line_measures('sku_id, sku_name, tm_id, c3', 'lrp', BO)})
         SELECT {big('k')} AS recent_days, sku_id, sku_name, tm_id AS tm_name, c3 AS category3_name, order_count, order_num, {dbl('order_amt')} AS order_amount,
                payment_count, payment_num, {dbl('payment_amt')} AS payment_amount, refund_count, refund_num,
                {dbl('refund_amt')} AS refund_amount,
                row_number() OVER (PARTITION BY k ORDER BY order_amt DESC, sku_id) AS "rank",
                row_number() OVER (PARTITION BY k ORDER BY order_num DESC, sku_id) AS sales_rank
-        FROM m""",
+        FROM m WHERE order_count > 0""",
     ),
     "ads_sku_sales_rank_top100": sql(
         "l p",
@@ -783,9 +816,9 @@ ORACLE: dict[str, str] = {
         SELECT {big('k')} AS recent_days, dau, wau, mau FROM s, r""",
     ),
     "ads_category_sale_analysis": sql(
-        "lp r",
+        "lrp r",
         f"""
-        , m AS ({_line_measures('c2', 'lp', BO)})
+        , m AS ({_line_measures('c2', 'lrp', BO)})
         SELECT {big('k')} AS recent_days, 'ALL' AS category1_id, c2 AS category2_id, order_count,
                order_num AS sale_num, {dbl('order_amt')} AS sale_amount, {div('order_amt', 'order_num')} AS avg_price,
                payment_count, {dbl('payment_amt')} AS payment_amount, refund_count,
@@ -897,9 +930,9 @@ ORACLE: dict[str, str] = {
                order_count, order_num, {dbl('payment_amt')} AS payment_amount FROM m""",
     ),
     "ads_trademark_stats": sql(
-        "lp r",
+        "lrp r",
         f"""
-        , m AS ({_line_measures('tm_id', 'lp', BO)})
+        , m AS ({_line_measures('tm_id', 'lrp', BO)})
         SELECT {big('k')} AS recent_days, tm_id, order_count, order_num, {dbl('order_amt')} AS order_amount,
                payment_count, payment_num, {dbl('payment_amt')} AS payment_amount, refund_count, refund_num,
                {dbl('refund_amt')} AS refund_amount,
@@ -907,20 +940,20 @@ ORACLE: dict[str, str] = {
                row_number() OVER (PARTITION BY k ORDER BY order_amt DESC, tm_id) AS amount_rank FROM m""",
     ),
     "ads_province_stats": sql(
-        "op l r",
+        "op rl r",
         f"""
         , m AS (SELECT k, {PROVINCE}, count(DISTINCT id) AS order_count, count(DISTINCT user_id) AS order_user_count,
                        sum(amt) AS amt, count(*) FILTER (WHERE paid = 1) AS payment_count,
                        coalesce(sum(amt) FILTER (WHERE paid = 1), 0) AS pay
                 FROM op JOIN r ON day > {BO} - k AND day <= {BO} GROUP BY ALL),
-        x AS (SELECT k, province_id, count(DISTINCT order_id) AS n, sum(l.amt) AS amt
-              FROM l JOIN op ON l.order_id = op.id JOIN r ON l.day > {BO} - k AND l.day <= {BO}
-              WHERE rf = 'R' GROUP BY ALL)
-        SELECT {big('m.k')} AS recent_days, {big('m.province_id')} AS province_id, province_name,
-               {big('region_id')} AS region_id, region_name, order_count, order_user_count,
-               {dbl('m.amt')} AS order_amount, payment_count, {dbl('pay')} AS payment_amount,
+        x AS (SELECT k, {PROVINCE}, count(DISTINCT order_id) AS n, sum(rl.amt) AS amt
+              FROM rl JOIN op ON rl.order_id = op.id JOIN r ON rl.day > {BO} - k AND rl.day <= {BO}
+              GROUP BY ALL)
+        SELECT {big('k')} AS recent_days, {BIG_PROVINCE}, coalesce(order_count, 0) AS order_count,
+               coalesce(order_user_count, 0) AS order_user_count, {dbl('coalesce(m.amt, 0)')} AS order_amount,
+               coalesce(payment_count, 0) AS payment_count, {dbl('coalesce(pay, 0)')} AS payment_amount,
                coalesce(x.n, 0) AS refund_count, coalesce({dbl('x.amt')}, 0) AS refund_amount
-        FROM m LEFT JOIN x ON m.k = x.k AND m.province_id = x.province_id""",
+        FROM m FULL JOIN x USING (k, {PROVINCE})""",
     ),
     "ads_user_new_day": sql(
         "o",
@@ -935,10 +968,9 @@ ORACLE: dict[str, str] = {
         "e",
         f"""
         , s AS (SELECT sku_id, count(*) FILTER (WHERE event_type = 'view') AS v,
-                       count(*) FILTER (WHERE event_type = 'click') AS c,
-                       count(*) FILTER (WHERE event_type = 'purchase') AS p FROM e GROUP BY sku_id)
-        SELECT sku_id, v AS exposure_count, c AS click_count, p AS cart_count, {pct('c', 'v')} AS click_rate,
-               {pct('p', 'c')} AS cart_rate FROM s""",
+                       count(*) FILTER (WHERE event_type = 'click') AS c FROM e GROUP BY sku_id)
+        SELECT sku_id, v AS exposure_count, c AS click_count, c AS cart_count, {pct('c', 'v')} AS click_rate,
+               {pct('c', 'c')} AS cart_rate FROM s""",
     ),
     "ads_order_stats": sql(
         "a",
@@ -1042,6 +1074,7 @@ ORACLE: dict[str, str] = {
         round(quantile_cont(o_totalprice, 0.25), 2) AS p25, round(quantile_cont(o_totalprice, 0.5), 2) AS p50,
         round(quantile_cont(o_totalprice, 0.75), 2) AS p75, max(o_totalprice) AS max_amount FROM orders""",
     # Behaviour log
+    "log_clean_adaptive": sql("c", "SELECT * FROM c"),
     "log_clean_strict": sql(
         "raw",
         f"""SELECT line_id, {LINE} AS line, t AS event_time, u AS "user", ip, act AS action, prod AS product,

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Runtime settings. None of them sizes the cluster: executor count, memory and
@@ -43,13 +41,9 @@ def build_session(app_name: str = "bazaarlake", master: str | None = None) -> Sp
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared checkpoint folder; a temp folder in local mode only."""
+    """Use the folder in spark.checkpoint.dir; where it is unset, as in tests, one in the
+    warehouse, which all executors share as well."""
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is not None:
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        shared = tempfile.mkdtemp(prefix="bazaarlake-checkpoint-")
-    sc.setCheckpointDir(shared)
+    if sc.getCheckpointDir() is None:
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        sc.setCheckpointDir(shared or f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared")

@@ -193,16 +193,32 @@ class Sample:
         """Order lines with brand and category."""
         return self.lines(days).join(self.sku_dim(), "sku_id", "left")
 
-    @staticmethod
-    def refunds_of(lines: DataFrame) -> DataFrame:
-        """Returned lines as refunds of their whole amount, refunded at shipping."""
-        return lines.where(F.col("return_flag") == "R").select(
-            "*",
-            F.col("sku_num").alias("refund_num"),
-            F.col("order_amount").alias("refund_amount"),
-            F.col("ship_time").alias("refund_time"),
+    def refunds(self, days: int | None = None) -> DataFrame:
+        """Returned lines as refunds of their whole amount on the day they were shipped: the
+        refund's own day, which the window is about. It filters the line's scan; the order
+        may be older. order_time is the order's."""
+        lines = self.table("lineitem").where(F.col("l_returnflag") == "R")
+        if days is not None:
+            lines = lines.where(in_recent_days("l_shipdate", ORDER_DAY, days))
+        header = self.order_info().select(
+            F.col("id").alias("l_orderkey"), "user_id", F.col("create_time").alias("order_time")
+        )
+        return lines.join(header, "l_orderkey").select(
+            F.col("l_orderkey").alias("order_id"),
+            "user_id",
+            F.col("l_partkey").alias("sku_id"),
+            F.col("l_quantity").cast("bigint").alias("refund_num"),
+            F.col("l_extendedprice").cast(MONEY).alias("refund_amount"),
+            F.col("l_linestatus").alias("line_status"),
+            "order_time",
+            F.col("l_shipdate").alias("create_time"),
+            date_id("l_shipdate").alias("date_id"),
         )
 
+    def sku_refunds(self, days: int | None = None) -> DataFrame:
+        """Refunds with brand and category."""
+        return self.refunds(days).join(self.sku_dim(), "sku_id", "left")
+
     # Products -----------------------------------------------------------
 
     def sku_info(self) -> DataFrame:
