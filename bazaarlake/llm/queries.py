@@ -1,4 +1,4 @@
-"""The registered queries of the package, and their SQL where DuckDB can say the same."""
+"""The registered queries of the package; their SQL, where DuckDB can say the same, is in oracle.py."""
 
 from __future__ import annotations
 
@@ -12,12 +12,16 @@ from bazaarlake.llm.decontaminate import contamination
 from bazaarlake.llm.licenses import license_scan
 from bazaarlake.llm.minhash import near_duplicates
 from bazaarlake.llm.mixing import mix
+from bazaarlake.llm.oracle import ORACLE
 from bazaarlake.llm.shared import fold, table
 from bazaarlake.llm.sharding import shards
 from bazaarlake.llm.topk import top_k
 from bazaarlake.llm.warc import page_records
 
 
+__all__ = ["ORACLE", "QUERIES"]
+
+
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -95,5 +99,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pii": op9_pii,
     "op10_hmm": op10_hmm,
 }
-
-ORACLE: dict[str, str] = {}
