@@ -1,8 +1,9 @@
 """Per-user ordering that survives a user holding a large share of all rows.
 
-A window over the user alone would put all of that user's rows in one task. Here
-rows are windowed inside (user, slice), slices being pieces of the user's order
-that the caller bounds, and a window over the user sees only a few rows per slice.
+A window over the user alone would put all of that user's rows in one task. Here the
+user's order is cut by slice columns, from coarse to fine (say day, second, block of line
+ids), that the caller bounds. Rows are windowed inside the finest slices, and each coarser
+level sees only a few rows per slice of the level below.
 """
 
 from __future__ import annotations
@@ -19,17 +20,23 @@ def with_position(
     """Number each user's rows 1, 2, … ordered by the slice columns and then `within`;
     `value` must not be NULL."""
     in_slice = Window.partitionBy(user, *slices).orderBy(*within)
-    before = Window.partitionBy(user).orderBy(*slices).rowsBetween(Window.unboundedPreceding, -1)
     placed = df.withColumn("__place", F.row_number().over(in_slice))
     # Reads the same columns as the rows, so that both share one scan and shuffle.
-    rows = F.max(F.when(F.col(value).isNotNull(), F.col("__place"))).alias("__rows")
-    offsets = (
-        placed.groupBy(user, *slices)
-        .agg(rows)
-        .select(
-            user, *slices, F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before")
-        )
-    )
+    rows = F.max(F.when(F.col(value).isNotNull(), F.col("__place")))
+    sizes = placed.groupBy(user, *slices).agg(rows.alias("__rows"))
+    # Rows before a slice: those of earlier slices of its parent, level by level.
+    offsets = None
+    for level in range(1, len(slices) + 1):
+        keys = [user, *slices[:level]]
+        earlier = Window.partitionBy(*keys[:-1]).orderBy(keys[-1]).rowsBetween(Window.unboundedPreceding, -1)
+        before = F.coalesce(F.sum("__rows").over(earlier), F.lit(0))
+        step = sizes.groupBy(*keys).agg(F.sum("__rows").alias("__rows")).select(*keys, before.alias("__step"))
+        if offsets is None:
+            offsets = step.withColumnRenamed("__step", "__before")
+        else:
+            offsets = step.join(offsets, keys[:-1]).select(
+                *keys, (F.col("__step") + F.col("__before")).alias("__before")
+            )
     return placed.join(offsets, [user, *slices], "left").select(
         *df.columns, (F.col("__place") + F.col("__before")).alias(name)
     )
@@ -43,25 +50,26 @@ def with_next_two(
 
     Rows whose followers are in their own slice are done there. The others are
     among the last two of their slice, and their followers among the first two of
-    later slices: at most four rows per slice go on to the window over the user.
+    later slices: at most four rows per slice go on to the next coarser level.
     """
-    in_slice = Window.partitionBy(user, *slices).orderBy(*within)
-    over_user = Window.partitionBy(user).orderBy(*slices, *within)
-    placed = df.select(
-        *df.columns,
-        F.row_number().over(in_slice).alias("__place"),
-        F.lead(value, 1).over(in_slice).alias("next_1"),
-        F.lead(value, 2).over(in_slice).alias("next_2"),
-    )
-    done = placed.where(F.col("next_2").isNotNull())
-    is_tail = F.col("next_2").isNull()
-    tails = (
-        placed.where((F.col("__place") <= 2) | is_tail)
-        .withColumn("__tail", is_tail)
-        .withColumn("next_1", F.lead(value, 1).over(over_user))
-        .withColumn("next_2", F.lead(value, 2).over(over_user))
-        .where("__tail")
-        .where(F.col("next_2").isNotNull())
-    )
     columns = [*df.columns, "next_1", "next_2"]
-    return done.select(*columns).unionByName(tails.select(*columns))
+    rows = df.withColumn("__open", F.lit(True))
+    done = None
+    for level in range(len(slices), -1, -1):
+        order = Window.partitionBy(user, *slices[:level]).orderBy(*slices[level:], *within)
+        rows = rows.select(
+            *df.columns,
+            "__open",
+            F.row_number().over(order).alias("__place"),
+            F.lead(value, 1).over(order).alias("next_1"),
+            F.lead(value, 2).over(order).alias("next_2"),
+        )
+        found = F.col("next_2").isNotNull()
+        here = rows.where(F.col("__open") & found).select(*columns)
+        done = here if done is None else done.unionByName(here)
+        rows = (
+            rows.where((F.col("__place") <= 2) | (F.col("__open") & ~found))
+            .withColumn("__open", F.col("__open") & ~found)
+            .select(*df.columns, "__open")
+        )
+    return done

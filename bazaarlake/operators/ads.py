@@ -420,9 +420,13 @@ def ads_gmv_trend_series(orders: DataFrame) -> DataFrame:
 
 
 def ads_sku_repurchase_analysis(
-    lines: DataFrame, biz_date: str | None = None, days: int = 31
+    lines: DataFrame,
+    biz_date: str | None = None,
+    days: int = 31,
+    sku_dim: DataFrame | None = None,
 ) -> DataFrame:
-    """SKU: orders, users, and what users bought after their first order of it.
+    """SKU: orders, users, and what users bought after their first order of it, optionally
+    with its name and categories.
 
     Lines of one order are merged first, so buying twice in one order is no repeat.
     The first order is found by an aggregate, not a ranked window.
@@ -446,19 +450,29 @@ def ads_sku_repurchase_analysis(
         F.count("user_id").alias("total_user_count"),
         money_sum(F.col("amount") - F.col("first.amount")).alias("repurchase_amount"),
     )
-    return stats.select(
+    rated = stats.select(
         "*",
         pct(F.col("repurchase_user_count"), F.col("total_user_count")).alias("repurchase_rate"),
         divide(F.col("total_order_count"), F.col("total_user_count")).alias("avg_repurchase_times"),
     )
+    if sku_dim is None:
+        return rated
+    names = [c for c in ("sku_name", "category1_name", "category2_name", "category3_name") if c in sku_dim.columns]
+    return rated.join(sku_dim.select("sku_id", *names), "sku_id", "left")
 
 
-def ads_refund_analysis(refunds: DataFrame, orders: DataFrame) -> DataFrame:
-    """Refunds against all orders, the most refunded category and the reasons as JSON.
+def ads_refund_analysis(
+    refunds: DataFrame, orders: DataFrame, biz_date: str | None = None
+) -> DataFrame:
+    """Refunds against all orders, the most refunded category and the reasons as JSON;
+    with biz_date the refunds and orders of that day (date_id of both).
 
     refunds: order_id, user_id, refund_amount, refund_time, create_time,
     category_name, refund_reason_type. Ties for the category go to the first name.
     """
+    if biz_date is not None:
+        refunds = refunds.where(F.col("date_id") == biz_date)
+        orders = orders.where(F.col("date_id") == biz_date)
     ids = refunds.agg(
         F.count_distinct("order_id").alias("refund_count"),
         F.count_distinct("user_id").alias("refund_user_count"),

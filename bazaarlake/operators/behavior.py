@@ -233,13 +233,15 @@ TIE_BITS = 20
 
 
 def _steps(events: DataFrame) -> DataFrame:
-    """user, action and the slice columns event_time, block: a slice holds at most 2^20
-    rows of a user, however many carry the same time (as filled-in times do)."""
+    """user, action and the slice columns day, event_time, block: a slice holds at most 2^20
+    rows of a user, however many carry the same time (as filled-in times do), a day at most
+    86,400 times, and a user one row per day."""
     block = F.shiftright("line_id", TIE_BITS).alias("block")
-    return events.select("user", "event_time", block, "line_id", "action")
+    day = F.substring("event_time", 1, 10).alias("day")
+    return events.select("user", day, "event_time", block, "line_id", "action")
 
 
-SLICES, WITHIN = ["event_time", "block"], ["line_id"]
+SLICES, WITHIN = ["day", "event_time", "block"], ["line_id"]
 
 
 def user_paths(events: DataFrame, part_size: int = PATH_PART) -> DataFrame:

@@ -90,14 +90,23 @@ def dim_user_zip_update(
     return history.where(~is_open).select(*current.columns).unionByName(current)
 
 
+def masked_contacts(users: DataFrame) -> DataFrame:
+    """Users with phone and email masked, as far as they have them."""
+    masks = {"phone_num": mask_phone, "email": mask_email}
+    return users.withColumns({c: mask(c) for c, mask in masks.items() if c in users.columns})
+
+
 def dim_user_scd2(
     history: DataFrame,
     feed: DataFrame,
     biz_date: str,
     tracked: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Zipper with an is_current flag; by default every user in the feed is re-versioned."""
-    versions = dim_user_zip_update(history.drop("is_current"), feed, biz_date, tracked)
+    """Zipper with an is_current flag and masked contacts; by default every user in the feed
+    is re-versioned."""
+    versions = dim_user_zip_update(
+        history.drop("is_current"), masked_contacts(feed), biz_date, tracked
+    )
     return versions.withColumn("is_current", F.when(F.col("end_date") == OPEN_END, "1").otherwise("0"))
 
 
@@ -108,7 +117,8 @@ def dim_user_scd3(
     tracked: Sequence[str] = ("user_level", "gender"),
 ) -> DataFrame:
     """Previous-value history: `<col>_last` keeps the value a tracked column had
-    before its last change, version counts the changes."""
+    before its last change, version counts the changes. Contacts are masked."""
+    feed = masked_contacts(feed)
     extra = {f"{c}_last" for c in tracked} | {"version", "update_time"}
     attributes = [c for c in feed.columns if c != "id"]
     both = previous.alias("a").join(feed.alias("b"), F.expr("a.id = b.id"), "full_outer")
@@ -149,7 +159,7 @@ def dim_user_scd3(
 def dim_user_scd3_init(users: DataFrame, biz_date: str, tracked: Sequence[str]) -> DataFrame:
     """First previous-value load: version 1, no previous values."""
     types = {f.name: f.dataType for f in users.schema.fields}
-    return users.select(
+    return masked_contacts(users).select(
         "*",
         *[F.lit(None).cast(types[c]).alias(f"{c}_last") for c in tracked],
         F.lit(biz_date).alias("update_time"),
@@ -160,9 +170,9 @@ def dim_user_scd3_init(users: DataFrame, biz_date: str, tracked: Sequence[str])
 def dim_user_snapshot(
     feeds: DataFrame, biz_date: str, order: Sequence[str] = ("dt",)
 ) -> DataFrame:
-    """State of every user as of biz_date: the latest row with dt <= biz_date."""
+    """State of every user as of biz_date: the latest row with dt <= biz_date, contacts masked."""
     newest = latest_per_key(feeds.where(F.col("dt") <= biz_date), ["id"], order)
-    return newest.drop("dt").withColumn("snapshot_date", F.lit(biz_date))
+    return masked_contacts(newest).drop("dt").withColumn("snapshot_date", F.lit(biz_date))
 
 
 def dim_user_scd1(feeds: DataFrame, order: Sequence[str] = ("dt",)) -> DataFrame:

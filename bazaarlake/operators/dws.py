@@ -76,8 +76,11 @@ def dws_sku_stats(
     return stats if sku_dim is None else stats.join(sku_dim, "sku_id", "left")
 
 
-def dws_user_stats(orders: DataFrame, lines: DataFrame, biz_date: str) -> DataFrame:
-    """User as of biz_date: order history totals, goods bought, recency.
+def dws_user_stats(
+    orders: DataFrame, lines: DataFrame, biz_date: str, actions: DataFrame | None = None
+) -> DataFrame:
+    """User as of biz_date: order history totals, goods bought, recency, and with actions
+    given the part of the day the user orders in most.
 
     orders: dwd_order_info rows up to biz_date; lines: their order lines.
     """
@@ -90,9 +93,11 @@ def dws_user_stats(orders: DataFrame, lines: DataFrame, biz_date: str) -> DataFr
         sum_if(paid, F.col("total_amount")).alias("paid_amount"),
         F.min(day).alias("first_day"),
         F.max(day).alias("last_day"),
+        F.min("create_time").alias("first_order_time"),
+        F.max("create_time").alias("last_order_time"),
     )
     goods = lines.groupBy("user_id").agg(F.count(F.lit(1)).alias("goods_num"))
-    return history.join(goods, "user_id", "left").select(
+    stats = history.join(goods, "user_id", "left").select(
         *history.drop("first_day", "last_day").columns,
         F.coalesce("goods_num", F.lit(0)).alias("goods_num"),
         date_id("first_day").alias("first_order_date"),
@@ -102,6 +107,9 @@ def dws_user_stats(orders: DataFrame, lines: DataFrame, biz_date: str) -> DataFr
         .cast("bigint")
         .alias("days_since_last_order"),
     )
+    if actions is None:
+        return stats
+    return stats.join(user_favorite_period(actions), "user_id", "left")
 
 
 def day_period(hour: Column) -> Column:

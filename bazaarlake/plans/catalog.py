@@ -416,7 +416,7 @@ def dws_user_stats(s: Sample) -> DataFrame:
     levels = s.users().select(F.col("id").alias("user_id"), "user_level")
     so_far = F.col("create_time") < shift(ORDER_DAY, 1)
     orders = dwd.dwd_order_info_clean(s.order_info().where(so_far)).join(levels, "user_id", "left")
-    return dws.dws_user_stats(orders, s.lines().where(so_far), ORDER_DAY)
+    return dws.dws_user_stats(orders, s.lines().where(so_far), ORDER_DAY, s.actions())
 
 
 @query
@@ -601,14 +601,23 @@ def ads_gmv_trend_series(s: Sample) -> DataFrame:
     return ads.ads_gmv_trend_series(_orders(s))
 
 
+def _sku_names(s: Sample) -> DataFrame:
+    return s.sku_dim().select("sku_id", "sku_name", "category3_name")
+
+
 @query
 def ads_sku_repurchase_analysis(s: Sample) -> DataFrame:
-    return ads.ads_sku_repurchase_analysis(s.lines())
+    return ads.ads_sku_repurchase_analysis(s.lines(), sku_dim=_sku_names(s))
 
 
 @query
-def ads_refund_analysis(s: Sample) -> DataFrame:
-    refunds = s.sku_refunds().select(
+def ads_sku_repurchase_recent(s: Sample) -> DataFrame:
+    """The report's own window, the last 31 days."""
+    return ads.ads_sku_repurchase_analysis(s.lines(31), ORDER_DAY, sku_dim=_sku_names(s))
+
+
+def _reasoned_refunds(s: Sample, days: int | None = None) -> DataFrame:
+    return s.sku_refunds(days).select(
         "order_id",
         "user_id",
         "refund_amount",
@@ -616,8 +625,19 @@ def ads_refund_analysis(s: Sample) -> DataFrame:
         F.col("order_time").alias("create_time"),
         F.col("category3_name").alias("category_name"),
         F.col("line_status").alias("refund_reason_type"),
+        "date_id",
     )
-    return ads.ads_refund_analysis(refunds, s.order_info())
+
+
+@query
+def ads_refund_analysis(s: Sample) -> DataFrame:
+    return ads.ads_refund_analysis(_reasoned_refunds(s), s.order_info())
+
+
+@query
+def ads_refund_analysis_day(s: Sample) -> DataFrame:
+    """Of the business day alone."""
+    return ads.ads_refund_analysis(_reasoned_refunds(s, 1), _orders(s, 1), ORDER_DAY)
 
 
 @query

@@ -303,7 +303,9 @@ class DailyRun:
                 firsts=self.load("dws", "dws_user_first_order").drop("dt"),
             ),
             "ads_sku_repurchase_analysis": lambda: ads.ads_sku_repurchase_analysis(
-                self.load_days("dwd", "dwd_order_detail", 31), self.dt
+                self.load_days("dwd", "dwd_order_detail", 31),
+                self.dt,
+                sku_dim=self.load("dim", "dim_sku_full"),
             ),
         }
         for name, build in reports.items():

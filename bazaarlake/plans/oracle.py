@@ -187,6 +187,13 @@ PAYMENT_SUMS = f"""count(*) FILTER (WHERE paid = 1) AS payment_count,
   count(DISTINCT CASE WHEN paid = 1 THEN user_id END) AS payment_user_count,
   {money('amt', 'paid = 1')} AS payment_amount"""
 ZERO_FREIGHT = "CAST(0 AS DOUBLE) AS feight_fee, CAST(0 AS DOUBLE) AS discount_amount"
+FAVORITE_PERIOD = """
+        , h AS (SELECT user_id, CASE WHEN hour(ts) <= 6 THEN 0 WHEN hour(ts) <= 12 THEN 1
+                     WHEN hour(ts) <= 18 THEN 2 ELSE 3 END AS period, count(*) AS n
+                FROM a WHERE code = 'order' GROUP BY ALL),
+        fp AS (SELECT user_id, CASE period WHEN 0 THEN 'dawn' WHEN 1 THEN 'morning' WHEN 2 THEN 'afternoon'
+                        ELSE 'evening' END AS favorite_period
+               FROM h QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY n DESC, period) = 1)"""
 PROVINCE = "province_id, province_name, region_id, region_name"
 BIG_PROVINCE = f"{big('province_id')} AS province_id, province_name, {big('region_id')} AS region_id, region_name"
 
@@ -241,6 +248,40 @@ def _detail_cell(k: int) -> str:
       CASE WHEN cohort + {k} <= {BE} THEN {pct(back, 'count(DISTINCT user_id)')} END AS day_{k}_rate"""
 
 
+def _repurchase(window: str) -> str:
+    return sql(
+        "l p",
+        f"""
+        , t AS (SELECT sku_id, user_id, order_id, min(day) AS day, sum(amt) AS amt FROM l {window} GROUP BY ALL),
+        n AS (SELECT *, row_number() OVER (PARTITION BY sku_id, user_id ORDER BY day, order_id) AS i FROM t),
+        s AS (SELECT sku_id, count(*) AS total_order_count, count(*) FILTER (WHERE i > 1) AS repurchase_order_count,
+               count(DISTINCT CASE WHEN i = 2 THEN user_id END) AS repurchase_user_count,
+               count(DISTINCT user_id) AS total_user_count, {money('amt', 'i > 1')} AS repurchase_amount,
+               {pct('count(DISTINCT CASE WHEN i = 2 THEN user_id END)', 'count(DISTINCT user_id)')} AS repurchase_rate,
+               {div('count(*)', 'count(DISTINCT user_id)')} AS avg_repurchase_times
+              FROM n GROUP BY sku_id)
+        SELECT s.*, sku_name, c3 AS category3_name FROM s LEFT JOIN p USING (sku_id)""",
+    )
+
+
+def _refund_analysis(refunds: str, orders: str = "") -> str:
+    return sql(
+        "lp",
+        f"""
+        , f AS (SELECT * FROM lp WHERE rf = 'R' {refunds}),
+        t AS (SELECT c3, count(*) AS n FROM f GROUP BY c3 ORDER BY n DESC, c3 LIMIT 1),
+        q AS (SELECT ls, count(*) AS n FROM f GROUP BY ls),
+        x AS (SELECT count(DISTINCT order_id) AS rc, count(DISTINCT user_id) AS ru, coalesce(sum(amt), 0) AS ra,
+                     avg(date_diff('day', day, CAST(l_shipdate AS DATE))) AS days FROM f),
+        y AS (SELECT count(*) AS oc, coalesce(sum(amt), 0) AS oa FROM o {orders})
+        SELECT rc AS refund_count, ru AS refund_user_count, {dbl('ra')} AS refund_amount,
+               round(days, 2) AS avg_refund_days, (SELECT c3 FROM t) AS top_refund_category,
+               (SELECT '{{' || string_agg('"' || ls || '":' || n, ',' ORDER BY ls) || '}}' FROM q)
+                 AS refund_reason_distribution,
+               oc AS order_count, {dbl('oa')} AS order_amount, {pct('rc', 'oc')} AS refund_rate FROM x, y""",
+    )
+
+
 def _top(column: str, n: int | None) -> str:
     limit = f"LIMIT {n}" if n else ""
     return sql(
@@ -553,27 +594,21 @@ ORACLE: dict[str, str] = {
         FROM m LEFT JOIN p ON m.sku_id = p.sku_id""",
     ),
     "dws_user_stats": sql(
-        "l",
-        f"""
-        , g AS (SELECT user_id, count(*) AS n FROM l WHERE day <= {BO} GROUP BY 1)
+        "l a",
+        FAVORITE_PERIOD
+        + f""", g AS (SELECT user_id, count(*) AS n FROM l WHERE day <= {BO} GROUP BY 1)
         SELECT o.user_id, c_mktsegment AS user_level, count(DISTINCT o.id) AS order_count,
                {money('amt')} AS order_amount, {div('sum(amt)', 'count(*)')} AS avg_order_amount,
                count(*) FILTER (WHERE paid = 1) AS paid_order_count, {money('amt', 'paid = 1')} AS paid_amount,
                coalesce(any_value(g.n), 0) AS goods_num, min(date_id) AS first_order_date,
-               max(date_id) AS last_order_date, {big(f"{BO} - max(day)")} AS days_since_last_order
-        FROM o LEFT JOIN customer ON o.user_id = c_custkey LEFT JOIN g ON g.user_id = o.user_id
+               max(date_id) AS last_order_date, {big(f"{BO} - max(day)")} AS days_since_last_order,
+               strftime(min(o_orderdate), '%Y-%m-%d %H:%M:%S') AS first_order_time,
+               strftime(max(o_orderdate), '%Y-%m-%d %H:%M:%S') AS last_order_time,
+               any_value(fp.favorite_period) AS favorite_period
+        FROM o LEFT JOIN fp ON fp.user_id = o.user_id LEFT JOIN customer ON o.user_id = c_custkey LEFT JOIN g ON g.user_id = o.user_id
         WHERE day <= {BO} GROUP BY o.user_id, c_mktsegment""",
     ),
-    "user_favorite_period": sql(
-        "a",
-        """
-        , h AS (SELECT user_id, CASE WHEN hour(ts) <= 6 THEN 0 WHEN hour(ts) <= 12 THEN 1
-                     WHEN hour(ts) <= 18 THEN 2 ELSE 3 END AS period, count(*) AS n
-                FROM a WHERE code = 'order' GROUP BY ALL)
-        SELECT user_id, CASE period WHEN 0 THEN 'dawn' WHEN 1 THEN 'morning' WHEN 2 THEN 'afternoon'
-                        ELSE 'evening' END AS favorite_period
-        FROM h QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY n DESC, period) = 1""",
-    ),
+    "user_favorite_period": sql("a", FAVORITE_PERIOD + " SELECT * FROM fp"),
     "dws_province_stats": sql(
         "op",
         f"""SELECT {BIG_PROVINCE}, date_id, {ORDER_SUMS}, {money('amt')} AS goods_amount, {ZERO_FREIGHT}
@@ -855,33 +890,10 @@ ORACLE: dict[str, str] = {
                {growth('c.amt', 'b.amt')} AS gmv_dod_rate
         FROM d c LEFT JOIN d b ON b.day = c.day - 1""",
     ),
-    "ads_sku_repurchase_analysis": sql(
-        "l",
-        f"""
-        , t AS (SELECT sku_id, user_id, order_id, min(day) AS day, sum(amt) AS amt FROM l GROUP BY ALL),
-        n AS (SELECT *, row_number() OVER (PARTITION BY sku_id, user_id ORDER BY day, order_id) AS i FROM t)
-        SELECT sku_id, count(*) AS total_order_count, count(*) FILTER (WHERE i > 1) AS repurchase_order_count,
-               count(DISTINCT CASE WHEN i = 2 THEN user_id END) AS repurchase_user_count,
-               count(DISTINCT user_id) AS total_user_count, {money('amt', 'i > 1')} AS repurchase_amount,
-               {pct('count(DISTINCT CASE WHEN i = 2 THEN user_id END)', 'count(DISTINCT user_id)')} AS repurchase_rate,
-               {div('count(*)', 'count(DISTINCT user_id)')} AS avg_repurchase_times
-        FROM n GROUP BY sku_id""",
-    ),
-    "ads_refund_analysis": sql(
-        "lp",
-        f"""
-        , f AS (SELECT * FROM lp WHERE rf = 'R'),
-        t AS (SELECT c3, count(*) AS n FROM f GROUP BY c3 ORDER BY n DESC, c3 LIMIT 1),
-        q AS (SELECT ls, count(*) AS n FROM f GROUP BY ls),
-        x AS (SELECT count(DISTINCT order_id) AS rc, count(DISTINCT user_id) AS ru, sum(amt) AS ra,
-                     avg(date_diff('day', day, CAST(l_shipdate AS DATE))) AS days FROM f),
-        y AS (SELECT count(*) AS oc, sum(amt) AS oa FROM o)
-        SELECT rc AS refund_count, ru AS refund_user_count, {dbl('ra')} AS refund_amount,
-               round(days, 2) AS avg_refund_days, (SELECT c3 FROM t) AS top_refund_category,
-               (SELECT '{{' || string_agg('"' || ls || '":' || n, ',' ORDER BY ls) || '}}' FROM q)
-                 AS refund_reason_distribution,
-               oc AS order_count, {dbl('oa')} AS order_amount, {pct('rc', 'oc')} AS refund_rate FROM x, y""",
-    ),
+    "ads_sku_repurchase_analysis": _repurchase(""),
+    "ads_sku_repurchase_recent": _repurchase(f"WHERE day > {BO} - 31 AND day <= {BO}"),
+    "ads_refund_analysis": _refund_analysis(""),
+    "ads_refund_analysis_day": _refund_analysis(f"AND CAST(l_shipdate AS DATE) = {BO}", f"WHERE day = {BO}"),
     "ads_dashboard": sql(
         "a p",
         f"""
