@@ -379,12 +379,16 @@ def _orders(s: Sample, days: int | None = None) -> DataFrame:
     return dwd.dwd_order_info_clean(s.order_info(days))
 
 
-def _province_orders(s: Sample, days: int | None = None) -> DataFrame:
+def _home_orders(s: Sample, days: int | None = None) -> DataFrame:
+    """Orders with the province id alone; names join what is aggregated by it."""
+    return dwd.dwd_order_info_clean(s.order_info_with_province(days))
+
+
+def _with_province_names(s: Sample, stats: DataFrame) -> DataFrame:
     provinces = dim.dim_province(s.provinces(), s.regions()).select(
         F.col("id").alias("province_id"), F.col("name").alias("province_name"), "region_id", "region_name"
     )
-    orders = dwd.dwd_order_info_clean(s.order_info_with_province(days))
-    return orders.join(provinces, "province_id", "left")
+    return stats.join(provinces, "province_id", "left")
 
 
 @query
@@ -426,7 +430,7 @@ def user_favorite_period(s: Sample) -> DataFrame:
 
 @query
 def dws_province_stats(s: Sample) -> DataFrame:
-    return dws.dws_province_stats(_province_orders(s))
+    return _with_province_names(s, dws.dws_province_stats(_home_orders(s)))
 
 
 @query
@@ -492,7 +496,7 @@ def dws_category3_day(s: Sample) -> DataFrame:
 
 @query
 def dws_province_day(s: Sample) -> DataFrame:
-    return dws.dws_province_day(_province_orders(s))
+    return _with_province_names(s, dws.dws_province_day(_home_orders(s)))
 
 
 @query
@@ -586,7 +590,7 @@ def ads_category_sale_analysis(s: Sample) -> DataFrame:
 
 @query
 def ads_province_sale(s: Sample) -> DataFrame:
-    return ads.ads_province_sale(_province_orders(s, MONTH), ORDER_DAY)
+    return _with_province_names(s, ads.ads_province_sale(_home_orders(s, MONTH), ORDER_DAY))
 
 
 @query
@@ -649,7 +653,7 @@ def ads_dashboard(s: Sample) -> DataFrame:
 
 @query
 def ads_gmv_province(s: Sample) -> DataFrame:
-    return ads.ads_gmv_province(_province_orders(s, MONTH), ORDER_DAY)
+    return _with_province_names(s, ads.ads_gmv_province(_home_orders(s, MONTH), ORDER_DAY))
 
 
 @query
@@ -670,13 +674,11 @@ def ads_trademark_stats(s: Sample) -> DataFrame:
 
 @query
 def ads_province_stats(s: Sample) -> DataFrame:
-    orders = _province_orders(s, MONTH)
+    orders = _home_orders(s, MONTH)
     # A refund of the window may be of an older order.
-    home = _province_orders(s).select(
-        F.col("id").alias("order_id"), "province_id", "province_name", "region_id", "region_name"
-    )
+    home = s.order_info_with_province().select(F.col("id").alias("order_id"), "province_id")
     refunds = s.refunds(MONTH).join(home, "order_id")
-    return ads.ads_province_stats(orders, refunds, ORDER_DAY)
+    return _with_province_names(s, ads.ads_province_stats(orders, refunds, ORDER_DAY))
 
 
 @query
@@ -699,7 +701,15 @@ def ads_order_stats(s: Sample) -> DataFrame:
 
 @query
 def ads_hot_sku(s: Sample) -> DataFrame:
-    return ads.ads_hot_sku(s.lines())
+    """Needs nothing of the order header, so the lines are not joined with it."""
+    lines = s.table("lineitem").select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_partkey").alias("sku_id"),
+        F.col("l_quantity").cast("bigint").alias("sku_num"),
+        F.col("l_extendedprice").cast("decimal(16,2)").alias("order_amount"),
+        F.lit(0).alias("is_paid"),
+    )
+    return ads.ads_hot_sku(lines)
 
 
 @query
