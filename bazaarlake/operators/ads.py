@@ -33,10 +33,10 @@ from bazaarlake.operators.measures import (
     line_measures,
     one_row,
     order_measures,
+    recent_sums,
     with_share,
 )
 
-
 def _recent(df: DataFrame, biz_date: str, days: int) -> DataFrame:
     return df.where(F.col("date_id").between(shift(biz_date, 1 - days), biz_date))
 
@@ -170,15 +170,22 @@ def ads_user_retention_detail(
 
 
 def ads_sku_sales_rank(
-    lines: DataFrame,
+    lines: DataFrame | None,
     biz_date: str,
     refunds: DataFrame | None = None,
     sku_dim: DataFrame | None = None,
+    daily: DataFrame | None = None,
 ) -> DataFrame:
     """(recent_days, sku) with its place by money (`rank`) and by pieces
-    (`sales_rank`); equal values are ordered by sku_id."""
-    sold = line_measures(lines, ["sku_id"], biz_date, refunds=refunds)
-    if refunds is not None:
+    (`sales_rank`); equal values are ordered by sku_id. SKUs not sold in a window have no place.
+
+    From order lines and refunds, or from the days of dws_sku_stats given as `daily`.
+    """
+    if daily is not None:
+        sold = recent_sums(daily, ["sku_id"], biz_date)
+    else:
+        sold = line_measures(lines, ["sku_id"], biz_date, refunds=refunds)
+    if refunds is not None or daily is not None:
         sold = sold.where(F.col("order_count") > 0)
     ranked = distributed_row_number(
         sold, ["recent_days"], [F.col("order_amount").desc(), F.col("sku_id").asc()], "rank"

@@ -69,6 +69,21 @@ def line_measures(
     return rows.groupBy(*group).agg(*measures)
 
 
+def recent_sums(
+    daily: DataFrame, keys: Sequence[str], biz_date: str, days: Sequence[int] = RECENT_DAYS
+) -> DataFrame:
+    """(recent_days, keys) of a daily table that carries the columns of line_measures: counts of
+    orders add up, as an order lies on one day. An order whose lines of one key were
+    recorded on several days counts on each."""
+    columns = ("order_num", "order_count", "payment_count", "payment_num", "refund_count", "refund_num")
+    money = [c for c in ("order_amount", "payment_amount", "refund_amount") if c in daily.columns]
+    counts = [c for c in columns if c in daily.columns]
+    rows = expand_recent_days(daily.select(*keys, "date_id", *counts, *money), "date_id", biz_date, days)
+    return rows.groupBy("recent_days", *keys).agg(
+        *[F.sum(c).cast("bigint").alias(c) for c in counts], *[money_sum(c).alias(c) for c in money]
+    )
+
+
 def combine(parts: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     """Measures of the same grain side by side, 0 where a part has no row: a union
     and one aggregation in place of a chain of full outer joins."""

@@ -281,7 +281,9 @@ class DailyRun:
         actions = self.load_days("dwd", "dwd_action", month).withColumn("is_paid", F.lit(0))
         reports: dict[str, Callable[[], DataFrame]] = {
             "ads_gmv_day": lambda: ads.ads_gmv_day(orders, self.dt, refunds),
-            "ads_sku_sales_rank": lambda: ads.ads_sku_sales_rank(lines, self.dt, refunds),
+            "ads_sku_sales_rank": lambda: ads.ads_sku_sales_rank(
+                None, self.dt, daily=self.load_days("dws", "dws_sku_stats", month)
+            ),
             "ads_province_sale": lambda: ads.ads_province_sale(orders, self.dt),
             "ads_category_sale_analysis": lambda: ads.ads_category_sale_analysis(
                 lines, refunds, self.dt

@@ -210,3 +210,17 @@ def test_quartiles_interpolate(spark, rows):
     assert rows(batch.order_amount_summary(df), "cnt", "min_amount", "p25", "p50", "p75", "max_amount") == [(5, 1.0, 2.0, 2.0, 4.0, 5000.0)]
     two = spark.createDataFrame([(Decimal("1"),), (Decimal("2"),)], "total_amount decimal(16,2)")
     assert rows(batch.order_amount_summary(two), "p25", "p50", "p75") == [(1.25, 1.5, 1.75)]
+
+
+def test_sku_rank_from_the_daily_table_equals_that_from_lines(spark, rows):
+    sold = lines(spark, ("1", "u", "a", 1, "10", 1, "2024-01-30"), ("1", "u", "b", 2, "30", 1, "2024-01-30"),
+                 ("2", "v", "a", 3, "30", 0, "2024-01-25"), ("3", "v", "c", 1, "1", 1, "2024-01-03"), ("1", "u", "a", 1, "5", 1, "2024-01-30"))
+    refunds = spark.createDataFrame(
+        [("1", "u", "a", 1, Decimal("4"), "2024-01-30"), ("0", "u", "gone", 1, Decimal("9"), "2024-01-29")],
+        "order_id string, user_id string, sku_id string, refund_num bigint, refund_amount decimal(16,2), date_id string",
+    )
+    direct = ads.ads_sku_sales_rank(sold, "2024-01-30", refunds)
+    stored = ads.ads_sku_sales_rank(None, "2024-01-30", daily=dws.dws_sku_stats(sold, refunds))
+    columns = sorted(direct.columns)
+    assert sorted(stored.columns) == columns
+    assert rows(stored, *columns) == rows(direct, *columns)
