@@ -53,6 +53,8 @@ PARTS = {
                   ELSE 'UNKNOWN' END AS status,
              CASE WHEN o_orderstatus IN ('P', 'F') THEN 1 ELSE 0 END AS paid,
              CAST(o_totalprice AS DECIMAL(16,2)) AS amt,
+             CAST(o_orderkey % 10 AS DECIMAL(16,2)) AS fee, CAST(o_orderkey % 7 * 0.5 AS DECIMAL(16,2)) AS cut,
+             CAST(CAST(o_totalprice AS DECIMAL(16,2)) - o_orderkey % 10 AS DECIMAL(16,2)) AS goods,
              CAST(o_orderdate AS DATE) AS day,
              strftime(o_orderdate, '%Y-%m-%d') AS date_id,
              o_orderpriority, o_orderdate
@@ -186,7 +188,7 @@ ORDER_SUMS = f"""count(DISTINCT id) AS order_count, count(DISTINCT user_id) AS o
 PAYMENT_SUMS = f"""count(*) FILTER (WHERE paid = 1) AS payment_count,
   count(DISTINCT CASE WHEN paid = 1 THEN user_id END) AS payment_user_count,
   {money('amt', 'paid = 1')} AS payment_amount"""
-ZERO_FREIGHT = "CAST(0 AS DOUBLE) AS feight_fee, CAST(0 AS DOUBLE) AS discount_amount"
+FREIGHT = f"{money('fee')} AS feight_fee, {money('cut')} AS discount_amount"
 FAVORITE_PERIOD = """
         , h AS (SELECT user_id, CASE WHEN hour(ts) <= 6 THEN 0 WHEN hour(ts) <= 12 THEN 1
                      WHEN hour(ts) <= 18 THEN 2 ELSE 3 END AS period, count(*) AS n
@@ -442,7 +444,7 @@ ORACLE: dict[str, str] = {
             CASE o_orderpriority WHEN '1-URGENT' THEN 'ONLINE' WHEN '2-HIGH' THEN 'OFFLINE'
                  WHEN '3-MEDIUM' THEN 'COUPON' ELSE 'UNKNOWN' END AS payment_way_name,
             coalesce(c_mktsegment, 'UNKNOWN') AS user_level, coalesce(province_name, 'UNKNOWN') AS province_name,
-            {dbl('amt')} AS total_amount, {dbl('amt')} AS goods_amount, {big('paid')} AS is_paid, date_id
+            {dbl('amt')} AS total_amount, {dbl('goods')} AS goods_amount, {big('paid')} AS is_paid, date_id
             FROM op LEFT JOIN customer ON user_id = c_custkey""",
     ),
     "dwd_order_info_daily": f"""SELECT o_orderkey AS id, o_custkey AS user_id,
@@ -554,7 +556,7 @@ ORACLE: dict[str, str] = {
     # Daily aggregates
     "dws_gmv_stats": sql(
         "o",
-        f"""SELECT date_id, {ORDER_SUMS}, {money('amt')} AS goods_amount, {ZERO_FREIGHT},
+        f"""SELECT date_id, {ORDER_SUMS}, {money('goods')} AS goods_amount, {FREIGHT},
             count(*) FILTER (WHERE status = 'PAID') AS paid_order_count,
             {money('amt', "status = 'PAID'")} AS paid_gmv,
             count(*) FILTER (WHERE status = 'COMPLETED') AS completed_order_count,
@@ -611,7 +613,7 @@ ORACLE: dict[str, str] = {
     "user_favorite_period": sql("a", FAVORITE_PERIOD + " SELECT * FROM fp"),
     "dws_province_stats": sql(
         "op",
-        f"""SELECT {BIG_PROVINCE}, date_id, {ORDER_SUMS}, {money('amt')} AS goods_amount, {ZERO_FREIGHT}
+        f"""SELECT {BIG_PROVINCE}, date_id, {ORDER_SUMS}, {money('goods')} AS goods_amount, {FREIGHT}
             FROM op GROUP BY {PROVINCE}, date_id""",
     ),
     "dws_trademark_stats": sql(
@@ -754,7 +756,7 @@ ORACLE: dict[str, str] = {
         ref AS (SELECT k, count(DISTINCT order_id) AS n, sum(amt) AS amt
                 FROM rl JOIN r ON day > {BO} - k AND day <= {BO} GROUP BY k)
         SELECT {big('w.k')} AS recent_days, {ORDER_SUMS.replace('amt', 'w.amt').replace('id)', 'id)')},
-               {big('any_value(days.n)')} AS order_user_days, {money('w.amt')} AS goods_amount, {ZERO_FREIGHT},
+               {big('any_value(days.n)')} AS order_user_days, {money('w.goods')} AS goods_amount, {FREIGHT},
                {PAYMENT_SUMS.replace('amt', 'w.amt')}, {money('w.amt', "status = 'COMPLETED'")} AS completed_amount,
                count(*) FILTER (WHERE status = 'COMPLETED') AS completed_count,
                {div('sum(w.amt) FILTER (WHERE paid = 1)', 'count(*) FILTER (WHERE paid = 1)')} AS avg_pay_amount,
@@ -863,10 +865,10 @@ ORACLE: dict[str, str] = {
     "ads_province_sale": sql(
         "op r",
         f"""
-        , m AS (SELECT k, {PROVINCE}, count(DISTINCT id) AS oc, count(DISTINCT user_id) AS uc, sum(amt) AS amt
+        , m AS (SELECT k, {PROVINCE}, count(DISTINCT id) AS oc, count(DISTINCT user_id) AS uc, sum(amt) AS amt, sum(cut) AS cut
                 FROM op JOIN r ON day > {BO} - k AND day <= {BO} GROUP BY ALL)
         SELECT {big('k')} AS recent_days, {BIG_PROVINCE}, oc AS order_count, uc AS order_user_count,
-               {dbl('amt')} AS gmv, {div('amt', 'oc')} AS avg_order_amount, CAST(0 AS DOUBLE) AS discount_amount,
+               {dbl('amt')} AS gmv, {div('amt', 'oc')} AS avg_order_amount, {dbl('cut')} AS discount_amount,
                row_number() OVER (PARTITION BY k ORDER BY amt DESC, m.province_id) AS "rank" FROM m""",
     ),
     "ads_gmv_trend": sql(

@@ -58,8 +58,7 @@ class Sample:
         return orders
 
     def order_info(self, days: int | None = None) -> DataFrame:
-        """Order headers. No freight or reductions in the sample: 0."""
-        none = F.lit(0).cast(MONEY)
+        """Order headers. Freight and reductions, which the sample has not, come from the key's digits."""
         return self._raw_orders(days).select(
             F.col("o_orderkey").alias("id"),
             F.col("o_custkey").alias("user_id"),
@@ -72,8 +71,8 @@ class Sample:
                 F.col("o_orderpriority"),
             ).alias("payment_way"),
             F.col("o_totalprice").cast(MONEY).alias("total_amount"),
-            none.alias("feight_fee"),
-            none.alias("benefit_reduce_amount"),
+            (F.col("o_orderkey") % 10).cast(MONEY).alias("feight_fee"),
+            F.expr("cast(o_orderkey % 7 * 0.5BD AS decimal(16,2))").alias("benefit_reduce_amount"),
             F.col("o_orderdate").alias("create_time"),
         )
 
