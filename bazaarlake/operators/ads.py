@@ -158,9 +158,11 @@ def ads_user_retention_detail(
     biz_date: str,
     offsets: Sequence[int] = (1, 3, 7, 14, 30),
     cohort_days: int = 90,
+    firsts: DataFrame | None = None,
 ) -> DataFrame:
-    """Cohort day with one count and one rate column per retention day."""
-    came_back = user_offsets(activity.where(F.col("date_id") <= biz_date))
+    """Cohort day with one count and one rate column per retention day. With `firsts`
+    (user_id, create_date) the activity need not reach back beyond the first cohort's day."""
+    came_back = user_offsets(activity.where(F.col("date_id") <= biz_date), firsts)
     return _cohorts(came_back, biz_date, cohort_days, offsets).select(
         F.col("create_date").alias("cohort_day"),
         F.col("new_user_count").alias("total_new_users"),

@@ -336,9 +336,12 @@ def user_offsets(activity: DataFrame, firsts: DataFrame | None = None) -> DataFr
     return days.withColumn("day_offset", offset)
 
 
-def dws_user_retention_day(activity: DataFrame, offsets: tuple[int, ...] = (1, 3, 7)) -> DataFrame:
-    """One row per user and retention day the user came back on."""
-    return user_offsets(activity).where(F.col("day_offset").isin(*offsets)).select(
+def dws_user_retention_day(
+    activity: DataFrame, offsets: tuple[int, ...] = (1, 3, 7), firsts: DataFrame | None = None
+) -> DataFrame:
+    """One row per user and retention day the user came back on. With `firsts` the activity
+    need not reach back to every user's first day."""
+    return user_offsets(activity, firsts).where(F.col("day_offset").isin(*offsets)).select(
         "user_id",
         F.col("create_date").alias("cohort_day"),
         F.col("day_offset").cast("bigint").alias("retention_day"),

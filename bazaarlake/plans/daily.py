@@ -40,6 +40,7 @@ MAY_BE_EMPTY = (
     "ads/ads_conversion_rate",
     "ads/ads_user_activity",
     "ads/ads_user_retention",
+    "ads/ads_user_retention_detail",
     "ads/ads_sku_repurchase_analysis",
 )
 
@@ -304,6 +305,13 @@ class DailyRun:
                 self.dt,
                 firsts=self.load("dws", "dws_user_first_order").drop("dt"),
             ),
+            "ads_user_retention_detail": lambda: ads.ads_user_retention_detail(
+                self.load_days("dwd", "dwd_order_info", 91),
+                self.dt,
+                firsts=self.load("dws", "dws_user_first_order").drop("dt"),
+            ),
+            "ads_hot_sku": lambda: ads.ads_hot_sku(lines),
+            "ads_gmv_province": lambda: ads.ads_gmv_province(orders, self.dt),
             "ads_sku_repurchase_analysis": lambda: ads.ads_sku_repurchase_analysis(
                 self.load_days("dwd", "dwd_order_detail", 31),
                 self.dt,

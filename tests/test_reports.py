@@ -73,6 +73,11 @@ def test_retention_denominator_and_unobserved_days(spark, rows):
         ("2024-01-01", 2, 1, 0, 50.0), ("2024-01-08", 1, None, None, None)]
     per_user = dws.dws_user_retention_day(df)
     assert rows(per_user, "user_id", "retention_day") == [("a", 1), ("a", 7)]
+    firsts = dws.first_days(df)
+    columns = wide.columns
+    assert rows(ads.ads_user_retention_detail(df, "2024-01-08", (1, 3), firsts=firsts), *columns) == rows(wide, *columns)
+    since = dws.dws_user_retention_day(df.where("date_id >= '2024-01-05'"), firsts=firsts)
+    assert rows(since, "user_id", "retention_day") == [("a", 7)]
 
 
 def test_repurchase_ignores_a_second_line_of_one_order(spark, rows):
