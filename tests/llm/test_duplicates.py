@@ -69,7 +69,6 @@ def test_classes_equal_brute_force(spark, corpus, rows):
 
 
 def test_large_groups_take_the_joined_way(spark, corpus, rows, monkeypatch):
-    monkeypatch.setattr(minhash, "HUB_TURNS", 1)
     monkeypatch.setattr(minhash, "SMALL_BAND", 2)
     monkeypatch.setattr(minhash, "BLOCK_SETS", 8)
     df = spark.createDataFrame(corpus, "doc_id long, text string")
