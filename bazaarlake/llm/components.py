@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlake.llm.shared import checkpointed
 
+# A round runs on one task for so many links, without a shuffle while one task will do.
+LINKS_PER_TASK = 1 << 16
+
 
 def _low(edges: DataFrame) -> DataFrame:
     """The smallest node next to each u, u itself included. Combined before the shuffle, so a
@@ -14,6 +17,12 @@ def _low(edges: DataFrame) -> DataFrame:
     return edges.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("low"))
 
 
+def _each(edges: DataFrame, *links: tuple[Column, Column]) -> DataFrame:
+    """Several links (u, v) out of every row."""
+    pairs = F.array(*[F.struct(u.alias("u"), v.alias("v")) for u, v in links])
+    return edges.select(F.explode(pairs).alias("link")).select("link.*")
+
+
 def _print(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first())
 
@@ -27,28 +36,16 @@ def connected_components(links: DataFrame) -> DataFrame:
     Rounds grow with the logarithm of the longest chain. Nulls and self links are ignored;
     without links the result is empty.
     """
+    u, v, low = F.col("u"), F.col("v"), F.col("low")
     edges = checkpointed(
-        links.where("a <> b")
-        .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        .distinct()
+        links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     )
     before = _print(edges)
     while before[0]:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = (
-            both.join(_low(both), "u")
-            .where("v > u")
-            .select(F.col("v").alias("u"), F.col("low").alias("v"))
-            .distinct()
-        )
-        low = _low(large)
-        small = (
-            large.join(low, "u")
-            .select(F.col("v").alias("u"), F.col("low").alias("v"))
-            .unionByName(low.select("u", F.col("low").alias("v")))
-            .where("u <> v")
-            .distinct()
-        )
+        edges = edges.coalesce(before[0] // LINKS_PER_TASK + 1)
+        both = _each(edges, (u, v), (v, u))
+        large = both.join(_low(both), "u").where(v > u).select(v.alias("u"), low.alias("v"))
+        small = _each(large.join(_low(large), "u"), (v, low), (u, low)).where(u != v).distinct()
         edges = checkpointed(small)
         after = _print(edges)
         if after == before:

@@ -12,7 +12,7 @@ a pair at similarity 0.75 shares none with probability (1 - 0.75^4)^48, about 1e
 Candidates are confirmed on their full sets.
 
 Equal sets become one row first, so that copies cost nothing. Inside a band nobody is paired with
-everybody: each set is checked against one hub of its band, twice, and sets that became one class
+everybody: each set is checked against the hub of its band, and sets that became one class
 need no more checks. Only what is left in different classes is compared, by the
 bits of the sketch and then exactly, without a cap; where large groups are left, inside the join.
 """
@@ -24,9 +24,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bazaarlake.llm.components import connected_components
-from bazaarlake.llm.shared import as_bytes, checkpointed, space_words
+from bazaarlake.llm.shared import LONG, as_bytes, checkpointed, small_batches, space_words, struct
 
 WIDTH = 5
 BANDS, ROWS = 48, 4
@@ -37,8 +38,6 @@ PERCENT = 75
 # Differing sketch bits of a pair at similarity 0.75: 24 on average, deviation 4.6. Beyond this
 # bound, 5.6 deviations up, a pair is no candidate of the exhaustive comparison.
 FAR_BITS = 50
-# Turns in which the sets of a band are checked against one hub of it.
-HUB_TURNS = 2
 # What is left in bands of up to so many sets is compared band by band; in larger ones, where
 # the same sets meet in many bands, once for all bands together.
 SMALL_BAND = 32
@@ -109,11 +108,15 @@ def band_keys(coordinates: np.ndarray) -> np.ndarray:
     return key
 
 
+def has_words(text: Column) -> Column:
+    return F.coalesce(text.rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
+
+
 def set_id(hashes: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(hashes.tobytes())
 
 
-@F.arrow_udf("struct<n: bigint, set_id: bigint, bits: array<bigint>, keys: array<bigint>>")
+@F.arrow_udf(struct(n=LONG, set_id=LONG, bits=T.ArrayType(LONG), keys=T.ArrayType(LONG)))
 def _fingerprint(texts: pa.Array) -> pa.Array:
     n, ids, bits, keys = [], [], [], []
     for text in as_bytes(texts):
@@ -138,7 +141,19 @@ def _fingerprint(texts: pa.Array) -> pa.Array:
     )
 
 
-@F.arrow_udf("struct<set_id: bigint, hashes: array<bigint>>")
+@F.arrow_udf(struct(n=LONG, set_id=LONG))
+def _set_id(texts: pa.Array) -> pa.Array:
+    n, ids = [], []
+    for text in as_bytes(texts):
+        hashes = shingle_hashes(text)
+        n.append(len(hashes))
+        ids.append(set_id(hashes))
+    return pa.StructArray.from_arrays(
+        [pa.array(n, pa.int64()), pa.array(np.array(ids, np.uint64).view(np.int64))], names=["n", "set_id"]
+    )
+
+
+@F.arrow_udf(struct(set_id=LONG, hashes=T.ArrayType(LONG)))
 def _full_set(texts: pa.Array) -> pa.Array:
     ids, sets = [], []
     for text in as_bytes(texts):
@@ -154,15 +169,11 @@ def _full_set(texts: pa.Array) -> pa.Array:
     )
 
 
-def _pairs(rows: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b), a < b, that can reach the similarity by their sizes."""
-    first = F.col("x.set_id") < F.col("y.set_id")
+def _pairs(rows: DataFrame, one: str, other: str) -> DataFrame:
+    """Distinct pairs (a, b), a < b."""
     return (
-        rows.where(F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * PERCENT)
-        .select(
-            F.when(first, F.col("x.set_id")).otherwise(F.col("y.set_id")).alias("a"),
-            F.when(first, F.col("y.set_id")).otherwise(F.col("x.set_id")).alias("b"),
-        )
+        rows.where(F.col(one) != F.col(other))
+        .select(F.least(one, other).alias("a"), F.greatest(one, other).alias("b"))
         .distinct()
     )
 
@@ -193,15 +204,6 @@ def _mixed(members: DataFrame, classes: DataFrame) -> DataFrame:
     return known.join(mixed, "key")
 
 
-def _to_hubs(members: DataFrame, turn: int) -> DataFrame:
-    """Each member with the hub of its band: another one in every turn, chosen by a hash."""
-    me = F.struct("set_id", "n", "component")
-    hubs = members.groupBy("key").agg(F.min(F.xxhash64("set_id", F.lit(turn))).alias("rank"))
-    ranked = members.withColumn("rank", F.xxhash64("set_id", F.lit(turn)))
-    hub = ranked.join(hubs, ["key", "rank"], "left_semi").select("key", me.alias("y"))
-    return members.select("key", me.alias("x")).join(hub, "key").where("x.component <> y.component")
-
-
 def _near_bits() -> Column:
     differ = sum(
         (F.bit_count(F.col("x.bits")[i].bitwiseXOR(F.col("y.bits")[i])) for i in range(WORDS64)),
@@ -215,70 +217,76 @@ def _near_bits() -> Column:
     )
 
 
-def _left_in_small(members: DataFrame, bits: DataFrame) -> DataFrame:
+def _left_in_small(left: DataFrame) -> DataFrame:
     """Members of one band in different classes whose sketch bits are near enough."""
     me = F.struct("set_id", "n", "component", "bits")
-    rich = members.join(bits, "set_id")
-    x, y = rich.select("key", me.alias("x")), rich.select("key", me.alias("y"))
-    return _pairs(x.join(y, "key").where(_near_bits()))
+    x, y = left.select("key", me.alias("x")), left.select("key", me.alias("y"))
+    return _pairs(x.join(y, "key").where(_near_bits()), "x.set_id", "y.set_id")
 
 
-def _left_in_large(members: DataFrame, bits: DataFrame, sets: DataFrame) -> DataFrame:
+def _left_in_large(left: DataFrame, sets: DataFrame) -> DataFrame:
     """Links between classes in large bands. Bands that share sets make one group, so that a set
     is there once and not once a band. Pairs are confirmed inside the join, which gives
     out nothing but links."""
-    low = members.groupBy("key").agg(F.min("set_id").alias("b"))
-    groups = connected_components(members.join(low, "key").select(F.col("set_id").alias("a"), "b"))
-    nodes = members.select("set_id", "n", "component").distinct()
-    rows = nodes.join(groups.withColumnRenamed("component", "of").withColumnRenamed("node", "set_id"), "set_id", "left")
-    rows = rows.withColumn("of", F.coalesce("of", "set_id")).join(bits, "set_id").join(sets, "set_id")
-    # A large group is dealt out in blocks: each block of it meets all of its sets.
+    low = left.groupBy("key").agg(F.min("set_id").alias("low"))
+    lows = left.join(low, "key").select("set_id", "low")
+    # A set goes with the smallest of its lows; only those lows are linked that a set has in common.
+    mine = lows.groupBy("set_id").agg(F.min("low").alias("mine"))
+    linked = lows.join(mine, "set_id").select(F.col("low").alias("a"), F.col("mine").alias("b"))
+    groups = connected_components(linked).select(F.col("node").alias("mine"), F.col("component").alias("of"))
+    nodes = left.groupBy("set_id").agg(*[F.first(c).alias(c) for c in ("n", "component", "bits")])
+    rows = nodes.join(mine, "set_id").join(groups, "mine", "left")
+    rows = rows.withColumn("of", F.coalesce("of", "mine")).drop("mine").join(sets, "set_id")
+    # A large group is dealt out in blocks, and each block meets all sets of the group. The blocks are
+    # the tasks: cutting both sides further, as for a skewed join, would multiply tasks.
     blocks = rows.groupBy("of").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("blocks"))
     me = F.struct("set_id", "n", "component", "bits", "hashes")
     rows = rows.join(blocks, "of").withColumn("me", me)
     x = rows.select("of", F.pmod(F.xxhash64("set_id"), "blocks").alias("block"), F.col("me").alias("x"))
     y = rows.select("of", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("me").alias("y"))
     near = (x["of"] == y["of"]) & (x["block"] == y["block"]) & _near_bits() & _similar("x.hashes", "y.hashes")
+    x, y = x.repartition("of", "block"), y.repartition("of", "block")
     return x.join(y, near).select(F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b"))
 
 
-def near_duplicate_sets(fingerprints: DataFrame, docs: DataFrame) -> DataFrame:
-    """(node, component) of the set ids that are linked with another set."""
-    sets = (
-        fingerprints.where("n > 0")
-        .groupBy("set_id")
+def _sets(rows: DataFrame, *more: Column) -> DataFrame:
+    """One row per set of shingles among rows (doc_id, text): smallest id, size, sketch bits and bands."""
+    # Rows without a word go by their text: a filter on the sketch would have it made twice.
+    worded = rows.where(has_words(F.col("text")))
+    sketched = worded.withColumn("f", _fingerprint("text")).select(*[c for c in rows.columns if c != "text"], "f.*")
+    return checkpointed(
+        sketched.groupBy("set_id")
         .agg(
             F.min("doc_id").alias("doc_id"),
-            F.first("n").alias("n"),
-            F.first("bits").alias("bits"),
-            F.first("keys").alias("keys"),
+            *[F.first(c).alias(c) for c in ("n", "bits", "keys")],
+            *more,
         )
     )
-    banded = sets.select("set_id", "n", F.explode("keys").alias("key"))
-    shared = banded.groupBy("key").agg(F.min("set_id").alias("lo"), F.max("set_id").alias("hi"))
-    members = checkpointed(banded.join(shared.where("lo <> hi").select("key"), "key", "left_semi"))
+
+
+def near_duplicate_sets(sets: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, component) of the set ids that are linked with another set."""
+    banded = sets.select("set_id", F.explode("keys").alias("key"))
+    shared = banded.groupBy("key").agg(F.min("set_id").alias("hub"), F.max("set_id").alias("hi"))
+    members = checkpointed(banded.join(shared.where("hub <> hi").drop("hi"), "key"))
     ids = members.select("set_id").distinct()
     wanted = sets.join(ids, "set_id", "left_semi").select(
         F.col("set_id").alias("wanted"), F.col("doc_id").alias("wanted_doc")
     )
-    # Sets again from the texts, for candidates alone: less to move than the sets of all.
+    # Sets again from the texts, for candidates alone: less to move than the sets of all. An id that
+    # repeats brings sets that nobody asks for; they do no harm.
     full = checkpointed(
         docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted_doc")))
-        .withColumn("full", _full_set("text"))
-        .where("full.set_id = wanted")
+        .select(_full_set("text").alias("full"))
         .select("full.*")
         .dropDuplicates(["set_id"])
     )
-    none = members.select(F.col("set_id").alias("node"), F.col("set_id").alias("component")).limit(0)
-    classes = none
-    for turn in range(HUB_TURNS):
-        left = _mixed(members, classes)
-        found = _confirmed(_pairs(_to_hubs(left, turn)), full)
-        classes = connected_components(_links(classes).unionByName(found))
-    bits = sets.select("set_id", "bits")
-    left = checkpointed(_mixed(members, classes))
-    small = _confirmed(_left_in_small(left.where(F.col("sets") <= SMALL_BAND), bits), full)
-    large = _left_in_large(left.where(F.col("sets") > SMALL_BAND), bits, full)
+    to_hubs = _confirmed(_pairs(members, "set_id", "hub"), full)
+    classes = connected_components(to_hubs)
+    left = _mixed(members.drop("hub"), classes)
+    left = checkpointed(left.join(sets.select("set_id", "n", "bits"), "set_id"))
+    small = _confirmed(_left_in_small(left.where(F.col("sets") <= SMALL_BAND)), full)
+    large = _left_in_large(left.where(F.col("sets") > SMALL_BAND), full)
     return connected_components(_links(classes).unionByName(small).unionByName(large))
 
 
@@ -286,6 +294,13 @@ def _links(classes: DataFrame) -> DataFrame:
     return classes.select(F.col("node").alias("a"), F.col("component").alias("b"))
 
 
+def _components(sets: DataFrame, docs: DataFrame) -> DataFrame:
+    """sets with the set id of their class."""
+    classes = near_duplicate_sets(sets, docs)
+    node = classes.select(F.col("node").alias("set_id"), "component")
+    return sets.join(node, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id, kept.
 
@@ -297,28 +312,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     each; ids that are null take part in links but are no smallest id, and are kept only
     where a class has no other id. Other columns of docs are not read. No rows give no rows.
     """
-    plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    fingerprints = checkpointed(
-        plain.withColumn("f", _fingerprint("text")).select("doc_id", "f.*")
-    )
-    classes = near_duplicate_sets(fingerprints, plain)
-    return _with_class(fingerprints, classes)
-
-
-def _class_of_sets(fingerprints: DataFrame, classes: DataFrame) -> DataFrame:
-    """(set_id, low, component): every set with its smallest id and the set id of its class."""
-    of_set = fingerprints.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("low"))
-    node = classes.select(F.col("node").alias("set_id"), "component")
-    return of_set.join(node, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
-
-
-def _with_class(fingerprints: DataFrame, classes: DataFrame) -> DataFrame:
-    labelled = _class_of_sets(fingerprints, classes)
-    lowest = labelled.groupBy("component").agg(F.min("low").alias("component_id"))
+    plain = small_batches(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    sets = _sets(plain)
+    labelled = _components(sets.select("set_id", "doc_id", "n", "bits", "keys"), plain).select("set_id", "doc_id", "component")
+    lowest = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     by_set = labelled.join(lowest, "component").select("set_id", "component_id")
     component_id = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    # The set of each row once more, without its sketch: cheaper than keeping all until here.
     return (
-        fingerprints.select("doc_id", "n", "set_id")
+        plain.withColumn("f", _set_id("text"))
+        .select("doc_id", "f.*")
         .join(by_set, "set_id", "left")
         .select(
             "doc_id",
@@ -334,25 +337,20 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     that with the smallest hash of the row, and of rows equal in every column one. Rows without a
     word are in no class, and all stay. Columns stay as they are."""
     key = F.concat_ws(":", F.col(id_col).cast("string"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).cast("string"))
-    rows = docs.select(
+    rows = small_batches(docs).select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         key.alias("key"),
         F.col(id_col).alias("doc_id"),
         F.col(text_col).alias("text"),
     )
-    fingerprints = checkpointed(
-        rows.select("doc_id", "key", "text").withColumn("f", _fingerprint("text")).select(F.col("key").alias("row_key"), "doc_id", "f.*")
-    )
-    classes = near_duplicate_sets(fingerprints, rows.select("doc_id", "text"))
-    component = _class_of_sets(fingerprints, classes).select("set_id", "component")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")
+    sets = _sets(rows.select("doc_id", F.col("key").alias("row_key"), "text"), F.min(order).alias("first"))
     keep = (
-        fingerprints.where("n > 0")
-        .join(component, "set_id")
+        _components(sets, rows.select("doc_id", "text"))
         .groupBy("component")
-        .agg(F.min(order).alias("first"))
+        .agg(F.min("first").alias("first"))
         .select(F.col("first.row_key").alias("key"))
     )
-    words = F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
+    words = has_words(F.col("text"))
     one = rows.where(words).join(keep, "key", "left_semi").dropDuplicates(["key"])
     return one.select("row.*").unionByName(rows.where(~words).select("row.*"))

@@ -26,6 +26,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# What a Python worker is handed at a time; Spark's defaults are 10,000 rows and 64 MB.
+BATCH = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+}
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """The frame; its session hands texts to Python in batches whose memory is bounded. A worker
+    holds several copies of a batch, and two workers and the JVM share an executor."""
+    for key, value in BATCH.items():
+        df.sparkSession.conf.set(key, value)
+    return df
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir, or where it is unset (as in
     tests) a folder of the warehouse, which is shared as well."""
