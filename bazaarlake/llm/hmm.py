@@ -7,7 +7,7 @@ transition and emission probabilities: each task adds up expected counts over it
 documents, the sums of all tasks make the next model. The scaled forward recursion gives the exact
 likelihood of the whole sequence, whatever its length.
 
-Counts cover every training token. Those of the COMMON most frequent tokens, a bounded table, go to all
+Counts cover every training token. Those of the COMMON most frequent tokens or somewhat fewer, a bounded table, go to all
 tasks; the occurrences of all others meet their counts in a join, so that neither the
 vocabulary nor a frequent word weighs on one place. Tokens are known by a 64-bit hash.
 """
@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlake.llm.shared import as_bytes, checkpointed, space_words
+from bazaarlake.llm.shared import as_bytes, checkpointed, small_batches, space_words
 
 STATES = 8
 HEAD = 4096
@@ -147,9 +147,21 @@ END_HASH = int(np.array([xxhash.xxh3_64_intdigest(END)], np.uint64).view(np.int6
 def lexicon(counts: DataFrame) -> Lexicon:
     """From (hash, class, n) of all training tokens."""
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    end = counts.where(F.col("hash") == END_HASH)
-    rest = counts.where(F.col("hash") != END_HASH).orderBy(F.desc("n"), "hash").limit(COMMON)
-    top = end.unionByName(rest).toPandas().sort_values(["n", "hash"], ascending=[False, True], ignore_index=True)
+    # The smallest count for which the table is not too large, from counts of counts in classes of a
+    # 32nd of a doubling: no sort, and nothing to the driver but two thousand rows.
+    size = F.floor(F.log2("n") * 32).cast("int")
+    classes = counts.groupBy(size.alias("size")).agg(F.count("*").alias("words")).collect()
+    room, least = COMMON, 1 << 30
+    for r in sorted(classes, key=lambda r: -r["size"]):
+        room -= r["words"]
+        if room < 0:
+            break
+        least = r["size"]
+    top = (
+        counts.where((size >= least) | (F.col("hash") == END_HASH))
+        .toPandas()
+        .sort_values(["n", "hash"], ascending=[False, True], ignore_index=True)
+    )
     words = top[top["hash"] != END_HASH]
     head = words.head(HEAD)
     symbol = np.full(len(top), -1, np.int64)
@@ -253,7 +265,7 @@ class Hmm:
 def first_model(counts: np.ndarray, states: int = STATES, seed: int = 10) -> Hmm:
     """Symbol frequencies, tilted at random in every state so that states can part."""
     rng = np.random.default_rng(seed)
-    emit = (counts + 0.5)[:, None] * rng.uniform(0.5, 1.5, (len(counts), states))
+    emit = counts[:, None] * rng.uniform(0.5, 1.5, (len(counts), states))
     move = rng.uniform(0.5, 1.5, (states, states)) + np.eye(states)
     return Hmm(
         np.full(states, 1 / states), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0)
@@ -370,19 +382,21 @@ def _next(model: Hmm, sums: np.ndarray, frequency: np.ndarray) -> Hmm:
     states, symbols = len(model.start), len(model.emit)
     start = sums[:states] + 1e-3
     move = sums[states : states + states * states].reshape(states, states) + 1e-3
-    # A little of the overall frequency keeps every symbol possible in every state.
-    emit = sums[states + states * states :].reshape(symbols, states) + 0.01 * frequency[:, None] + 1e-6
+    # One more symbol, in the shares of the corpus, keeps all of them possible in every state.
+    emit = sums[states + states * states :].reshape(symbols, states) + frequency[:, None]
     return Hmm(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
 
 
 def train(encoded: DataFrame, lex: Lexicon, iterations: int = ITERATIONS) -> Hmm:
     """Baum-Welch over a column `symbols`. Each round sends SYMBOLS * STATES sums to the driver."""
+    # What training has not seen can only be the end or a class; symbols no word has stay at 0.
     frequency = np.zeros(SYMBOLS)
     own = lex.symbols >= 0
     frequency[lex.symbols[own]] = lex.counts[own]
-    frequency[1 + HEAD :] = lex.class_tokens
+    frequency[0] += 0.5
+    frequency[1 + HEAD :] = lex.class_tokens + 0.5
     model = first_model(frequency)
-    share = (frequency + 0.5) / (frequency + 0.5).sum() * SYMBOLS
+    share = frequency / frequency.sum()
     for _ in range(iterations):
         rows = (
             encoded.select("symbols")
@@ -409,7 +423,7 @@ def score(
     the untrained model's score; without rows there are none.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(
+    rows = small_batches(docs).select(
         F.col(id_col).alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), text.alias("text")
     ).withColumn("row_key", F.xxhash64("doc_id", "text"))
     counts = checkpointed(
