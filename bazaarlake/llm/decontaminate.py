@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlake.llm.shared import LONG, TEXT, alnum_words, as_bytes, struct
+from bazaarlake.llm.shared import LONG, TEXT, alnum_words, as_bytes, small_batches, struct
 
 WINDOW = 10
 SHARD_WORDS = 1 << 19
@@ -254,7 +254,7 @@ def contamination(
     """
     blocks = [Benchmark(items) for items in _blocks(benchmark, item_col, item_text_col)]
     hits = F.array(*[_hit_udf(b)(F.col(text_col)) for b in blocks])
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), hits.alias("hits"))
+    rows = small_batches(docs).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), hits.alias("hits"))
     digest = _digest(F.col("hits.spans"), F.col("hits.items"))
     rows = rows.withColumn("d", digest)
     result = F.struct(
@@ -282,7 +282,7 @@ def longest_matches(
     only continue a match which began a word earlier are left out, as are matches below at_least
     words. Nulls and empty texts match nothing; repeated rows match each.
     """
-    plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    plain = small_batches(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     id_type = plain.schema["doc_id"].dataType.simpleString()
     found = None
     for items in _blocks(benchmark, item_col, item_text_col):

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from bazaarlake.llm.shared import DOUBLE, INT, LONG, TEXT, alnum_words, as_bytes, struct
+from bazaarlake.llm.shared import DOUBLE, INT, LONG, TEXT, alnum_words, as_bytes, small_batches, struct
 
 # Phrase and label.
 BASE = (
@@ -172,6 +172,6 @@ def license_scan(docs: DataFrame, text_col: str = "text", out: str = "license")
     or wordless text has no words, no labels ('') and score 0. Rows that repeat get equal results;
     all rows and columns stay, one named like `out` is replaced. No rows give no rows.
     """
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _scan(F.col(text_col)).alias("scan"))
+    rows = small_batches(docs).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _scan(F.col(text_col)).alias("scan"))
     columns = [F.col("row")[c].alias(c) for c in docs.columns if c != out]
     return rows.select(*columns, F.col("scan").alias(out))

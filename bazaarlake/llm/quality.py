@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bazaarlake.llm.shared import INT, as_bytes, checkpointed
+from bazaarlake.llm.shared import INT, as_bytes, checkpointed, small_batches
 
 BITS = 18
 SIZE = 1 << BITS
@@ -225,7 +225,7 @@ def fit(
     smoothed share of label 1."""
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
     known = known.groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).cast("int").alias("y"))
-    rows = docs if train is None else docs.where(train)
+    rows = small_batches(docs if train is None else docs.where(train))
     rows = rows.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null")
     known = checkpointed(known)
     if known.count() <= BROADCAST_LABELS:
@@ -271,4 +271,4 @@ def score(docs: DataFrame, model: QualityModel, text_col: str = "text", out: str
         shapes: dict[bytes, bytes] = {}
         return pa.array([model.probability(indicators(t, shapes)) for t in as_bytes(texts)], pa.float64())
 
-    return docs.withColumn(out, probability(F.col(text_col)))
+    return small_batches(docs).withColumn(out, probability(F.col(text_col)))
