@@ -10,6 +10,13 @@ from pyspark.sql import functions as F
 from bazaarlake.functions.common import shift
 
 
+def hash_predicates(column: str, parts: int) -> list[str]:
+    """Slices of a text key by its checksum in the source database, rows without a key in the
+    first: one parallel read each, evenly filled whatever the keys look like."""
+    slices = [f"MOD(CRC32({column}), {parts}) = {i}" for i in range(parts)]
+    return [f"{slices[0]} OR {column} IS NULL", *slices[1:]]
+
+
 def read_table(
     spark: SparkSession,
     url: str,
@@ -17,9 +24,14 @@ def read_table(
     properties: Mapping[str, str],
     column: str | None = None,
     num_partitions: int = 16,
+    text_column: str | None = None,
 ) -> DataFrame:
-    """A whole table, read in key ranges of a numeric column. The range's ends are
-    asked from the database, one row."""
+    """A whole table, read in key ranges of a numeric column, whose ends are asked from the
+    database, one row; or in slices of a text key."""
+    if text_column is not None:
+        return spark.read.jdbc(
+            url, table, predicates=hash_predicates(text_column, num_partitions), properties=dict(properties)
+        )
     if column is None:
         return spark.read.jdbc(url, table, properties=dict(properties))
     ends = f"(SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}) bounds"

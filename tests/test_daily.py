@@ -5,7 +5,7 @@ import pytest
 from bazaarlake.operators import quality
 from bazaarlake.plans.daily import MissingInput, run_day
 from bazaarlake.sources import files
-from bazaarlake.sources.jdbc import hour_predicates
+from bazaarlake.sources.jdbc import hash_predicates, hour_predicates
 from bazaarlake.sources.schemas import RAW_COLUMNS, raw_schema
 
 
@@ -154,6 +154,7 @@ def test_schemas_and_jdbc_slices():
     assert slices == [
         "create_time >= '2024-02-29' AND create_time < '2024-02-29 12:00'",
         "create_time >= '2024-02-29 12:00' AND create_time < '2024-03-01'"]
+    assert hash_predicates("id", 2) == ["MOD(CRC32(id), 2) = 0 OR id IS NULL", "MOD(CRC32(id), 2) = 1"]
     # Text times of the minute after midnight belong to the new day, whatever their length.
     for time in ("2024-02-29 00:00", "2024-02-29 00:00:00"):
         assert "2024-02-29" <= time < "2024-02-29 12:00"

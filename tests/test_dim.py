@@ -1,6 +1,7 @@
 import random
 
 from bazaarlake.operators import dim
+from pyspark.sql import functions as F
 
 USER = "id string, login_name string, nick_name string, name string, phone_num string, email string, user_level string, status string"
 
@@ -156,3 +157,19 @@ def test_sku_full_keeps_a_sku_with_no_lookup_match(spark, rows):
     c1 = spark.createDataFrame([("c11", "C1")], "category1_id string, category1_name string")
     got = dim.dim_sku_full(skus, brands, c3, c2, c1)
     assert rows(got, "sku_id", "tm_name", "category1_name") == [("1", "Brand", "C1"), ("2", None, None)]
+
+
+def test_histories_hold_masked_contacts(spark, rows):
+    schema = "id string, phone_num string, email string, user_level string, dt string"
+    feed = spark.createDataFrame([("u", "13812345678", "someone@x.org", "1", "2024-01-01"), ("v", None, None, "1", "2024-01-01")], schema)
+    masked = [("u", "138****5678", "s***@x.org"), ("v", None, None)]
+    columns = ("id", "phone_num", "email")
+    assert rows(dim.dim_user_snapshot(feed, "2024-01-02"), *columns) == masked
+    users = feed.drop("dt")
+    third = dim.dim_user_scd3_init(users, "2024-01-01", ("user_level",))
+    assert rows(third, *columns) == masked
+    changed = users.withColumn("user_level", F.lit("2"))
+    later = dim.dim_user_scd3(third, changed, "2024-01-02", ("user_level",))
+    assert rows(later, *columns) == masked and rows(later, "user_level_last") == [("1",), ("1",)]
+    history = dim.dim_user_init(dim.masked_contacts(users), "2024-01-01")
+    assert set(rows(dim.dim_user_scd2(history, changed, "2024-01-02"), *columns)) == set(masked)
