@@ -169,8 +169,10 @@ def _hits(texts: list[bytes | None], bench: Benchmark) -> Iterator[tuple[int, np
         if bench.longest:
             at = shard.search(bench)
             some = np.flatnonzero(at["window_lo"] < at["window_hi"])
-            # Equal windows of several suffixes share one interval; their places are walked once.
-            distinct, group = np.unique(at["window_lo"][some], return_inverse=True)
+            # Equal windows of several suffixes share one interval; their places are walked once. A shorter
+            # window may start at the same place of the suffix array, so its length counts as well.
+            window = at["window_lo"][some] * (bench.window + 1) + bench.need[some]
+            distinct, group = np.unique(window, return_inverse=True)
             first = np.zeros(len(distinct), np.int64)
             first[group] = some
             places, owner = _places(shard.sa, at["window_lo"][first], at["window_hi"][first])
