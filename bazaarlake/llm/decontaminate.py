@@ -1,11 +1,11 @@
 """Benchmark decontamination with suffix arrays over the training documents.
 
 Each task cuts its documents into shards of a bounded size and sorts the suffixes of a shard by
-their words (prefix doubling, as deep as the longest benchmark item: two suffixes that
-agree that far need no order). Every suffix of every benchmark item is then looked up by
-binary search, one word at a time: the suffixes that share its first k words are an interval,
-and the next word narrows it. The interval after ten words holds all places of that window; the
-last interval that is not empty gives the longest verbatim match and its places.
+their words (prefix doubling, as deep as a window: two suffixes that agree that far need no
+order). Every suffix of every benchmark item is then looked up by binary search, one word at a
+time: the suffixes that share its first k words are an interval, and the next word narrows it.
+The interval after ten words holds all places of that window; from each of them, the words are
+compared further for the longest verbatim match there.
 
 The benchmark is the stated query set. It goes to the tasks in blocks of BLOCK_BYTES,
 one pass over the documents per block; documents are never shuffled.
@@ -25,6 +25,8 @@ from bazaarlake.llm.shared import LONG, TEXT, alnum_words, as_bytes, small_batch
 
 WINDOW = 10
 SHARD_WORDS = 1 << 19
+# Places of matches that are compared at a time.
+PLACES = 1 << 20
 BLOCK_BYTES = 32 << 20
 
 
@@ -55,7 +57,7 @@ class Benchmark:
         self.need = np.where(
             self.length >= window, window, np.where(self.offset == 0, self.length, 0)
         )
-        self.longest = int(self.length.max(initial=0))
+        self.deepest = int(self.need.max(initial=0))
 
 
 def suffix_array(ids: np.ndarray, depth: int) -> np.ndarray:
@@ -110,18 +112,20 @@ class Shard:
         self.starts = np.array(starts, np.int64)
         self.sa = suffix_array(self.ids, depth)
 
-    def search(self, bench: Benchmark) -> dict[str, np.ndarray]:
-        """Per suffix: the interval of its window (empty if it has none or none occurs), the
-        longest match and its interval."""
-        words = np.array([self.number.get(w, -1) for w in bench.words], np.int64)
+    def numbers(self, bench: Benchmark) -> np.ndarray:
+        """The words of the items as the shard numbers them; -1 for those it does not have."""
+        return np.array([self.number.get(w, -1) for w in bench.words], np.int64)
+
+    def search(self, bench: Benchmark) -> tuple[np.ndarray, np.ndarray]:
+        """Per suffix the interval of its window (empty if it has none or none occurs)."""
+        words = self.numbers(bench)
         m = len(bench.start)
         lo, hi = np.zeros(m, np.int64), np.full(m, len(self.sa), np.int64)
-        matched = np.zeros(m, np.int64)
         window_lo, window_hi = np.zeros(m, np.int64), np.zeros(m, np.int64)
         live = np.arange(m)
         k = 0
         while len(live):
-            live = live[bench.length[live] > k]
+            live = live[bench.need[live] > k]
             word = words[bench.start[live] + k]
             live, word = live[word > 0], word[word > 0]
             left = _bound(self.ids, self.sa, k, lo[live], hi[live], word, False)
@@ -129,10 +133,32 @@ class Shard:
             on = left < right
             live, left, right = live[on], left[on], right[on]
             k += 1
-            lo[live], hi[live], matched[live] = left, right, k
+            lo[live], hi[live] = left, right
             full = live[bench.need[live] == k]
             window_lo[full], window_hi[full] = lo[full], hi[full]
-        return {"lo": lo, "hi": hi, "matched": matched, "window_lo": window_lo, "window_hi": window_hi}
+        return window_lo, window_hi
+
+    def maximal(self, bench: Benchmark) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(suffixes, places, lengths) of all matches of bench.window words at least that go on
+        neither to the left nor to the right."""
+        words = self.numbers(bench)
+        lo, hi = self.search(bench)
+        some = np.flatnonzero((lo < hi) & (bench.length >= bench.window))
+        part = np.cumsum(hi[some] - lo[some]) // PLACES
+        for chunk in np.split(some, np.flatnonzero(np.diff(part)) + 1) if len(some) else []:
+            places, owner = _places(self.sa, lo[chunk], hi[chunk])
+            suffix = chunk[owner]
+            # In front of the first place stands the last word, which is a separator.
+            left = (bench.offset[suffix] > 0) & (self.ids[places - 1] == words[bench.start[suffix] - 1])
+            suffix, places = suffix[~left], places[~left]
+            length = np.full(len(suffix), bench.window, np.int64)
+            live = np.arange(len(suffix))
+            while len(live):
+                live = live[length[live] < bench.length[suffix[live]]]
+                n = length[live]
+                live = live[self.ids[places[live] + n] == words[bench.start[suffix[live]] + n]]
+                length[live] += 1
+            yield suffix, places, length
 
     def document_of(self, places: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.starts, places, side="right") - 1
@@ -163,19 +189,19 @@ def _places(sa: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray,
 def _hits(texts: list[bytes | None], bench: Benchmark) -> Iterator[tuple[int, np.ndarray, list]]:
     """Per document: number of words, places hit (one flag a word), items with occurring windows."""
     for words in _shards(texts):
-        shard = Shard(words, bench.longest)
+        shard = Shard(words, bench.deepest)
         mark = np.zeros(len(shard.ids) + 1, np.int64)
         found: list[set] = [set() for _ in words]
-        if bench.longest:
-            at = shard.search(bench)
-            some = np.flatnonzero(at["window_lo"] < at["window_hi"])
+        if bench.deepest:
+            lo, hi = shard.search(bench)
+            some = np.flatnonzero(lo < hi)
             # Equal windows of several suffixes share one interval; their places are walked once. A shorter
             # window may start at the same place of the suffix array, so its length counts as well.
-            window = at["window_lo"][some] * (bench.window + 1) + bench.need[some]
+            window = lo[some] * (bench.window + 1) + bench.need[some]
             distinct, group = np.unique(window, return_inverse=True)
             first = np.zeros(len(distinct), np.int64)
             first[group] = some
-            places, owner = _places(shard.sa, at["window_lo"][first], at["window_hi"][first])
+            places, owner = _places(shard.sa, lo[first], hi[first])
             np.add.at(mark, places, 1)
             np.add.at(mark, places + bench.need[first][owner], -1)
             items: list[set] = [set() for _ in distinct]
@@ -279,37 +305,31 @@ def longest_matches(
     item_col: str = "item_id",
     item_text_col: str = "text",
 ) -> DataFrame:
-    """(item_id, item_start, doc_id, doc_start, n_words): for every suffix of an item its longest
-    verbatim match in each shard, with all places. Starts count words from 0. Suffixes that
-    only continue a match which began a word earlier are left out, as are matches below at_least
-    words. Nulls and empty texts match nothing; repeated rows match each.
+    """(item_id, item_start, doc_id, doc_start, n_words): every verbatim match of at_least words that
+    can be extended neither to the left nor to the right, so that no row depends on other
+    documents. Starts count words from 0. Nulls and empty texts match nothing; repeated rows
+    match each.
     """
     plain = small_batches(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     id_type = plain.schema["doc_id"].dataType.simpleString()
     found = None
     for items in _blocks(benchmark, item_col, item_text_col):
-        bench = Benchmark(items)
+        bench = Benchmark(items, max(1, at_least))
 
         def matches(batches: Iterator[pa.RecordBatch], bench: Benchmark = bench) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 done = 0
                 for words in _shards(as_bytes(batch.column(1))):
-                    shard = Shard(words, bench.longest)
-                    at = shard.search(bench) if bench.longest else None
-                    if at is not None:
-                        length = at["matched"]
-                        before = np.where(bench.offset > 0, np.concatenate(([0], length[:-1])), 0)
-                        some = np.flatnonzero((length >= at_least) & (before <= length))
-                        places, owner = _places(shard.sa, at["lo"][some], at["hi"][some])
+                    shard = Shard(words, bench.deepest)
+                    for suffix, places, length in shard.maximal(bench):
                         docs_ = shard.document_of(places)
-                        suffix = some[owner]
                         yield pa.RecordBatch.from_arrays(
                             [
                                 pa.array([bench.items[i] for i in bench.owner[suffix]], pa.string()),
                                 pa.array(bench.offset[suffix]),
                                 batch.column(0).take(pa.array(docs_ + done)),
                                 pa.array(places - shard.starts[docs_]),
-                                pa.array(length[suffix]),
+                                pa.array(length),
                             ],
                             names=["item_id", "item_start", "doc_id", "doc_start", "n_words"],
                         )

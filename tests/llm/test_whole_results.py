@@ -1,9 +1,12 @@
 """Results are whole: no row, place or token is lost beside another one."""
 
+import itertools
+
 import pytest
 
-from bazaarlake.llm.decontaminate import contamination
-from tests.llm.test_decontamination import brute
+from bazaarlake.llm import decontaminate
+from bazaarlake.llm.decontaminate import contamination, longest_matches
+from tests.llm.test_decontamination import brute, words
 
 
 def ordered(got):
@@ -19,3 +22,33 @@ def test_item_that_starts_another_ones_window(spark, rows, swap):
         df = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
         bench = spark.createDataFrame(items, "item_id long, text string").coalesce(1)
         assert rows(contamination(df, bench).select("doc_id", "contamination.*")) == ordered(brute(docs, items))
+
+
+def maximal(docs, items, at_least):
+    out = []
+    for (item, a), (doc, b) in itertools.product(items, docs):
+        a, b = words(a), words(b)
+        for i, j in itertools.product(range(len(a)), range(len(b))):
+            if i and j and a[i - 1] == b[j - 1]:
+                continue
+            n = 0
+            while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n]:
+                n += 1
+            if n >= at_least:
+                out.append((str(item), i, doc, j, n))
+    return ordered(out)
+
+
+def test_matches_do_not_depend_on_other_documents(spark, rows, monkeypatch):
+    item = " ".join(f"q{i}" for i in range(30))
+    cut = " ".join(f"q{i}" for i in range(1, 16))
+    items = [(5, item), (6, "a b " * 8), (7, "q1 q2 q3"), (8, None)]
+    docs = [(1, f"x y {item[:-4]} z"), (2, item), (3, cut), (4, None), (5, f"{cut} - {cut} q16"), (6, "b " + "a b " * 7), (7, cut)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for at_least in (10, 3):
+        want = maximal(docs, items, at_least)
+        assert rows(longest_matches(df.coalesce(1), bench, at_least)) == want
+    monkeypatch.setattr(decontaminate, "SHARD_WORDS", 20)
+    monkeypatch.setattr(decontaminate, "PLACES", 5, raising=False)
+    assert rows(longest_matches(df.repartition(4), bench)) == maximal(docs, items, 10)
