@@ -26,6 +26,7 @@ ROUND_SLOTS = 1024
 BLOCK_DOCS = 64
 MAX_SHARE = 1 / 3
 RANGE_ROWS = 10_000
+OUTSIDE = -1
 
 
 def natural_quotas(counts: DataFrame, max_share: float = MAX_SHARE) -> DataFrame:
@@ -63,7 +64,7 @@ def given_quotas(counts: DataFrame, weights: DataFrame) -> DataFrame:
 
 def _with_lanes(quotas: DataFrame, size: int, slots: int) -> DataFrame:
     """quotas with a lane number. Sources with at least a slot's worth, at most `slots` of them, have
-    their own; all smaller ones share lane 0 and are cut, if at all, as one."""
+    their own; all smaller ones share lane 0. Sources without a quota are in no lane (OUTSIDE)."""
     large = F.col("quota") * slots >= max(size, 1)
     own = quotas.where(large).select(
         F.col("source").alias("named"),
@@ -71,7 +72,7 @@ def _with_lanes(quotas: DataFrame, size: int, slots: int) -> DataFrame:
     )
     return (
         quotas.join(own, F.col("source").eqNullSafe(F.col("named")), "left")
-        .withColumn("lane", F.coalesce("own", F.lit(0)))
+        .withColumn("lane", F.when(F.col("quota") > 0, F.coalesce("own", F.lit(0))).otherwise(OUTSIDE))
         .select("source", "n", "quota", "lane")
     )
 
@@ -119,14 +120,23 @@ def _round(lanes: DataFrame, slots: int) -> DataFrame:
     return slot.select("lane", j.cast("bigint").alias("j"), "slot")
 
 
-def _numbered(rows: DataFrame, ranges: DataFrame) -> DataFrame:
-    """rows with `position`, their number within the lane in the order of key."""
-    behind = Window.partitionBy("lane").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+def _numbered(rows: DataFrame, group: str, out: str) -> DataFrame:
+    """rows with a column `out`, their number within the group in the order of key."""
+    ranges = rows.groupBy(group, "range").agg(F.count("*").alias("n"))
+    behind = Window.partitionBy(group).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     first = ranges.withColumn("first", F.coalesce(F.sum("n").over(behind), F.lit(0))).drop("n")
-    inside = Window.partitionBy("lane", "range").orderBy("key", F.xxhash64("row"))
-    return rows.join(first, ["lane", "range"]).withColumn(
-        "position", F.col("first") + F.row_number().over(inside) - 1
-    )
+    inside = Window.partitionBy(group, "range").orderBy("key", F.xxhash64("row"))
+    numbered = rows.join(first, [group, "range"]).withColumn(out, F.col("first") + F.row_number().over(inside) - 1)
+    return numbered.drop("first")
+
+
+def _within_own_quota(rows: DataFrame) -> DataFrame:
+    """rows; those of lane 0 beyond the quota of their own source are in no lane."""
+    # A null source is told from '' by the sign in front.
+    name = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit(""))
+    small = _numbered(rows.where("lane = 0").withColumn("name", name), "name", "own")
+    lane = F.when(F.col("own") < F.col("own_quota"), F.col("lane")).otherwise(OUTSIDE)
+    return rows.where("lane <> 0").unionByName(small.withColumn("lane", lane).drop("name", "own"))
 
 
 def mix(
@@ -140,7 +150,8 @@ def mix(
     out: str = "mix",
 ) -> DataFrame:
     """docs with a struct column `out`: position (within the lane, from 0), in_mix, block,
-    release, deadline, slot (null outside the mix).
+    release, deadline, slot (null outside the mix). Sources whose quota is below 1 / round_slots of
+    the mix share a lane, each with its own quota of rows; rows in no lane are numbered together.
 
     weights (source, weight) are the target; without them sources keep their natural share up to
     max_share. A null source is a source of its own; so is ''. Texts are not read, and null ids
@@ -156,18 +167,21 @@ def mix(
     )
     counts = checkpointed(rows.groupBy("source").agg(F.count("*").alias("n")))
     quotas = natural_quotas(counts, max_share) if weights is None else given_quotas(counts, weights)
-    size, most = quotas.agg(F.coalesce(F.sum("quota"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    size = quotas.agg(F.coalesce(F.sum("quota"), F.lit(0))).first()[0]
     quotas = checkpointed(_with_lanes(quotas, size, round_slots))
+    # Rows that lane 0 does not take are numbered with those of no lane.
+    most = quotas.groupBy(F.greatest("lane", F.lit(0))).agg(F.sum("n").alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
     lanes = checkpointed(_lanes(quotas, size, round_slots) if size else quotas.selectExpr("lane", "quota", "n as c").limit(0))
     rounds = max(1, math.ceil(size / (block_docs * round_slots)))
 
     digits = max(0, math.ceil(math.log(max(1, most / RANGE_ROWS), 16)))
-    named = quotas.select(F.col("source").alias("named"), "lane")
+    named = quotas.select(F.col("source").alias("named"), "lane", F.col("quota").alias("own_quota"))
     rows = rows.join(named, F.col("source").eqNullSafe(F.col("named"))).withColumn(
         "range", F.substring("key", 1, digits)
     )
-    ranges = rows.groupBy("lane", "range").agg(F.count("*").alias("n"))
-    placed = _numbered(rows, ranges).join(lanes, "lane", "left")
+    if not quotas.where("lane = 0 and quota < n").isEmpty():
+        rows = _within_own_quota(rows)
+    placed = _numbered(rows, "lane", "position").join(lanes, "lane", "left")
     placed = placed.withColumn("in_mix", F.coalesce(F.col("position") < F.col("quota"), F.lit(False)))
     block = F.expr(f"position * {rounds} * c div quota")
     placed = placed.withColumn("block", F.when(F.col("in_mix"), block)).withColumn("j", F.expr("block % c"))

@@ -1,12 +1,15 @@
 """Results are whole: no row, place or token is lost beside another one."""
 
 import itertools
+from collections import Counter
 
 import pytest
 
 from bazaarlake.llm import decontaminate
 from bazaarlake.llm.decontaminate import contamination, longest_matches
+from bazaarlake.llm.mixing import mix
 from tests.llm.test_decontamination import brute, words
+from tests.llm.test_mixing_sharding import docs_of
 
 
 def ordered(got):
@@ -52,3 +55,17 @@ def test_matches_do_not_depend_on_other_documents(spark, rows, monkeypatch):
     monkeypatch.setattr(decontaminate, "SHARD_WORDS", 20)
     monkeypatch.setattr(decontaminate, "PLACES", 5, raising=False)
     assert rows(longest_matches(df.repartition(4), bench)) == maximal(docs, items, 10)
+
+
+def test_small_sources_keep_their_own_quota(spark):
+    sizes = {"big": 200, "tiny": 20, "less": 100, "unlisted": 900, "zero": 300, None: 5}
+    weights = spark.createDataFrame(
+        [("big", 1.0), ("tiny", 0.05), ("less", 0.02), ("zero", 0.0)], "source string, weight double"
+    )
+    got = mix(docs_of(spark, sizes), weights, round_slots=16, block_docs=4).select("source", "mix.*").collect()
+    assert len(got) == sum(sizes.values())
+    mixed = [r for r in got if r["in_mix"]]
+    assert Counter(r["source"] for r in mixed) == {"big": 200, "tiny": 10, "less": 4}
+    assert all(r["release"] <= r["slot"] < r["deadline"] for r in mixed)
+    assert sorted(r["position"] for r in mixed if r["source"] != "big") == list(range(14))
+    assert sorted(r["position"] for r in got if not r["in_mix"]) == list(range(len(got) - len(mixed)))
