@@ -36,10 +36,10 @@ PATTERNS = {
     # 9 to 15 digits, to the last digit of the run.
     "phone": r"\+[0-9](?:[ ().-]*+[0-9]){8,14}+(?![ ().-]*+[0-9])",
 }
-# A coded token: 8 to 64 signs, not in the middle of a run, with a digit.
+# A coded token: a run of 8 signs at least, as a whole, with a digit.
 _CODE = "[A-Za-z0-9_/+-]"
 _DIGITLESS = "[A-Za-z_/+-]"
-TOKEN = rf"(?<!{_CODE})(?={_DIGITLESS}*+[0-9]){_CODE}{{8,64}}+(?!{_CODE})"
+TOKEN = rf"(?<!{_CODE})(?={_DIGITLESS}*+[0-9]){_CODE}{{8,}}+"
 
 # Words that announce a secret or an account, looked up in front of a token.
 GAZETTEER = (
@@ -147,10 +147,10 @@ def _votes(span: Column) -> Column:
     value, before = span["value"], span["before"]
     digits = F.length(F.regexp_replace(value, "[^0-9]", ""))
     size = F.length(value)
-    plain = value.rlike("^[0-9]+(?:[/-][0-9]+)*$")
+    plain = value.rlike("^[0-9]++(?:[/-][0-9]++)*+$")
     word = F.lower(F.regexp_extract(before, r"([A-Za-z]+)[^A-Za-z]{0,4}$", 1))
     known = value.rlike(
-        r"^(?:A[KS]IA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9-]{16,}|[0-9a-f]{32,64}"
+        r"^(?:A[KS]IA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9-]{16,}|[0-9a-f]{32,}"
         r"|[0-9]{3}-[0-9]{2}-[0-9]{4}|[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30})$"
     )
     upper, lower = value.rlike("[A-Z]"), value.rlike("[a-z]")

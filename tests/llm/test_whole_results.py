@@ -1,11 +1,12 @@
 """Results are whole: no row, place or token is lost beside another one."""
 
 import itertools
+import random
 from collections import Counter
 
 import pytest
 
-from bazaarlake.llm import decontaminate
+from bazaarlake.llm import decontaminate, pii
 from bazaarlake.llm.decontaminate import contamination, longest_matches
 from bazaarlake.llm.mixing import mix
 from tests.llm.test_decontamination import brute, words
@@ -69,3 +70,15 @@ def test_small_sources_keep_their_own_quota(spark):
     assert all(r["release"] <= r["slot"] < r["deadline"] for r in mixed)
     assert sorted(r["position"] for r in mixed if r["source"] != "big") == list(range(14))
     assert sorted(r["position"] for r in got if not r["in_mix"]) == list(range(len(got) - len(mixed)))
+
+
+def test_long_tokens_are_candidates(spark):
+    rng = random.Random(3)
+    hex_ = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    secret = [f'token = "{hex_(n)}"' for n in [128] * 20 + [65] * 20]
+    plain = [f"in chapter {rng.randrange(10**7, 10**8)} of" for _ in range(40)]
+    long = "1-" * 50_000 + "1"
+    df = spark.createDataFrame(list(enumerate([*secret, *plain, long])), "doc_id long, text string")
+    got = {r[0]: r[1] for r in pii.personal_data(df).select("doc_id", "pii.secret").collect()}
+    assert all([(s["start"], s["end"]) for s in got[i]] == [(9, len(t) - 1)] for i, t in enumerate(secret))
+    assert not any(got[i] for i in range(40, 80))
