@@ -24,18 +24,20 @@ from bazaarlake.llm.shared import checkpointed
 
 ROUND_SLOTS = 1024
 BLOCK_DOCS = 64
-MAX_SHARE = 1 / 3
 RANGE_ROWS = 10_000
 OUTSIDE = -1
 
 
-def natural_quotas(counts: DataFrame, max_share: float = MAX_SHARE) -> DataFrame:
-    """(source, n, quota) from (source, n): every source whole, but none above max_share of the mix.
+def natural_quotas(counts: DataFrame, max_share: float | None = None) -> DataFrame:
+    """(source, n, quota) from (source, n): every source whole or, where the caller gives max_share,
+    none above it in the mix.
 
-    A share can only be held with more sources than fit into it; with fewer, all
+    Such a share can only be held with more sources than fit into it; with fewer, all
     documents are in the mix. Sources above it get an equal quota, so that each is max_share of
     the result. As c cut sources need c * max_share < 1, the few largest settle the quota.
     """
+    if max_share is None:
+        return counts.select("source", "n", F.col("n").alias("quota"))
     total, sources = counts.agg(F.sum("n"), F.count("*")).first()
     cap = None
     if sources * max_share > 1:
@@ -144,7 +146,7 @@ def mix(
     weights: DataFrame | None = None,
     id_col: str = "doc_id",
     source_col: str = "source",
-    max_share: float = MAX_SHARE,
+    max_share: float | None = None,
     block_docs: int = BLOCK_DOCS,
     round_slots: int = ROUND_SLOTS,
     out: str = "mix",
@@ -153,8 +155,8 @@ def mix(
     release, deadline, slot (null outside the mix). Sources whose quota is below 1 / round_slots of
     the mix share a lane, each with its own quota of rows; rows in no lane are numbered together.
 
-    weights (source, weight) are the target; without them sources keep their natural share up to
-    max_share. A null source is a source of its own; so is ''. Texts are not read, and null ids
+    weights (source, weight) are the target; without them sources keep their natural share, all
+    rows are in the mix, and only a given max_share cuts the sources above it. A null source is a source of its own; so is ''. Texts are not read, and null ids
     are ordered as the empty text. Rows that repeat an id, or repeat altogether, each
     have a position. All rows and columns stay; a column named like `out` is replaced. Without
     rows, or where no source has a weight, nothing is in the mix.

@@ -4,6 +4,7 @@ import itertools
 import random
 from collections import Counter
 
+import corpus_pipeline
 import pytest
 
 from bazaarlake.llm import decontaminate, pii
@@ -58,6 +59,15 @@ def test_matches_do_not_depend_on_other_documents(spark, rows, monkeypatch):
     assert rows(longest_matches(df.repartition(4), bench)) == maximal(docs, items, 10)
 
 
+def test_natural_shares_cut_nothing(spark):
+    sizes = {"hot": 70, "a": 10, "b": 10, "c": 9, None: 1}
+    df = docs_of(spark, sizes)
+    got = mix(df, round_slots=16, block_docs=4).select("source", "mix.*").collect()
+    assert len(got) == 100 and all(r["in_mix"] and r["release"] <= r["slot"] < r["deadline"] for r in got)
+    kept = corpus_pipeline.mix_sources(spark, df.selectExpr("*", "'t' AS text"), "")
+    assert {r["source"]: r["count"] for r in kept.groupBy("source").count().collect()} == sizes
+
+
 def test_small_sources_keep_their_own_quota(spark):
     sizes = {"big": 200, "tiny": 20, "less": 100, "unlisted": 900, "zero": 300, None: 5}
     weights = spark.createDataFrame(
