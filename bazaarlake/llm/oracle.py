@@ -7,7 +7,45 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 _SPACE_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
 _ALNUM_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+
+
+def _codes_sql(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    """Every part against every entry, round by round; a mean is the sum without its remainder, divided."""
+    usable = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+    steps = [
+        f"""WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS HUGEINT)) AS v
+            FROM embeddings WHERE {usable}),
+        x AS (SELECT vec_id, label, i AS part, v[i * (len(v) // {parts}) + 1:(i + 1) * (len(v) // {parts})] AS x
+              FROM v, range({parts}) AS t(i)),
+        o AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM v QUALIFY entry < {entries}),
+        b0 AS (SELECT part, entry, x AS e FROM x JOIN o USING (vec_id))"""
+    ]
+    for r in range(rounds + 1):
+        steps.append(
+            f"""d{r} AS (SELECT vec_id, label, x.part, entry, x,
+                   list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - e[i]) * (x[i] - e[i]))) AS d
+                 FROM x JOIN b{r} ON x.part = b{r}.part),
+            a{r} AS (SELECT * FROM d{r} QUALIFY row_number() OVER (PARTITION BY vec_id, part ORDER BY d, entry) = 1)"""
+        )
+        if r < rounds:
+            steps.append(
+                f"""s{r} AS (SELECT part, entry, pos, sum(y) AS s, count(*) AS n
+                     FROM (SELECT part, entry, unnest(range(1, len(x) + 1)) AS pos, unnest(x) AS y FROM a{r}) GROUP BY ALL),
+                u{r} AS (SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY pos) AS e FROM s{r} GROUP BY ALL),
+                b{r + 1} AS (SELECT part, entry, coalesce(u{r}.e, b{r}.e) AS e FROM b{r} LEFT JOIN u{r} USING (part, entry))"""
+            )
+    steps.append(
+        f"""c AS (SELECT vec_id, any_value(label) AS label, CAST(sum(d) AS BIGINT) AS error,
+                   string_agg(lower(printf('%02x', CAST(entry AS INT))), '' ORDER BY part) AS code FROM a{rounds} GROUP BY vec_id),
+        h AS (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b{rounds})
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+        FROM c, h"""
+    )
+    return ",\n".join(steps[:-1]) + ",\n" + steps[-1]
+
+
 ORACLE: dict[str, str] = {
+    "op11_codes": _codes_sql(),
     # Every shared shingle links two documents; classes by following all links.
     "op1_minhash": f"""
         WITH RECURSIVE w AS (SELECT doc_id, {_SPACE_WORDS} AS w FROM documents),

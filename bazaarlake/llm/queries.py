@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlake.llm import hmm, pii, quality
+from bazaarlake.llm.codes import compress
 from bazaarlake.llm.decontaminate import contamination
 from bazaarlake.llm.licenses import license_scan
 from bazaarlake.llm.minhash import near_duplicates
@@ -87,6 +88,15 @@ def op10_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score(docs, fold(F.col("doc_id"), 5) == 1)
 
 
+def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = compress(table(spark, sf_dir, "embeddings"), keep=["label"])
+    coded = coded.select(F.col("id").alias("vec_id"), F.col("kept.label").alias("label"), "code", "error")
+    errors = coded.groupBy(F.col("label").alias("of")).agg(F.sum("error").alias("label_error"))
+    joined = coded.join(errors, F.col("label").eqNullSafe(F.col("of")))
+    digest = F.lit(books.sha256() if books else None).alias("codebooks_sha256")
+    return joined.select("vec_id", "code", "error", "label_error", digest)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_decontaminate": op2_decontaminate,
@@ -98,4 +108,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_pii": op9_pii,
     "op10_hmm": op10_hmm,
+    "op11_codes": op11_codes,
 }
