@@ -46,6 +46,24 @@ def _codes_sql(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
 
 ORACLE: dict[str, str] = {
     "op11_codes": _codes_sql(),
+    "op13_phrases": rf"""
+        WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+        w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM p),
+        g AS (SELECT lang, w[i:i + k - 1] AS g, count(*) AS a
+              FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, range(1, 4) AS t(k)) GROUP BY ALL),
+        n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM g WHERE len(g) = 1 GROUP BY lang),
+        c AS (SELECT * FROM g WHERE len(g) > 1 AND a >= 10),
+        cut AS (SELECT c.lang, c.g, c.a, k, x.a AS l, y.a AS r,
+                       CAST(1000000 * c.a::HUGEINT * c.a // (x.a::HUGEINT * y.a) AS BIGINT) AS score
+                FROM (SELECT *, unnest(range(1, len(g))) AS k FROM c) c
+                JOIN g x ON x.lang = c.lang AND x.g = c.g[1:k] JOIN g y ON y.lang = c.lang AND y.g = c.g[k + 1:]),
+        low AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+        longer AS (SELECT lang, g, max(a) AS a FROM (SELECT lang, unnest([g[1:2], g[2:3]]) AS g, a FROM c WHERE len(g) = 3) GROUP BY ALL),
+        kept AS (SELECT low.* FROM low LEFT JOIN longer s ON s.lang = low.lang AND s.g = low.g
+                 WHERE s.a IS NULL OR 100 * s.a < 50 * low.a)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS "rank", phrase, a, l, r, n, score
+        FROM (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score FROM kept) JOIN n USING (lang)
+        QUALIFY "rank" <= 2000""",
     # Every shared shingle links two documents; classes by following all links.
     "op1_minhash": f"""
         WITH RECURSIVE w AS (SELECT doc_id, {_SPACE_WORDS} AS w FROM documents),

@@ -14,6 +14,7 @@ from bazaarlake.llm.licenses import license_scan
 from bazaarlake.llm.minhash import near_duplicates
 from bazaarlake.llm.mixing import mix
 from bazaarlake.llm.oracle import ORACLE
+from bazaarlake.llm.phrases import collocations
 from bazaarlake.llm.shared import fold, table
 from bazaarlake.llm.sharding import shards
 from bazaarlake.llm.topk import top_k
@@ -97,6 +98,10 @@ def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("vec_id", "code", "error", "label_error", digest)
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_decontaminate": op2_decontaminate,
@@ -109,4 +114,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pii": op9_pii,
     "op10_hmm": op10_hmm,
     "op11_codes": op11_codes,
+    "op13_phrases": op13_phrases,
 }
