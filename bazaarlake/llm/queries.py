@@ -14,6 +14,7 @@ from bazaarlake.llm.licenses import license_scan
 from bazaarlake.llm.minhash import near_duplicates
 from bazaarlake.llm.mixing import mix
 from bazaarlake.llm.oracle import ORACLE
+from bazaarlake.llm.packing import pack
 from bazaarlake.llm.phrases import collocations
 from bazaarlake.llm.shared import fold, table
 from bazaarlake.llm.sharding import shards
@@ -98,6 +99,21 @@ def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("vec_id", "code", "error", "label_error", digest)
 
 
+def op12_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    packed = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packed.select(
+        F.col("id").alias("doc_id"),
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        F.col("tokens").alias("doc_tokens"),
+        "sequence_id",
+        "offset",
+    )
+
+
 def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
@@ -114,5 +130,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pii": op9_pii,
     "op10_hmm": op10_hmm,
     "op11_codes": op11_codes,
+    "op12_pack": op12_pack,
     "op13_phrases": op13_phrases,
 }

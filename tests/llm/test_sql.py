@@ -27,5 +27,5 @@ def test_query_equals_sql(spark, name):
 
 def test_other_queries_return_a_row_per_document(spark):
     documents = spark.read.parquet(f"{DIR}/documents.parquet").count()
-    for name in set(QUERIES) - set(ORACLE):
+    for name in set(QUERIES) - set(ORACLE) - {"op12_pack"}:  # a row per piece
         assert QUERIES[name](spark, DIR).count() == documents, name
