@@ -16,9 +16,9 @@ Tokens are made once, stored in the shared folder with a row number, and joined
 
 from __future__ import annotations
 
-import os
 import uuid
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -36,44 +36,72 @@ MIN_FILL = 31 / 32
 # any end is a valid packing.
 GAP = 0.001
 COLUMNS = 4000
-RANKED_AT_ONCE = 100_000
-CACHED_BYTES = 64 << 20
+RANKED_AT_ONCE = 10_000
+CACHED_BYTES = 128 << 20
 
 
 # Tokens -----------------------------------------------------------------------
 
 
-# Kinds of bytes: ASCII letters, other visible ASCII, the rest.
+# Kinds of bytes: 1 ASCII letters, 2 other visible ASCII, 3 digits, 0 the rest.
 _KIND = np.array(
-    [1 if chr(b).isalpha() and b < 0x80 else 2 if 0x21 <= b < 0x7F else 0 for b in range(256)], np.uint8
+    [
+        0 if not 0x21 <= b < 0x7F else 1 if chr(b).isalpha() else 3 if chr(b).isdigit() else 2
+        for b in range(256)
+    ],
+    np.uint8,
 )
+# Latin letters of two bytes, 0xC3 and one of 0x80 to 0xBF, but for the signs of multiplication and division.
+_LATIN = np.array([0x80 <= b < 0xC0 and b not in (0x97, 0xB7) for b in range(256)])
+# A byte-level model knows bytes that print as themselves, and others as the letters from U+0100 on.
+_HIDDEN = [b for b in range(256) if not (0x21 <= b < 0x7F or 0xA1 <= b and b != 0xAD)]
+_PRINTED = {b: 0x100 + i for i, b in enumerate(_HIDDEN)}
 
 
 def runs_of(text: bytes) -> list[bytes]:
-    """The text cut where no token reaches across: at white space, and between an ASCII letter and
-    ASCII that is no letter, as tokens end with a run of letters."""
+    """The text cut where no token reaches across: at white space, between a letter and visible ASCII
+    that is no letter, as a token ends with its run of letters, and between a digit, which is a token,
+    and any visible ASCII. Letters are those of ASCII and the Latin ones of two bytes."""
     bytes_ = np.frombuffer(text, np.uint8)
     kind = _KIND[bytes_]
-    ends = np.flatnonzero((kind[:-1] == 1) & (kind[1:] == 2)) + 1
-    return np.insert(bytes_, ends, 0x20).tobytes().split()
+    kind[1:][(bytes_[:-1] == 0xC3) & _LATIN[bytes_[1:]]] = 1
+    ascii_next = (kind[1:] > 0) & (bytes_[1:] < 0x80)
+    cut = ascii_next & ((kind[:-1] == 3) | (kind[:-1] == 1) & (kind[1:] > 1))
+    return np.insert(bytes_, np.flatnonzero(cut) + 1, 0x20).tobytes().split()
+
+
+class _Known(dict):
+    """Run to its ids, found when a run is first asked for."""
+
+    def __init__(self, tokenizer: Tokenizer):
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        self.held = 0
+
+    def __missing__(self, run: bytes) -> bytes:
+        text = run.decode()
+        # One token before the model: the tokenizer's own steps would change nothing.
+        if run.isalpha() and run.islower():
+            found = [t.id for t in self.model.tokenize(text)]
+        elif text.isalpha() and max(text) < "\u0250" and text == text.lower() and is_normalized("NFC", text):
+            found = [t.id for t in self.model.tokenize(run.decode("latin-1").translate(_PRINTED))]
+        else:
+            found = self.tokenizer.encode(text, add_special_tokens=False).ids
+        self[run] = ids = b"".join([i.to_bytes(4, "little") for i in found])
+        self.held += len(run) + len(ids) + 200
+        return ids
 
 
 class Tokens:
-    """Token ids of whole texts. The ids of a text are those of its runs, and runs that come
+    """Token ids of whole texts by a tokenizer whose tokens are runs of letters, single digits or runs
+    of other signs, in lower case. The ids of a text are those of its runs, and runs that come
     again are looked up; a text that names a special token is encoded as it is."""
 
     def __init__(self, path: str, end_id: int = END_ID):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for each core
         self.tokenizer = Tokenizer.from_file(path)
-        self.end = np.array([end_id], "<u4").tobytes()
+        self.end = end_id.to_bytes(4, "little")
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.special = [t.content.encode().lower() for t in added]
-        self.known: dict[bytes, bytes] = {}
-        self.held = 0
-
-    def _encoded(self, texts: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch([t.decode() for t in texts], add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        self.known = _Known(self.tokenizer)
 
     def ids(self, text: bytes | None) -> bytes:
         """The ids as little-endian 32-bit integers, the end id last."""
@@ -81,23 +109,23 @@ class Tokens:
             return self.end
         lower = text.lower()  # as the tokenizer does
         if any(s in lower for s in self.special):
-            return self._encoded([text])[0] + self.end
-        runs = runs_of(lower)
-        missing = list({r for r in runs if r not in self.known})
-        if missing and self.held > CACHED_BYTES:
-            self.known.clear()
-            self.held, missing = 0, list(set(runs))
-        for run, ids in zip(missing, self._encoded(missing)):
-            self.known[run] = ids
-            self.held += len(run) + len(ids) + 150
-        return b"".join(map(self.known.__getitem__, runs)) + self.end
+            ids = self.tokenizer.encode(text.decode(), add_special_tokens=False).ids
+            return np.array(ids, "<u4").tobytes() + self.end
+        if self.known.held > CACHED_BYTES:
+            self.known = _Known(self.tokenizer)
+        return b"".join(map(self.known.__getitem__, runs_of(lower))) + self.end
+
+
+# One per worker and tokenizer, as workers run many tasks.
+_TOKENS: dict[str, Tokens] = {}
 
 
 def tokenized(docs: DataFrame, tokenizer: str, id_col: str, text_col: str) -> DataFrame:
     """row, id, tokens (their number), ids: written to the shared folder and read again."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Tokens(tokenizer)
+        tokens = _TOKENS.setdefault(tokenizer, None) or Tokens(tokenizer)
+        _TOKENS[tokenizer] = tokens
         for batch in batches:
             ids = [tokens.ids(text) for text in as_bytes(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(

@@ -24,7 +24,8 @@ def plain(text):
 
 PARTS = st.sampled_from(
     ["word", "Word's", "don't", "'s", "x'll,", "é", "é", "́", "İ", "—", "…", "2024", "a1b2", "<|endoftext|>", "<|ENDOFTEXT|>",
-     "endoftext", "|>", "\x0b", "\x0c", "\x1c", "\x85", " ", " ", "　", " ", "\t", "\r\n", "\0", "中文", "🙂", "ß", "ẞ", "K", "_", "--", ".", "ﬁ"]
+     "endoftext", "|>", "\x0b", "\x0c", "\x1c", "\x85", " ", " ", "　", " ", "\t", "\r\n", "\0", "中文", "🙂", "ß", "ẞ", "K", "_", "--", ".", "ﬁ",
+     "naïve", "ó,", "×", "÷3", "Ünï1", "ÿ", "Σίσυφος", "ΟΔΟΣ", "ǅ", "ª", "a̓", "4b", "9é", "é́", "ı", "ﬀ", "ʰ", "Ž", "ž."]
 )
 
 
