@@ -14,6 +14,7 @@ by the hash of the id. Ids, labels, languages and sources are no features.
 from __future__ import annotations
 
 import math
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -42,16 +43,12 @@ SHAPE = bytes(
     0x61 if 0x61 <= b <= 0x7A or b >= 0x80 else 0x41 if 0x41 <= b <= 0x5A else 0x39 if 0x30 <= b <= 0x39 else b
     for b in range(256)
 )
+RUNS = re.compile(rb"([aA9])\1+")
 
 
 def _shape(word: bytes) -> bytes:
     """The shape of a word, runs of one class shortened: 'Word12!!' is 'Aa9!!'."""
-    last, out = 0, bytearray()
-    for b in word[:40].translate(SHAPE):
-        if b != last or b not in b"aA9":
-            out.append(b)
-        last = b
-    return bytes(out)
+    return RUNS.sub(rb"\1", word.translate(SHAPE))
 
 
 def _repeated(words: list[bytes]) -> int:
