@@ -2,8 +2,8 @@
 
 write_archive keeps two tables in one folder: `payloads`, the bytes of every distinct payload once,
 under its SHA-256, and `headers`, the exact header bytes of every record with the digest
-of its payload. read_archive joins them again, verifies each stored payload against its digest,
-rebuilds the records and parses what it gives back from their bytes.
+of its payload, and the ids and the URL as they were given. read_archive joins them again, verifies each
+stored payload against its digest, rebuilds the records and parses type and digest from their bytes.
 
 All payload bytes are shuffled once, by record and not by digest, so a payload that a third of
 all pages share is no hot key: which record stores it is settled on (digest, id) alone.
@@ -32,8 +32,9 @@ def base32_sha1(payload: Column) -> Column:
 
 
 def _line(name: str, value: Column) -> Column:
-    """A header line, left out where the value is null. Line breaks within a value become spaces."""
-    clean = F.regexp_replace(value.cast("string"), "[\r\n]+", " ")
+    """A header line, left out where the value is null. Carriage returns and line feeds within a
+    value, which would end the line, are percent-encoded."""
+    clean = F.replace(F.replace(value.cast("string"), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
     return F.coalesce(F.concat(F.lit(f"{name}: "), clean, F.lit(CRLF)), F.lit(""))
 
 
@@ -59,7 +60,8 @@ def write_archive(
     payloads of at_least bytes or more the one with the smallest id is a response and the others
     revisit it; smaller payloads are all responses. Rows that repeat both id and payload have the
     same type. A null id is larger than any other; where a payload has no other id, its
-    records are responses. A null url leaves its header line out. Other columns are not read;
+    records are responses. A null url leaves its header line out; ids and urls come back as they were,
+    whatever they hold. Other columns are not read;
     without rows both tables are empty.
     """
     rows = pages.select(
@@ -91,7 +93,7 @@ def write_archive(
         F.lit(CRLF),
     ]
     narrow.join(holders, "digest").select(
-        "id", "digest", F.concat(*lines).cast("binary").alias("header")
+        "id", "url", refers.alias("refers_to"), "digest", F.concat(*lines).cast("binary").alias("header")
     ).write.mode("overwrite").parquet(f"{folder}/headers")
     # The record that stores a payload: joined by digest and id, which no group of copies shares. Rows
     # that repeat both are combined where the join has put them.
@@ -108,9 +110,9 @@ def write_archive(
 
 
 def _field(name: str) -> Column:
-    """The value of a header line, null where there is none."""
-    value = F.regexp_extract(F.col("head"), f"(?m)^{name}: ([^\r\n]*)", 1)
-    return F.when(F.col("head").rlike(f"(?m)^{name}: "), value)
+    """The value of a header line, null where there is none. (?d): only a line feed ends a line."""
+    value = F.regexp_extract(F.col("head"), f"(?md)^{name}: ([^\r\n]*)", 1)
+    return F.when(F.col("head").rlike(f"(?md)^{name}: "), value)
 
 
 def read_archive(spark: SparkSession, folder: str) -> DataFrame:
@@ -132,13 +134,13 @@ def read_archive(spark: SparkSession, folder: str) -> DataFrame:
     parsed = joined.withColumn("head", F.col("header").cast("string"))
     body = F.when(_field("WARC-Type") == "response", F.col("payload")).otherwise(F.lit(b""))
     return parsed.select(
-        _field("WARC-Page-ID").alias("id"),
+        F.col("id").cast("string").alias("id"),
         F.concat("header", body, F.lit(f"{CRLF}{CRLF}".encode())).alias("record"),
         "payload",
         _field("WARC-Type").alias("record_type"),
-        _field("WARC-Target-URI").alias("url"),
+        "url",
         F.substring_index(_field("WARC-Payload-Digest"), "sha1:", -1).alias("payload_digest"),
-        _field("WARC-Refers-To-Page-ID").alias("refers_to"),
+        F.col("refers_to").cast("string").alias("refers_to"),
     )
 
 

@@ -46,6 +46,21 @@ def test_records_come_back_byte_for_byte(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "w" / "payloads")).count() == 2
 
 
+def test_values_cannot_forge_header_lines(spark, tmp_path, rows):
+    ends = ("\u2028", "\u2029", "\u0085", "\r\n", "\n", "\r", "\x0b", "\x0c")
+    data = [(i, f"http://b{end}WARC-Page-ID: 99x{end}WARC-Type: revisit", "same" if i % 2 else f"p{i}") for i, end in enumerate(ends)]
+    frame = pages_frame(spark, data)
+    got = rows(page_records(frame), "page_id", "record_type", "refers_to")
+    assert got == [(i, "revisit" if i in (3, 5, 7) else "response", 1 if i in (3, 5, 7) else None) for i in range(len(ends))]
+    write_archive(frame, str(tmp_path / "w"))
+    records = {r["id"]: r for r in read_archive(spark, str(tmp_path / "w")).collect()}
+    for i, url, _ in data:
+        r = records[str(i)]
+        assert r["url"] == url and len(bytes(r["record"]).split(b"\r\n\r\n")[0].split(b"\r\n")) in (9, 11)
+    texts = spark.createDataFrame([("a\nb", "u", "x"), ("a\u2028b", "u", "x"), ("a b", "u", "x")], "page_id string, url string, html string")
+    assert rows(page_records(texts), "page_id", "refers_to") == [("a\nb", None), ("a b", "a\nb"), ("a\u2028b", "a\nb")]
+
+
 def test_changed_payload_fails(spark, tmp_path):
     write_archive(pages_frame(spark, [(1, "u", "abc")]), str(tmp_path / "w"))
     spark.read.parquet(str(tmp_path / "w" / "payloads")).selectExpr("digest", "encode('abd', 'utf-8') AS payload").write.parquet(
