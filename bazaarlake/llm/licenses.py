@@ -67,9 +67,9 @@ class NoticeSearch:
         for piece, where in by_piece.items():
             self.seeds.add_word(piece, (len(piece), where))
         self.seeds.make_automaton()
-        # Whole words only; of the matches at a place the one with the fewest edits.
+        # Whole words only; a match is improved at its place, not exchanged for a better one behind it.
         self.patterns = [
-            regex.compile(f"(?b)(?<![^ ])(?:{regex.escape(phrase)}){{e<={edits}}}(?![^ ])")
+            regex.compile(f"(?e)(?<![^ ])(?:{regex.escape(phrase)}){{e<={edits}}}(?![^ ])")
             for phrase, _, edits in notices
         ]
 

@@ -254,3 +254,17 @@ def test_language_model_edges(spark):
     assert all(abs(r["base_score"]) < 1e-9 and r["train_tokens"] == 0 and r["n_known"] == 0 for r in none)
 
 
+
+
+def test_shapes_of_whole_words():
+    from bazaarlake.llm.quality import _shape
+
+    assert _shape(b"Word12!!") == b"Aa9!!"
+    assert _shape(b"x" * 40 + b"1234-5678") == b"a9-9" != _shape(b"x" * 40 + b"ABCDEF!!!")
+
+
+def test_edited_notice_in_front_of_an_exact_one():
+    from bazaarlake.llm.licenses import NoticeSearch
+
+    found = NoticeSearch((("apache license", "apache", 2),)).find("apche licnse apache license")
+    assert [(f[1], f[3]) for f in found] == [(0, 2), (13, 0)]
