@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlake.llm.shared import LONG, TEXT, alnum_words, as_bytes, small_batches, struct
+from bazaarlake.llm.shared import LONG, TEXT, alnum_words, as_bytes, free_name, small_batches, struct
 
 WINDOW = 10
 SHARD_WORDS = 1 << 19
@@ -344,7 +344,8 @@ def longest_matches(
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs without any hit, with their columns."""
-    mark = "_contamination"
+    """The rows of docs without any hit, with their columns; nulls, empty texts and repeated rows as in
+    contamination. An empty benchmark keeps all."""
+    mark = free_name(docs, "_contamination")
     marked = contamination(docs, benchmark, out=mark)
     return marked.where(~F.col(mark)["contaminated"]).select(*[F.col(f"`{c}`") for c in docs.columns])

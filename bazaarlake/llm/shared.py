@@ -76,3 +76,11 @@ def alnum_words(text: bytes | None) -> list[bytes]:
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo folds; rows without id are in fold 0 of nothing: null."""
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
+
+
+def free_name(df: DataFrame, wanted: str) -> str:
+    """wanted, with underscores in front until no column of df has that name."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted = f"_{wanted}"
+    return wanted
