@@ -7,6 +7,47 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 _SPACE_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
 _ALNUM_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+def _mix_sql(quotas: str) -> str:
+    """quotas is SQL from c (source, n) to (source, quota). The schedule of a round is found slot by
+    slot: of the lanes whose next block is released, the earliest deadline. Of a shared lane only rows
+    within the quota of their own source are in the mix; what no lane takes is numbered together."""
+    return f"""
+        WITH RECURSIVE c AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+        q AS ({quotas}),
+        m AS (SELECT CAST(sum(quota) AS BIGINT) AS size FROM q),
+        own AS (SELECT source, row_number() OVER (ORDER BY quota DESC, source NULLS FIRST) AS lane
+                FROM q, m WHERE quota * 1024 >= size),
+        named AS (SELECT q.source, quota, CASE WHEN quota > 0 THEN coalesce(lane, 0) ELSE -1 END AS lane
+                  FROM q LEFT JOIN own ON q.source IS NOT DISTINCT FROM own.source),
+        l AS (SELECT lane, CAST(sum(quota) AS BIGINT) AS quota FROM named WHERE quota > 0 GROUP BY lane),
+        l1 AS (SELECT lane, quota, quota * 1024 / size AS exact, greatest(1, CAST(floor(quota * 1024 / size) AS BIGINT)) AS low FROM l, m),
+        l2 AS (SELECT *, 1024 - sum(low) OVER () AS missing, row_number() OVER (ORDER BY exact - low DESC, lane) AS turn FROM l1),
+        lanes AS (SELECT lane, quota, low + CASE WHEN turn <= missing THEN 1 ELSE 0 END AS c FROM l2),
+        one AS (SELECT list(lane ORDER BY lane) AS lane, list(c ORDER BY lane) AS c FROM lanes),
+        edf(t, done, pick) AS (
+          SELECT 0, list_transform(c, lambda x: CAST(0 AS BIGINT)), CAST(NULL AS BIGINT) FROM one
+          UNION ALL
+          SELECT t + 1, list_transform(done, lambda x, i: CASE WHEN i = p THEN x + 1 ELSE x END), p
+          FROM (SELECT t, done, list_min(list_transform(range(1, len(c) + 1), lambda i:
+                  CASE WHEN done[i] < c[i] AND done[i] * 1024 // c[i] <= t
+                       THEN CAST(ceil((done[i] + 1) * 1024 / c[i]) AS BIGINT) * 4096 + i END)) % 4096 AS p
+                FROM edf, one WHERE t < 1024)),
+        s AS (SELECT lane[pick] AS lane, t - 1 AS slot, row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS j
+              FROM edf, one WHERE pick IS NOT NULL),
+        o AS (SELECT doc_id, d.source, lane, quota, md5(CAST(doc_id AS VARCHAR)) AS h,
+                     row_number() OVER (PARTITION BY d.source ORDER BY md5(CAST(doc_id AS VARCHAR))) AS own
+              FROM documents d JOIN named ON d.source IS NOT DISTINCT FROM named.source),
+        k AS (SELECT doc_id, source, h, CASE WHEN lane = 0 AND own > quota THEN -1 ELSE lane END AS lane FROM o),
+        d AS (SELECT doc_id, source, lane, row_number() OVER (PARTITION BY lane ORDER BY h) - 1 AS position FROM k),
+        b AS (SELECT doc_id, source, d.lane, position, position < coalesce(quota, 0) AS in_mix, c,
+                     CASE WHEN position < quota
+                          THEN position * greatest(1, CAST(ceil(size / 65536) AS BIGINT)) * c // quota END AS block
+              FROM d JOIN m ON true LEFT JOIN lanes ON d.lane = lanes.lane)
+        SELECT doc_id, source, position, in_mix, block,
+               block // c * 1024 + block % c * 1024 // c AS "release",
+               block // c * 1024 + CAST(ceil((block % c + 1) * 1024 / c) AS BIGINT) AS deadline,
+               block // c * 1024 + slot AS slot
+        FROM b LEFT JOIN s ON b.lane = s.lane AND block % c = s.j"""
 
 
 def _codes_sql(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
@@ -119,46 +160,8 @@ ORACLE: dict[str, str] = {
         SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS "rank",
                vec_id, score FROM s
         QUALIFY "rank" <= 5""",
-    # Two sources at most can be above a third; with three sources or fewer none is cut. The schedule of a
-    # round is found slot by slot: of the lanes whose next block is released, the earliest deadline.
-    "op5_mix": """
-        WITH RECURSIVE c AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
-        o AS (SELECT n, row_number() OVER (ORDER BY n DESC) AS i, sum(n) OVER () AS total, count(*) OVER () AS k FROM c),
-        t AS (SELECT max(total) AS total, max(k) AS k, coalesce(max(n) FILTER (WHERE i = 1), 0) AS n1,
-                     coalesce(max(n) FILTER (WHERE i = 2), 0) AS n2 FROM o),
-        cap AS (SELECT CASE WHEN k <= 3 OR 3 * n1 <= total THEN total
-                            WHEN 2 * n2 > total - n1 THEN total - n1 - n2
-                            ELSE (total - n1) // 2 END AS cap FROM t),
-        q AS (SELECT source, CAST(least(n, cap) AS BIGINT) AS quota FROM c, cap),
-        m AS (SELECT CAST(sum(quota) AS BIGINT) AS size FROM q),
-        own AS (SELECT source, row_number() OVER (ORDER BY quota DESC, source NULLS FIRST) AS lane
-                FROM q, m WHERE quota * 1024 >= size),
-        named AS (SELECT q.source, quota, coalesce(lane, 0) AS lane FROM q LEFT JOIN own ON q.source IS NOT DISTINCT FROM own.source),
-        l AS (SELECT lane, CAST(sum(quota) AS BIGINT) AS quota FROM named WHERE quota > 0 GROUP BY lane),
-        l1 AS (SELECT lane, quota, quota * 1024 / size AS exact, greatest(1, CAST(floor(quota * 1024 / size) AS BIGINT)) AS low FROM l, m),
-        l2 AS (SELECT *, 1024 - sum(low) OVER () AS missing, row_number() OVER (ORDER BY exact - low DESC, lane) AS turn FROM l1),
-        lanes AS (SELECT lane, quota, low + CASE WHEN turn <= missing THEN 1 ELSE 0 END AS c FROM l2),
-        one AS (SELECT list(lane ORDER BY lane) AS lane, list(c ORDER BY lane) AS c FROM lanes),
-        edf(t, done, pick) AS (
-          SELECT 0, list_transform(c, lambda x: CAST(0 AS BIGINT)), CAST(NULL AS BIGINT) FROM one
-          UNION ALL
-          SELECT t + 1, list_transform(done, lambda x, i: CASE WHEN i = p THEN x + 1 ELSE x END), p
-          FROM (SELECT t, done, list_min(list_transform(range(1, len(c) + 1), lambda i:
-                  CASE WHEN done[i] < c[i] AND done[i] * 1024 // c[i] <= t
-                       THEN CAST(ceil((done[i] + 1) * 1024 / c[i]) AS BIGINT) * 4096 + i END)) % 4096 AS p
-                FROM edf, one WHERE t < 1024)),
-        s AS (SELECT lane[pick] AS lane, t - 1 AS slot, row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS j
-              FROM edf, one WHERE pick IS NOT NULL),
-        d AS (SELECT doc_id, d.source, lane,
-                     row_number() OVER (PARTITION BY lane ORDER BY md5(CAST(doc_id AS VARCHAR))) - 1 AS position
-              FROM documents d JOIN named ON d.source IS NOT DISTINCT FROM named.source),
-        b AS (SELECT doc_id, source, d.lane, position, position < coalesce(quota, 0) AS in_mix, c,
-                     CASE WHEN position < quota
-                          THEN position * greatest(1, CAST(ceil(size / 65536) AS BIGINT)) * c // quota END AS block
-              FROM d JOIN m ON true LEFT JOIN lanes ON d.lane = lanes.lane)
-        SELECT doc_id, source, position, in_mix, block,
-               block // c * 1024 + block % c * 1024 // c AS "release",
-               block // c * 1024 + CAST(ceil((block % c + 1) * 1024 / c) AS BIGINT) AS deadline,
-               block // c * 1024 + slot AS slot
-        FROM b LEFT JOIN s ON b.lane = s.lane AND block % c = s.j""",
+    "op5_mix": _mix_sql("SELECT source, n AS quota FROM c"),
+    # The largest mix in which every source has a share like the root of its rows.
+    "op5_mix_weighted": _mix_sql("""SELECT source, CAST(least(n, round(sqrt(n) * u)) AS BIGINT) AS quota
+            FROM c, (SELECT min(n / sqrt(n)) AS u FROM c)"""),
 }

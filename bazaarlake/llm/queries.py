@@ -49,6 +49,13 @@ def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(docs).select("doc_id", "source", "mix.*")
 
 
+def op5_mix_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shares like the roots of the sources' sizes, which leaves documents of large ones out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    weights = docs.groupBy("source").agg(F.sqrt(F.count("*")).alias("weight"))
+    return mix(docs, weights).select("doc_id", "source", "mix.*")
+
+
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return license_scan(docs).select("doc_id", "license.*").drop("spans")
@@ -124,6 +131,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_warc": op3_warc,
     "op4_topk": op4_topk,
     "op5_mix": op5_mix,
+    "op5_mix_weighted": op5_mix_weighted,
     "op6_licenses": op6_licenses,
     "op7_shards": op7_shards,
     "op8_quality": op8_quality,

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -27,7 +28,8 @@ def schedule(parts, slots):
 
 
 def docs_of(spark, sizes):
-    data = [(n, s) for s, count in sizes.items() for n in range(hash(s) % 7, hash(s) % 7 + count)]
+    start = {s: zlib.crc32((s or "").encode()) % 7 for s in sizes}
+    data = [(n, s) for s, count in sizes.items() for n in range(start[s], start[s] + count)]
     return spark.createDataFrame(data, "doc_id long, source string")
 
 
@@ -40,24 +42,26 @@ def test_schedule_of_a_round(spark, slots):
     assert {(r["lane"], r["j"], r["slot"]) for r in got} == {(i, j, t) for i, s in enumerate(want) for j, t in enumerate(s)}
 
 
-def test_every_source_stays_within_a_block_of_its_share(spark):
+@pytest.mark.parametrize("share", [None, 1 / 3])
+def test_every_source_stays_within_a_block_of_its_share(spark, share):
     sizes = {"hot": 900, "a": 500, "b": 450, "c": 300, "": 40, None: 30, "one": 1}
     df = docs_of(spark, sizes)
     slots, block = 32, 4
-    got = mix(df, round_slots=slots, block_docs=block).select("source", "mix.*").collect()
+    got = mix(df, round_slots=slots, block_docs=block, max_share=share).select("source", "mix.*").collect()
     assert len(got) == sum(sizes.values())
     mixed = [r for r in got if r["in_mix"]]
     rest = sum(n for s, n in sizes.items() if s != "hot")
-    assert sum(r["source"] == "hot" for r in mixed) == rest // 2 and len(mixed) == rest + rest // 2
+    hot = 900 if share is None else rest // 2
+    assert sum(r["source"] == "hot" for r in mixed) == hot and len(mixed) == rest + hot
     assert all(r["release"] <= r["slot"] < r["deadline"] for r in mixed)
     rounds = math.ceil(len(mixed) / (slots * block))
     assert max(r["slot"] for r in mixed) < rounds * slots
     for source in ("hot", "a", "b", "c"):
         own = [r for r in mixed if r["source"] == source]
-        per_block = len(own) / (max(r["block"] for r in own) + 1)
+        per_block = math.ceil(len(own) / (max(r["block"] for r in own) + 1))
         for t in range(0, rounds * slots, 7):
             there = sum(r["slot"] < t for r in own)
-            assert abs(there - len(own) * t / (rounds * slots)) < 2 * per_block
+            assert abs(there - len(own) * t / (rounds * slots)) < per_block + 1
         order = sorted(own, key=lambda r: r["position"])
         assert [r["slot"] for r in order] == sorted(r["slot"] for r in own)
 
