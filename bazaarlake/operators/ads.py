@@ -124,6 +124,14 @@ def ads_user_retention(
     user's first day; with it, to the first cohort's day.
     """
     came_back = user_offsets(activity.where(F.col("date_id") <= biz_date), firsts)
+    # One row per day of the log.
+    active = came_back.groupBy("date_id").agg(F.count("user_id").alias("active"))
+    return retention_rows(_cohorts(came_back, biz_date, cohort_days, offsets), active, offsets)
+
+
+def retention_rows(cohorts: DataFrame, active: DataFrame, offsets: Sequence[int]) -> DataFrame:
+    """Cohorts (create_date, new_user_count, back_<k>) as rows of (cohort day, retention day), with all
+    users active (date_id, active) that day."""
     cells = F.array(
         *[
             F.struct(F.lit(k).alias("retention_day"), F.col(f"back_{k}").alias("retention_count"))
@@ -131,8 +139,7 @@ def ads_user_retention(
         ]
     )
     table = (
-        _cohorts(came_back, biz_date, cohort_days, offsets)
-        .select("create_date", "new_user_count", F.explode(cells).alias("c"))
+        cohorts.select("create_date", "new_user_count", F.explode(cells).alias("c"))
         .where(F.col("c.retention_count").isNotNull())
         .select(
             F.col("create_date").alias("cohort_day"),
@@ -145,8 +152,6 @@ def ads_user_retention(
             ).alias("date_id"),
         )
     )
-    # One row per day of the log.
-    active = came_back.groupBy("date_id").agg(F.count("user_id").alias("active"))
     return table.join(active, "date_id", "left").select(
         *[c for c in table.columns if c != "date_id"],
         F.coalesce("active", F.lit(0)).alias("active_user_count"),
@@ -163,7 +168,12 @@ def ads_user_retention_detail(
     """Cohort day with one count and one rate column per retention day. With `firsts`
     (user_id, create_date) the activity need not reach back beyond the first cohort's day."""
     came_back = user_offsets(activity.where(F.col("date_id") <= biz_date), firsts)
-    return _cohorts(came_back, biz_date, cohort_days, offsets).select(
+    return retention_columns(_cohorts(came_back, biz_date, cohort_days, offsets), offsets)
+
+
+def retention_columns(cohorts: DataFrame, offsets: Sequence[int]) -> DataFrame:
+    """Cohorts (create_date, new_user_count, back_<k>) with a count and a rate column per offset."""
+    return cohorts.select(
         F.col("create_date").alias("cohort_day"),
         F.col("new_user_count").alias("total_new_users"),
         *[F.col(f"back_{k}").alias(f"day_{k}_retention") for k in offsets],

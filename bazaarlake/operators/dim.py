@@ -90,6 +90,36 @@ def dim_user_zip_update(
     return history.where(~is_open).select(*current.columns).unionByName(current)
 
 
+def dim_user_open_update(
+    open_users: DataFrame, feed: DataFrame, biz_date: str, tracked: Sequence[str] | None = USER_TRACKED
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One day of zipper maintenance where open and closed versions are stored apart: the open versions
+    of users known before, those of new users, and the versions that the day closes.
+
+    open_users: yesterday's open versions, one per id; feed: today's users, one row per id. Together
+    the three hold the versions of dim_user_zip_update that are open, or closed by this day; earlier
+    closed ones are neither read nor written. Both joins keep the rows of open_users where they are
+    stored: nothing but the feed is shuffled if that is bucketed by id.
+    """
+    attributes = [c for c in open_users.columns if c not in ("id", "start_date", "end_date")]
+    feed = feed.where(present(feed, "id")).select("id", *attributes)
+    joined = open_users.alias("o").join(feed.alias("f"), F.expr("o.id = f.id"), "left")
+    there = F.col("f.id").isNotNull()
+    changed = there if tracked is None else there & _differs("o", "f", tracked)
+    known = joined.select(
+        F.col("o.id").alias("id"),
+        *[F.when(changed, F.col(f"f.{c}")).otherwise(F.col(f"o.{c}")).alias(c) for c in attributes],
+        F.when(changed, F.lit(biz_date)).otherwise(F.col("o.start_date")).alias("start_date"),
+        F.lit(OPEN_END).alias("end_date"),
+    )
+    # A version that this day itself opened is replaced, not closed.
+    closed = joined.where(changed & (F.col("o.start_date") < biz_date)).select(
+        "o.id", *[F.col(f"o.{c}") for c in attributes], "o.start_date", F.lit(shift(biz_date, -1)).alias("end_date")
+    )
+    new = feed.join(open_users.select("id"), "id", "left_anti")
+    return known, dim_user_init(new, biz_date).select(*known.columns), closed.select(*known.columns)
+
+
 def masked_contacts(users: DataFrame) -> DataFrame:
     """Users with phone and email masked, as far as they have them."""
     masks = {"phone_num": mask_phone, "email": mask_email}

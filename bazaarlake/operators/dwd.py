@@ -160,6 +160,7 @@ def _action(
         target_id.cast("string").alias("action_target_id"),
         F.lit(target_type).alias("action_target_type"),
         date_id(time).alias("date_id"),
+        *[c for c in ("seen", "dt") if c in feed.columns],
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bazaarlake.functions.common import OPEN_END, last_year, latest_per_key, on_days, shift
-from bazaarlake.operators import ads, batch, behavior, dim, dwd, dws, quality
+from bazaarlake.operators import activity, ads, batch, behavior, dim, dwd, dws, quality
 from bazaarlake.sources.files import created_on
 from bazaarlake.sources.sample import (
     EVENT_DAY,
@@ -540,6 +540,36 @@ def ads_user_retention_orders(s: Sample) -> DataFrame:
     return ads.ads_user_retention(_orders(s), ORDER_DAY, cohort_days=None)
 
 
+def _action_masks(s: Sample) -> DataFrame:
+    """The masks of the last day, from all days at once."""
+    return activity.update_masks(None, s.actions(), EVENT_DAY)
+
+
+@query
+def dws_user_action_days(s: Sample) -> DataFrame:
+    return _action_masks(s)
+
+
+@query
+def dws_user_retention_day_masks(s: Sample) -> DataFrame:
+    return activity.user_retention_day(_action_masks(s))
+
+
+@query
+def ads_user_retention_masks(s: Sample) -> DataFrame:
+    return activity.user_retention(_action_masks(s), EVENT_DAY)
+
+
+@query
+def ads_user_retention_detail_masks(s: Sample) -> DataFrame:
+    return activity.user_retention_detail(_action_masks(s), EVENT_DAY)
+
+
+@query
+def ads_user_activity_masks(s: Sample) -> DataFrame:
+    return activity.user_activity(_action_masks(s), EVENT_DAY)
+
+
 @query
 def ads_user_retention_detail(s: Sample) -> DataFrame:
     return ads.ads_user_retention_detail(s.actions(), EVENT_DAY)

@@ -6,6 +6,11 @@ folders, and a lost executor costs one step's tasks at most. Days have to run in
 order, since the user zipper and the order snapshot continue from the day before:
 without that day's folders the run stops, unless it is told that it is the first.
 
+Lines, payments, refunds and actions are taken when they are delivered for the first time,
+which the arrival ledger tells by their key: a row of an earlier day lands in that
+day's folder, and the day's aggregates are done again. A row of a later day waits in the
+ledger for that day's run.
+
 Lines, payments and refunds take buyer, province and payment state from the order
 snapshot, which knows every order seen so far. An order that changes after its day,
 or is delivered late, is rewritten in the folder of its day, and so are its lines and
@@ -14,14 +19,16 @@ the aggregates of the days they lie in.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Collection
+from collections.abc import Callable, Collection, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.functions.common import date_id, is_paid, last_year, latest_per_key, shift
-from bazaarlake.operators import ads, dim, dwd, dws, quality
+from bazaarlake.functions.common import date_id, is_paid, last_year, latest_per_key, present, shift
+from bazaarlake.operators import activity, ads, dim, dwd, dws, quality
+from bazaarlake.sources.arrivals import KEY, Ledger
+from bazaarlake.sources.bucketed import read_bucketed, stored_buckets, write_bucketed
 from bazaarlake.sources.files import (
     created_on,
     read_partition,
@@ -37,6 +44,7 @@ MAY_BE_EMPTY = (
     "dwd/dwd_payment_info",
     "dwd/dwd_order_refund",
     "dwd/dwd_action",
+    "dws/dws_user_action_days",
     "ads/ads_conversion_rate",
     "ads/ads_user_activity",
     "ads/ads_user_retention",
@@ -45,6 +53,39 @@ MAY_BE_EMPTY = (
 )
 
 
+# Buckets of the open users, taken on the first day: not fewer than the cluster's shuffle partitions.
+BUCKETS = 64
+
+# Feeds of events and the column that dates them.
+EVENTS = {
+    "order_detail": "create_time",
+    "order_refund_info": "create_time",
+    "payment_info": "create_time",
+    "action_page_view": "action_time",
+    "action_favor_add": "create_time",
+    "action_cart_add": "create_time",
+    "action_order": "create_time",
+}
+ACTIONS = ("action_page_view", "action_favor_add", "action_cart_add", "action_order")
+# What a fact needs besides its day to be more than a damaged row.
+NEEDED = {
+    "order_detail": ("id", "order_id", "sku_id"),
+    "order_refund_info": ("order_id",),
+    "payment_info": ("order_id",),
+    **{feed: ("user_id",) for feed in ACTIONS},
+}
+FACTS = {
+    "dwd_order_detail": ("order_detail",),
+    "dwd_order_refund": ("order_refund_info",),
+    "dwd_payment_info": ("payment_info",),
+    "dwd_action": ACTIONS,
+}
+
+
+# Masks of the days on which users were active, and the facts they come from.
+ACTIVE_DAYS = {"dws_user_order_days": "dwd_order_info", "dws_user_action_days": "dwd_action"}
+
+
 class MissingInput(RuntimeError):
     """A raw table was not delivered, or the day before has not run."""
 
@@ -58,6 +99,7 @@ class DailyRun:
         biz_date: str,
         first_day: bool = False,
         not_delivered: Collection[str] = (),
+        buckets: int = BUCKETS,
     ):
         self.spark = spark
         self.raw_root = raw_root
@@ -65,8 +107,10 @@ class DailyRun:
         self.dt = biz_date
         self.first_day = first_day
         self.not_delivered = frozenset(not_delivered)
+        self.buckets = buckets
         self.written: list[str] = []
         self.touched: list[str] = []
+        self.late: dict[str, list[str]] = {}
 
     # Tables -------------------------------------------------------------
 
@@ -91,6 +135,41 @@ class DailyRun:
         order = [c for c in ("operate_time", time) if c in rows.columns]
         return latest_per_key(rows, ["id"], order)
 
+    def ledger(self, feed: str) -> Ledger:
+        return Ledger(self.spark, self.path("arrivals", feed), raw_schema(feed))
+
+    def arrive(self, feed: str) -> DataFrame:
+        """Record the feed's new rows. Returns those that land today: all rows of the business day,
+        and rows of earlier days that arrived today, with dt and seen."""
+        ledger = self.ledger(feed)
+        self.late[feed] = []
+        if feed not in self.not_delivered or ledger.started():
+            days = ledger.record(self.raw(feed), self.dt, EVENTS[feed])
+            self.late[feed] = [d for d in days if d < self.dt]
+        return self._landing(ledger.rows())
+
+    def _landing(self, rows: DataFrame) -> DataFrame:
+        back = (F.col("seen") == self.dt) & (F.col("dt") < self.dt)
+        return rows.where((F.col("dt") == self.dt) | back)
+
+    def land(self, table: str, facts: DataFrame) -> None:
+        """Facts into the folders of their days. An earlier day keeps what arrived on other
+        days; what a former run of today put there goes."""
+        path = self.path("dwd", table)
+        facts = facts.drop(KEY).withColumnRenamed("seen", "arrived_on")
+        self.save("dwd", table, facts.where(F.col("dt") == self.dt))
+        days = sorted({d for feed in FACTS[table] for d in self.late[feed]})
+        if not days:
+            return
+        stored = read_table(self.spark, path).where(F.col("dt").isin(*days))
+        kept = stored.where(F.col("arrived_on") != self.dt)
+        late = facts.where(F.col("dt") < self.dt).select(*stored.columns)
+        both = kept.unionByName(late)
+        left = {r["dt"] for r in both.select("dt").distinct().collect()}
+        write_partitions(both, path)
+        for day in set(days) - left:
+            write_partition(self.spark.createDataFrame([], stored.schema), path, day)
+
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
 
@@ -123,14 +202,7 @@ class DailyRun:
 
     def run_dim(self) -> None:
         users = latest_per_key(self.raw("user_info"), ["id"], ["operate_time", "create_time"])
-        zipper = self.yesterday("dim", "dim_user")
-        self.save(
-            "dim",
-            "dim_user",
-            dim.dim_user_init(users, self.dt)
-            if zipper is None
-            else dim.dim_user_zip_update(zipper, users, self.dt),
-        )
+        self._zip_users(users)
         self.save("dim", "dim_user_scd1", dim.dim_user_scd1(users, ["create_time"]))
         brands = self.save("dim", "dim_brand", dim.dim_brand(self.raw("base_trademark")))
         c1 = self.save("dim", "dim_category1", dim.dim_category1(self.raw("base_category1")))
@@ -144,29 +216,45 @@ class DailyRun:
         provinces = dim.dim_province(self.raw("base_province"), self.raw("base_region"))
         self.save("dim", "dim_province", provinces)
 
+    def _zip_users(self, users: DataFrame) -> None:
+        """The user zipper: open versions bucketed by id in a table of the day, closed ones once, in
+        the folder of the day they end."""
+        path, closed_path = self.path("dim", "dim_user_open"), self.path("dim", "dim_user_closed")
+        if self.first_day:
+            first = dim.dim_user_init(users, self.dt).repartition(self.buckets, "id")
+            write_bucketed(first, path, self.dt, "id", self.buckets)
+            return
+        before = shift(self.dt, -1)
+        open_users = read_bucketed(self.spark, path, before, "id")
+        if open_users is None:
+            raise MissingInput(f"dim/dim_user_open of {before} is missing: run that day, or start with first_day")
+        # The number of buckets stays what it was on the first day.
+        buckets = stored_buckets(self.spark, path, before)
+        known, new, closed = dim.dim_user_open_update(open_users, users, self.dt)
+        write_bucketed(known, path, self.dt, "id", buckets)
+        write_bucketed(new.repartition(buckets, "id"), path, self.dt, "id", buckets, append=True)
+        write_partition(closed, closed_path, before)
+
+    def open_users(self) -> DataFrame:
+        return read_bucketed(self.spark, self.path("dim", "dim_user_open"), self.dt, "id")
+
     def run_dwd(self) -> None:
         sku_dim = self.load("dim", "dim_sku_full").drop("dt", "create_time", "price")
         header, late = self._orders()
-        details = dwd.dwd_order_detail(self.facts("order_detail"), sku_dim)
-        self.save("dwd", "dwd_order_detail", self._with_header(details, header))
-        refunds = self.facts("order_refund_info")
         orders = header.withColumnRenamed("order_id", "id")
-        self.save("dwd", "dwd_order_refund", dwd.dwd_order_refund(refunds, orders, sku_dim))
-        payments = self.facts("payment_info").drop("user_id")
+        lines = dwd.dwd_order_detail(self.arrive("order_detail"), sku_dim)
+        self.land("dwd_order_detail", self._with_header(lines, header))
+        refunds = self.arrive("order_refund_info")
+        self.land("dwd_order_refund", dwd.dwd_order_refund(refunds, orders, sku_dim))
+        payments = self.arrive("payment_info").drop("user_id")
         paid_by = header.select("order_id", "user_id")
-        self.save(
-            "dwd",
+        self.land(
             "dwd_payment_info",
             dwd.dwd_payment_info(payments, orders).join(paid_by, "order_id", "left"),
         )
-        action_feeds = [
-            self.facts("action_page_view", "action_time"),
-            self.facts("action_favor_add"),
-            self.facts("action_cart_add"),
-            self.facts("action_order"),
-        ]
-        self.save("dwd", "dwd_action", dwd.dwd_action(*action_feeds, sku_dim))
-        self.touched = self._carry_back(header, late)
+        self.land("dwd_action", dwd.dwd_action(*[self.arrive(feed) for feed in ACTIONS], sku_dim))
+        days = self._carry_back(header, late)
+        self.touched = sorted({*days, *(d for late_days in self.late.values() for d in late_days)})
 
     @staticmethod
     def _with_header(lines: DataFrame, header: DataFrame) -> DataFrame:
@@ -181,7 +269,7 @@ class DailyRun:
     def _enriched(self, orders: DataFrame) -> DataFrame:
         return dwd.dwd_order_info(
             orders,
-            self.load("dim", "dim_user").drop("dt"),
+            self.open_users(),
             self.load("dim", "dim_province").drop("dt"),
         )
 
@@ -224,40 +312,38 @@ class DailyRun:
         old = read_table(self.spark, path).where(F.col("dt").isin(*days))
         kept = old.join(late.select("id"), "id", "left_anti")
         write_partitions(kept.unionByName(new, allowMissingColumns=True), path)
-        # Lines lie on their order's day or after it.
-        path = self.path("dwd", "dwd_order_detail")
-        lines = read_table(self.spark, path, min(days), shift(self.dt, -1))
-        of_late = lines.join(late.select(F.col("id").alias("order_id")), "order_id", "left_semi")
+        # The ledger names the days on which lines of these orders lie.
+        known = self.ledger("order_detail").rows().where(F.col("dt") < self.dt).select("order_id", "dt")
+        of_late = known.join(late.select(F.col("id").alias("order_id")), "order_id", "left_semi")
         line_days = {r[0] for r in of_late.select("dt").distinct().collect()}
         if line_days:
-            stale = lines.where(F.col("dt").isin(*line_days)).drop("user_id", "province_id", "is_paid")
+            path = self.path("dwd", "dwd_order_detail")
+            lines = read_table(self.spark, path).where(F.col("dt").isin(*line_days))
+            stale = lines.drop("user_id", "province_id", "is_paid")
             columns = lines.columns
             write_partitions(self._with_header(stale, header).select(*columns), path)
         return sorted(days | line_days)
 
     def run_dws(self) -> None:
-        for name, df in self._aggregates(self.dt).items():
+        for name, df in self._aggregates([self.dt]).items():
             self.save("dws", name, df)
-        first = dws.update_first_days(
-            self.yesterday("dws", "dws_user_first_order"), self.load("dwd", "dwd_order_info").drop("dt")
-        )
+        # Days with late rows set their bits again, an earlier first day included.
+        days = [*self.touched, self.dt]
+        for name, table in ACTIVE_DAYS.items():
+            masks = activity.update_masks(self.yesterday("dws", name), self._days(table, days), self.dt)
+            self.save("dws", name, masks)
         if self.touched:
-            # An order that was delivered late may be its buyer's first.
-            late = self._days("dwd_order_info", self.touched).drop("dt")
-            first = dws.update_first_days(first, late)
-        self.save("dws", "dws_user_first_order", first)
-        for day in self.touched:
-            for name, df in self._aggregates(day).items():
-                write_partition(df, self.path("dws", name), day)
-
-    def _days(self, table: str, days: list[str]) -> DataFrame:
+            for name, df in self._aggregates(self.touched).items():
+                write_partitions(df.withColumn("dt", F.col("date_id")), self.path("dws", name))
+
+    def _days(self, table: str, days: Sequence[str]) -> DataFrame:
         return read_table(self.spark, self.path("dwd", table)).where(F.col("dt").isin(*days))
 
-    def _aggregates(self, day: str) -> dict[str, DataFrame]:
-        """The daily tables of one day, from the details of that day."""
+    def _aggregates(self, days: Sequence[str]) -> dict[str, DataFrame]:
+        """The daily tables of some days, from the details of those days."""
 
         def of(table: str) -> DataFrame:
-            return self._days(table, [day]).drop("dt")
+            return self._days(table, days).drop("dt")
 
         orders, lines = of("dwd_order_info"), of("dwd_order_detail")
         refunds, actions = of("dwd_order_refund"), of("dwd_action")
@@ -290,7 +376,9 @@ class DailyRun:
                 lines, refunds, self.dt
             ),
             "ads_user_repurchase_rate": lambda: ads.ads_user_repurchase_rate(orders, self.dt),
-            "ads_user_activity": lambda: ads.ads_user_activity(actions, self.dt),
+            "ads_user_activity": lambda: activity.user_activity(
+                self.load("dws", "dws_user_action_days"), self.dt
+            ),
             "ads_conversion_rate": lambda: ads.ads_conversion_rate(
                 self._paid_actions(actions, orders), self.dt
             ),
@@ -300,15 +388,11 @@ class DailyRun:
                 ),
                 self.dt,
             ),
-            "ads_user_retention": lambda: ads.ads_user_retention(
-                self.load_days("dwd", "dwd_order_info", month + 1),
-                self.dt,
-                firsts=self.load("dws", "dws_user_first_order").drop("dt"),
+            "ads_user_retention": lambda: activity.user_retention(
+                self.load("dws", "dws_user_order_days"), self.dt
             ),
-            "ads_user_retention_detail": lambda: ads.ads_user_retention_detail(
-                self.load_days("dwd", "dwd_order_info", 91),
-                self.dt,
-                firsts=self.load("dws", "dws_user_first_order").drop("dt"),
+            "ads_user_retention_detail": lambda: activity.user_retention_detail(
+                self.load("dws", "dws_user_order_days"), self.dt
             ),
             "ads_hot_sku": lambda: ads.ads_hot_sku(lines),
             "ads_gmv_province": lambda: ads.ads_gmv_province(orders, self.dt),
@@ -336,23 +420,50 @@ class DailyRun:
         return ordered.unionByName(actions.where(~is_order))
 
     def check(self) -> DataFrame:
-        """Row counts of the day's tables against the gate: every table needs rows, but for
-        those of events that may not occur. Orders and lines must all have arrived."""
+        """Row counts of the day's tables against the gate: every table needs rows, but for those of
+        events that may not occur. No row of a feed may be unknown to the ledger, and every valid
+        arrival of today must be a fact, whichever day it lies on."""
         tables = {name: self.load(*name.split("/")) for name in self.written}
         minimum = {name: 0 for name in MAY_BE_EMPTY}
-        for name, feed, needed in (
-            ("dwd/dwd_order_info", "order_info", ("id", "user_id")),
-            ("dwd/dwd_order_detail", "order_detail", ("id", "order_id", "sku_id")),
-        ):
-            rows = created_on(self.raw(feed), self.dt)
-            if feed == "order_detail":
-                rows = rows.where((F.col("sku_num") > 0) & (F.col("order_price") >= 0))
-            for column in needed:
-                rows = rows.where(F.col(column).isNotNull() & (F.col(column) != ""))
-            minimum[name] = max(1, rows.select("id").distinct().count())
+        rows = created_on(self.raw("order_info"), self.dt)
+        valid = rows.where(present(rows, "id", "user_id"))
+        minimum["dwd/dwd_order_info"] = max(1, valid.select("id").distinct().count())
+        for table, feeds in FACTS.items():
+            arrived = 0
+            for feed in feeds:
+                ledger = self.ledger(feed)
+                if feed in self.not_delivered and not ledger.started():
+                    continue
+                unseen, days, _ = ledger.unseen(self.raw(feed), "", EVENTS[feed])
+                tables[f"arrivals/{feed}"] = here = self._landing(ledger.rows())
+                valid = present(here, *NEEDED[feed])
+                if feed == "order_detail":
+                    valid = valid & (F.col("sku_num") > 0) & (F.col("order_price") >= 0)
+                rows, facts = here.agg(F.count(F.lit(1)), F.count_if(valid)).first()
+                minimum[f"arrivals/{feed}"] = rows + (unseen.count() if days else 0)
+                arrived += facts
+            late = {d for feed in feeds for d in self.late[feed]}
+            stored = self._days(table, [self.dt, *late]).withColumnRenamed("arrived_on", "seen")
+            tables[f"dwd/{table}"] = self._landing(stored)
+            minimum[f"dwd/{table}"] = arrived
+        minimum["dwd/dwd_order_detail"] = max(1, minimum["dwd/dwd_order_detail"])
         return quality.quality_gate(quality.layer_row_counts(tables), minimum)
 
 
+def user_history(spark: SparkSession, root: str, biz_date: str) -> DataFrame:
+    """The user zipper as of a day: its open versions, and all that were closed until then."""
+    users = read_bucketed(spark, f"{root}/dim/dim_user_open", biz_date, "id")
+    if users is None:
+        raise MissingInput(f"dim/dim_user_open of {biz_date} is missing")
+    try:
+        closed = read_table(spark, f"{root}/dim/dim_user_closed", last=shift(biz_date, -1)).drop("dt")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return users
+        raise
+    return users.unionByName(closed)
+
+
 def run_day(
     spark: SparkSession,
     raw_root: str,
@@ -360,14 +471,16 @@ def run_day(
     biz_date: str,
     first_day: bool = False,
     not_delivered: Collection[str] = (),
+    buckets: int = BUCKETS,
 ) -> list[str]:
     """Run every layer for one day and fail the day if a table misses rows.
 
     first_day starts the history; on any other day the day before must have run.
     not_delivered names raw tables that are known to be absent; any other absent one
-    fails the run before anything is replaced that depends on it.
+    fails the run before anything is replaced that depends on it. buckets is the number of buckets
+    of the open users, which the first day settles.
     """
-    run = DailyRun(spark, raw_root, root, biz_date, first_day, not_delivered)
+    run = DailyRun(spark, raw_root, root, biz_date, first_day, not_delivered, buckets)
     run.run_dim()
     run.run_dwd()
     run.run_dws()

@@ -1208,3 +1208,16 @@ ORACLE["quality_gate"] = f"""
     WITH n AS ({_LAYERS}), g AS (SELECT *, CASE table_name WHEN 'ods_user_info' THEN 1000000000000
       WHEN 'dwd_action' THEN 1000 ELSE 1 END AS min_rows FROM n)
     SELECT table_name, row_count, {big('min_rows')} AS min_rows, row_count >= min_rows AS passed FROM g"""
+# From stored masks the same results as from the days themselves.
+for _name in ("dws_user_retention_day", "ads_user_retention", "ads_user_retention_detail", "ads_user_activity"):
+    ORACLE[f"{_name}_masks"] = ORACLE[_name]
+ORACLE["dws_user_action_days"] = sql(
+    "a",
+    f"""
+    , d AS (SELECT DISTINCT user_id, day FROM a WHERE day <= {BE}),
+    f AS (SELECT *, min(day) OVER (PARTITION BY user_id) AS cohort FROM d)
+    SELECT user_id, strftime(cohort, '%Y-%m-%d') AS create_date,
+           {big("sum(CASE WHEN day - cohort < 63 THEN CAST(1 AS BIGINT) << CAST(day - cohort AS BIGINT) ELSE 0 END)")} AS since_first,
+           {big(f"sum(CASE WHEN {BE} - day < 63 THEN CAST(1 AS BIGINT) << CAST({BE} - day AS BIGINT) ELSE 0 END)")} AS recent
+    FROM f GROUP BY user_id, cohort""",
+)

@@ -3,7 +3,7 @@ from decimal import Decimal
 import pytest
 
 from bazaarlake.operators import quality
-from bazaarlake.plans.daily import MissingInput, run_day
+from bazaarlake.plans.daily import MissingInput, run_day, user_history
 from bazaarlake.sources import files
 from bazaarlake.sources.jdbc import hash_predicates, hour_predicates
 from bazaarlake.sources.schemas import RAW_COLUMNS, raw_schema
@@ -83,7 +83,7 @@ def test_reports_after_two_days(spark, warehouse, rows):
 
 def test_zipper_and_snapshot_continue(spark, warehouse, rows):
     _, root, d1, d2 = warehouse
-    users = files.read_partition(spark, f"{root}/dim/dim_user", d2)
+    users = user_history(spark, root, d2)
     assert rows(users, "id", "user_level", "start_date", "end_date") == [
         ("u1", "1", d1, d1), ("u1", "2", d2, "9999-12-31"), ("u2", "1", d1, "9999-12-31")]
     assert [r["email"] for r in users.where("id = 'u2'").collect()] == [None]
@@ -94,9 +94,11 @@ def test_zipper_and_snapshot_continue(spark, warehouse, rows):
 
 def test_rerun_of_a_day_is_idempotent(spark, warehouse, rows):
     raw, root, _, d2 = warehouse
-    tables = ("dim/dim_user", "dwd/dwd_order_detail", "dws/dws_sku_stats", "ads/ads_gmv_day", "ads/ads_user_retention")
+    tables = ("dim/dim_user_scd1", "dwd/dwd_order_detail", "dws/dws_sku_stats", "ads/ads_gmv_day", "ads/ads_user_retention")
     before = {t: rows(files.read_partition(spark, f"{root}/{t}", d2)) for t in tables}
+    users = rows(user_history(spark, root, d2))
     run_day(spark, raw, root, d2, not_delivered=UNUSED)
+    assert users == rows(user_history(spark, root, d2))
     assert before == {t: rows(files.read_partition(spark, f"{root}/{t}", d2)) for t in tables}
 
 
