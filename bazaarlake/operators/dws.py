@@ -439,26 +439,34 @@ def dws_customer_service_day(tickets: DataFrame) -> DataFrame:
     )
 
 
-def user_sessions(views: DataFrame, time: str, gap_seconds: int = 1800) -> DataFrame:
-    """One row per session: a user's events no more than gap_seconds apart.
-
-    Events of one user in one minute share a session, so they are merged to
-    (user, minute) first; the window then sees at most one row per minute of the
-    log, however many events a user has. gap_seconds must be at least 60.
-    """
+def session_minutes(views: DataFrame, time: str, gap_seconds: int = 1800) -> DataFrame:
+    """(user, minute): events, and the first and last of them in microseconds. Events of one user in
+    one minute share a session, as gap_seconds must be at least 60; a window over a user
+    then sees at most one row per minute of the log, however many events a user has."""
     if gap_seconds < 60:
         raise ValueError("gap_seconds must be at least 60")
     micros = F.unix_micros(F.col(time).cast("timestamp"))
-    minutes = views.groupBy("user_id", F.floor(micros / F.lit(60_000_000)).alias("minute")).agg(
+    return views.groupBy("user_id", F.floor(micros / F.lit(60_000_000)).alias("minute")).agg(
         F.count(F.lit(1)).alias("events"), F.min(micros).alias("first"), F.max(micros).alias("last")
     )
+
+
+def in_sessions(minutes: DataFrame, gap_seconds: int = 1800) -> DataFrame:
+    """The minutes with session_start, the first event of the session they lie in."""
     ordered = Window.partitionBy("user_id").orderBy("minute")
     running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     gap = F.col("first") - F.lag("last").over(ordered)
     starts = F.when(F.coalesce(gap > gap_seconds * 1_000_000, F.lit(True)), F.col("first"))
+    return minutes.withColumn("starts", starts).withColumn(
+        "session_start", F.last("starts", ignorenulls=True).over(running)
+    )
+
+
+def user_sessions(views: DataFrame, time: str, gap_seconds: int = 1800) -> DataFrame:
+    """One row per session: a user's events no more than gap_seconds apart, which must be
+    at least 60."""
     return (
-        minutes.withColumn("starts", starts)
-        .withColumn("session_start", F.last("starts", ignorenulls=True).over(running))
+        in_sessions(session_minutes(views, time, gap_seconds), gap_seconds)
         .groupBy("user_id", "session_start")
         .agg(F.sum("events").alias("views"), F.max("last").alias("session_end"))
         .withColumn(
@@ -470,9 +478,17 @@ def user_sessions(views: DataFrame, time: str, gap_seconds: int = 1800) -> DataF
 def dws_page_view_day(views: DataFrame, time: str, gap_seconds: int = 1800) -> DataFrame:
     """(day, hour of the session start): views, visitors, sessions, average duration
     and bounce rate."""
+    return page_view_hours(user_sessions(views, time, gap_seconds))
+
+
+def page_view_hours(sessions: DataFrame) -> DataFrame:
+    """dws_page_view_day of sessions (user_id, session_start, session_end, views)."""
     start = F.timestamp_micros("session_start")
-    sessions = user_sessions(views, time, gap_seconds).select(
-        "*",
+    sessions = sessions.select(
+        "user_id",
+        "session_start",
+        "session_end",
+        "views",
         F.date_format(start, "yyyy-MM-dd").alias("date_id"),
         F.hour(start).cast("bigint").alias("hour_id"),
     )

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from bazaarlake.functions.common import date_id, is_paid, last_year, latest_per_key, present, shift
 from bazaarlake.operators import activity, ads, dim, dwd, dws, quality
+from bazaarlake.operators.sessions import as_of, daily_sessions
 from bazaarlake.sources.arrivals import KEY, Ledger
 from bazaarlake.sources.bucketed import read_bucketed, stored_buckets, write_bucketed
 from bazaarlake.sources.files import (
@@ -45,6 +46,8 @@ MAY_BE_EMPTY = (
     "dwd/dwd_order_refund",
     "dwd/dwd_action",
     "dws/dws_user_action_days",
+    "dws/dws_session",
+    "dws/dws_page_view_day",
     "ads/ads_conversion_rate",
     "ads/ads_user_activity",
     "ads/ads_user_retention",
@@ -189,15 +192,30 @@ class DailyRun:
         if self.first_day:
             return None
         before = shift(self.dt, -1)
+        rows = self.stored(layer, table, before)
+        if rows is None:
+            raise MissingInput(
+                f"{layer}/{table} of {before} is missing: run that day, or start with first_day"
+            )
+        return rows
+
+    def stored(self, layer: str, table: str, day: str) -> DataFrame | None:
+        """The table as a day left it; None where that day has not run."""
         try:
-            return read_partition(self.spark, self.path(layer, table), before).drop("dt")
+            return read_partition(self.spark, self.path(layer, table), day).drop("dt")
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
-                raise MissingInput(
-                    f"{layer}/{table} of {before} is missing: run that day, or start with first_day"
-                ) from error
+                return None
             raise
 
+    def replace_days(self, layer: str, table: str, df: DataFrame, days: Collection[str]) -> None:
+        """Replace the folders of some days; those that df has no rows for are empty then. df must
+        not read these folders."""
+        path = self.path(layer, table)
+        for day in days:
+            write_partition(df.limit(0), path, day)
+        write_partitions(df, path)
+
     # Layers -------------------------------------------------------------
 
     def run_dim(self) -> None:
@@ -336,6 +354,63 @@ class DailyRun:
             for name, df in self._aggregates(self.touched).items():
                 write_partitions(df.withColumn("dt", F.col("date_id")), self.path("dws", name))
 
+        self._page_views()
+
+    def _page_views(self) -> None:
+        """Sessions of the day's page views, those open at midnight taken up from the day before,
+        and the hours in which they began. Days with late views are done again, and so
+        is each day after them whose open sessions came out otherwise."""
+        self.yesterday("dws", "dws_session")  # the day before has to have run
+        days = sorted({*self.late["action_page_view"], self.dt})
+        # The first day may bring a whole history, which is one span.
+        starts = self._write_sessions(days[0], self.dt) if self.first_day else set()
+        while days and not self.first_day:
+            first = last = days.pop(0)
+            while days and days[0] == shift(last, 1):
+                last = days.pop(0)
+            before = self._open_digest(last)
+            starts |= self._write_sessions(first, last)
+            if last < self.dt and self._open_digest(last) != before:
+                days.insert(0, shift(last, 1))
+        known = as_of(read_table(self.spark, self.path("dws", "dws_session"), min(starts), self.dt), self.dt)
+        hours = dws.page_view_hours(known.where(F.col("date_id").isin(*starts)))
+        self.replace_days("dws", "dws_page_view_day", hours.withColumn("dt", F.col("date_id")), starts)
+        self.written += ["dws/dws_session", "dws/dws_page_view_day"]
+
+    def _open_digest(self, day: str) -> tuple | None:
+        """Tells the open sessions of a day from others; None if there are none."""
+        rows = self.stored("dws", "dws_session", day)
+        if rows is None:
+            return None
+        key = F.xxhash64("user_id", "session_start", "session_end", "views")
+        n, folded, summed = (
+            rows.where("is_open")
+            .agg(F.count(F.lit(1)), F.bit_xor(key), F.sum(F.pmod(key, F.lit(1 << 31))))
+            .first()
+        )
+        return (n, folded, summed) if n else None
+
+    def _write_sessions(self, first: str, last: str) -> set[str]:
+        """Replace the sessions of the days first to last; returns the days on which sessions begin
+        that were or are among them."""
+        path = self.path("dws", "dws_session")
+        span = [first]
+        while span[-1] < last:
+            span.append(shift(span[-1], 1))
+        starts = {first, last}
+        for day in span:
+            before = self.stored("dws", "dws_session", day)
+            if before is not None:
+                starts |= {r[0] for r in before.select("date_id").distinct().collect()}
+        carried = None
+        if not (self.first_day and last == self.dt):
+            carried = self.stored("dws", "dws_session", shift(first, -1))
+        views = read_table(self.spark, self.path("dwd", "dwd_action"), first, last)
+        views = views.where(F.col("action_code") == "page_view").select("user_id", "action_time")
+        self.replace_days("dws", "dws_session", daily_sessions(carried, views, "action_time", first, last), span)
+        written = read_table(self.spark, path, first, last)
+        return starts | {r[0] for r in written.select("date_id").distinct().collect()}
+
     def _days(self, table: str, days: Sequence[str]) -> DataFrame:
         return read_table(self.spark, self.path("dwd", table)).where(F.col("dt").isin(*days))
 
