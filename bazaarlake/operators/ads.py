@@ -301,10 +301,17 @@ def ads_conversion_funnel(
 
 
 def ads_user_repurchase_rate(
-    orders: DataFrame, biz_date: str, days: Sequence[int] = (7, 30)
+    orders: DataFrame | None,
+    biz_date: str,
+    days: Sequence[int] = (7, 30),
+    daily: DataFrame | None = None,
 ) -> DataFrame:
-    """recent_days: buyers, buyers with at least two orders, orders per buyer."""
-    per_day = orders.groupBy("user_id", "date_id").agg(F.count("id").alias("orders"))
+    """recent_days: buyers, buyers with at least two orders, orders per buyer. Given the
+    daily table of users, orders are not read."""
+    if daily is None:
+        per_day = orders.groupBy("user_id", "date_id").agg(F.count("id").alias("orders"))
+    else:
+        per_day = daily.select("user_id", "date_id", F.col("order_count").alias("orders"))
     per_user = (
         expand_recent_days(per_day, "date_id", biz_date, days)
         .groupBy("recent_days", "user_id")

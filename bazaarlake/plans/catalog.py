@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bazaarlake.functions.common import OPEN_END, last_year, latest_per_key, on_days, shift
-from bazaarlake.operators import activity, ads, batch, behavior, dim, dwd, dws, quality
+from bazaarlake.operators import activity, ads, batch, behavior, bitmaps, dim, dwd, dws, quality
 from bazaarlake.sources.files import created_on
 from bazaarlake.sources.sample import (
     EVENT_DAY,
@@ -529,6 +529,21 @@ def ads_gmv_day(s: Sample) -> DataFrame:
     return ads.ads_gmv_day(_orders(s, MONTH), ORDER_DAY, s.refunds(MONTH))
 
 
+@query
+def ads_gmv_day_bitmaps(s: Sample) -> DataFrame:
+    """The same report from daily sums and daily sets of buyers and refunded orders."""
+    orders, refunds = _orders(s, MONTH), s.refunds(MONTH)
+    users = bitmaps.new_numbers(None, orders, "user_id")
+    returned = bitmaps.new_numbers(None, refunds, "order_id")
+    return bitmaps.gmv_day(
+        bitmaps.order_totals(orders),
+        bitmaps.order_users(orders, users),
+        bitmaps.refund_totals(refunds),
+        bitmaps.refunded_orders(refunds, returned),
+        ORDER_DAY,
+    )
+
+
 @query
 def ads_user_retention(s: Sample) -> DataFrame:
     return ads.ads_user_retention(s.actions(), EVENT_DAY)
@@ -602,6 +617,12 @@ def ads_user_repurchase_rate(s: Sample) -> DataFrame:
     return ads.ads_user_repurchase_rate(_orders(s, MONTH), ORDER_DAY)
 
 
+@query
+def ads_user_repurchase_rate_daily(s: Sample) -> DataFrame:
+    """The same report from the daily table of users."""
+    return ads.ads_user_repurchase_rate(None, ORDER_DAY, daily=dws.dws_user_day(_orders(s, MONTH)))
+
+
 @query
 def ads_user_activity(s: Sample) -> DataFrame:
     return ads.ads_user_activity(s.actions(MONTH), EVENT_DAY)

@@ -26,11 +26,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlake.functions.common import date_id, is_paid, last_year, latest_per_key, present, shift
-from bazaarlake.operators import activity, ads, dim, dwd, dws, quality
+from bazaarlake.operators import activity, ads, bitmaps, dim, dwd, dws, quality
 from bazaarlake.operators.sessions import as_of, daily_sessions
 from bazaarlake.sources.arrivals import KEY, Ledger
 from bazaarlake.sources.bucketed import read_bucketed, stored_buckets, write_bucketed
 from bazaarlake.sources.files import (
+    append_partition,
     created_on,
     read_partition,
     read_raw,
@@ -48,6 +49,8 @@ MAY_BE_EMPTY = (
     "dws/dws_user_action_days",
     "dws/dws_session",
     "dws/dws_page_view_day",
+    "dws/dws_refund_total",
+    "dws/dws_refunded_orders",
     "ads/ads_conversion_rate",
     "ads/ads_user_activity",
     "ads/ads_user_retention",
@@ -88,6 +91,12 @@ FACTS = {
 # Masks of the days on which users were active, and the facts they come from.
 ACTIVE_DAYS = {"dws_user_order_days": "dwd_order_info", "dws_user_action_days": "dwd_action"}
 
+# Dense numbers for bitmaps: the key that is numbered, and the facts it comes from.
+NUMBERS = {
+    "dim_buyer_number": ("user_id", "dwd_order_info"),
+    "dim_refunded_order_number": ("order_id", "dwd_order_refund"),
+}
+
 
 class MissingInput(RuntimeError):
     """A raw table was not delivered, or the day before has not run."""
@@ -342,7 +351,23 @@ class DailyRun:
             write_partitions(self._with_header(stale, header).select(*columns), path)
         return sorted(days | line_days)
 
+    def _number(self, days: Sequence[str]) -> None:
+        """Number the keys that some days bring for the first time, in the folder of today. Numbers are
+        only ever added, so a rerun changes none."""
+        for name, (key, table) in NUMBERS.items():
+            new = bitmaps.new_numbers(self._numbers(name), self._days(table, days), key)
+            append_partition(new, self.path("dim", name), self.dt)
+
+    def _numbers(self, name: str) -> DataFrame | None:
+        try:
+            return read_table(self.spark, self.path("dim", name)).drop("dt")
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+
     def run_dws(self) -> None:
+        self._number([*self.touched, self.dt])
         for name, df in self._aggregates([self.dt]).items():
             self.save("dws", name, df)
         # Days with late rows set their bits again, an earlier first day included.
@@ -432,17 +457,29 @@ class DailyRun:
             "dws_order_day": dws.dws_order_day(orders, refunds),
             "dws_user_day": dws.dws_user_day(orders),
             "dws_sku_day": dws.dws_sku_day(lines),
+            "dws_order_total": bitmaps.order_totals(orders),
+            "dws_order_users": bitmaps.order_users(orders, self._numbers("dim_buyer_number")),
+            "dws_refund_total": bitmaps.refund_totals(refunds),
+            "dws_refunded_orders": bitmaps.refunded_orders(
+                refunds, self._numbers("dim_refunded_order_number")
+            ),
         }
 
-    def run_ads(self) -> None:
+    def reports(self) -> dict[str, Callable[[], DataFrame]]:
         """Reports read the month they need; only days in that range are scanned."""
         month = 30
         orders = self.load_days("dwd", "dwd_order_info", month)
         lines = self.load_days("dwd", "dwd_order_detail", month)
         refunds = self.load_days("dwd", "dwd_order_refund", month)
         actions = self.load_days("dwd", "dwd_action", month).withColumn("is_paid", F.lit(0))
-        reports: dict[str, Callable[[], DataFrame]] = {
-            "ads_gmv_day": lambda: ads.ads_gmv_day(orders, self.dt, refunds),
+        return {
+            "ads_gmv_day": lambda: bitmaps.gmv_day(
+                self.load_days("dws", "dws_order_total", month),
+                self.load_days("dws", "dws_order_users", month),
+                self.load_days("dws", "dws_refund_total", month),
+                self.load_days("dws", "dws_refunded_orders", month),
+                self.dt,
+            ),
             "ads_sku_sales_rank": lambda: ads.ads_sku_sales_rank(
                 None, self.dt, daily=self.load_days("dws", "dws_sku_stats", month)
             ),
@@ -450,7 +487,9 @@ class DailyRun:
             "ads_category_sale_analysis": lambda: ads.ads_category_sale_analysis(
                 lines, refunds, self.dt
             ),
-            "ads_user_repurchase_rate": lambda: ads.ads_user_repurchase_rate(orders, self.dt),
+            "ads_user_repurchase_rate": lambda: ads.ads_user_repurchase_rate(
+                None, self.dt, daily=self.load_days("dws", "dws_user_day", month)
+            ),
             "ads_user_activity": lambda: activity.user_activity(
                 self.load("dws", "dws_user_action_days"), self.dt
             ),
@@ -477,7 +516,9 @@ class DailyRun:
                 sku_dim=self.load("dim", "dim_sku_full"),
             ),
         }
-        for name, build in reports.items():
+
+    def run_ads(self) -> None:
+        for name, build in self.reports().items():
             self.save("ads", name, build())
 
     @staticmethod

@@ -1211,6 +1211,8 @@ ORACLE["quality_gate"] = f"""
 # From stored masks the same results as from the days themselves.
 for _name in ("dws_user_retention_day", "ads_user_retention", "ads_user_retention_detail", "ads_user_activity"):
     ORACLE[f"{_name}_masks"] = ORACLE[_name]
+ORACLE["ads_gmv_day_bitmaps"] = ORACLE["ads_gmv_day"]
+ORACLE["ads_user_repurchase_rate_daily"] = ORACLE["ads_user_repurchase_rate"]
 ORACLE["dws_user_action_days"] = sql(
     "a",
     f"""

@@ -113,6 +113,11 @@ def write_partition(df: DataFrame, table_path: str, dt: str, fmt: str = "orc") -
     )
 
 
+def append_partition(df: DataFrame, table_path: str, dt: str, fmt: str = "orc") -> None:
+    """Add rows to one dt of a columnar table, which df may read."""
+    df.write.mode("append").format(fmt).option("compression", "snappy").save(f"{table_path}/dt={dt}")
+
+
 def write_partitions(df: DataFrame, table_path: str, fmt: str = "orc") -> None:
     """Replace the dt partitions df has rows for, and no others. Rows are shuffled by
     dt and a few salts so that one large day is not one writing task."""

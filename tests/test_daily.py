@@ -3,7 +3,7 @@ from decimal import Decimal
 import pytest
 
 from bazaarlake.operators import quality
-from bazaarlake.plans.daily import MissingInput, run_day, user_history
+from bazaarlake.plans.daily import DailyRun, MissingInput, run_day, user_history
 from bazaarlake.sources import files
 from bazaarlake.sources.jdbc import hash_predicates, hour_predicates
 from bazaarlake.sources.schemas import RAW_COLUMNS, raw_schema
@@ -81,6 +81,16 @@ def test_reports_after_two_days(spark, warehouse, rows):
     assert rows(funnel, "visit_count", "order_count", "payment_count") == [(1, 1, 1)]
 
 
+def test_reports_of_daily_tables_read_no_fact(spark, warehouse, rows):
+    raw, root, d1, d2 = warehouse
+    reports = DailyRun(spark, raw, root, d2).reports()
+    for name in ("ads_gmv_day", "ads_user_repurchase_rate", "ads_user_activity", "ads_user_retention"):
+        files_read = reports[name]().inputFiles()
+        assert files_read and not any("/dwd/" in f for f in files_read)
+    numbers = files.read_table(spark, f"{root}/dim/dim_buyer_number")
+    assert rows(numbers, "user_id", "number", "dt") == [("u1", 0, d1), ("u2", 1, d1)]
+
+
 def test_zipper_and_snapshot_continue(spark, warehouse, rows):
     _, root, d1, d2 = warehouse
     users = user_history(spark, root, d2)
