@@ -20,6 +20,7 @@ the aggregates of the days they lie in.
 from __future__ import annotations
 
 from collections.abc import Callable, Collection, Sequence
+from math import ceil
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +40,7 @@ from bazaarlake.sources.files import (
     write_partition,
     write_partitions,
 )
+from bazaarlake.sources.quarantine import Profile, Rules, quarantine
 from bazaarlake.sources.schemas import raw_schema
 
 # Tables of events that need not occur on a day, and reports over them.
@@ -80,6 +82,20 @@ NEEDED = {
     "payment_info": ("order_id",),
     **{feed: ("user_id",) for feed in ACTIONS},
 }
+# What the raw lines of each table are checked for.
+RAW_RULES = {
+    **{feed: Rules(needed, time=EVENTS[feed]) for feed, needed in NEEDED.items()},
+    "order_detail": Rules(
+        NEEDED["order_detail"], {"sku_num": "sku_num > 0", "order_price": "order_price >= 0"}, EVENTS["order_detail"]
+    ),
+    "order_info": Rules(("id", "user_id"), time="create_time"),
+    **{t: Rules(("id",)) for t in ("user_info", "sku_info", "base_province", "base_region")},
+    **{t: Rules(("id",)) for t in ("base_category1", "base_category2", "base_category3")},
+    "base_trademark": Rules(("tm_id",)),
+}
+# The share of a table's lines that may be rejected before the gate stops the day.
+MAX_REJECTED = 0.5
+
 FACTS = {
     "dwd_order_detail": ("order_detail",),
     "dwd_order_refund": ("order_refund_info",),
@@ -112,6 +128,7 @@ class DailyRun:
         first_day: bool = False,
         not_delivered: Collection[str] = (),
         buckets: int = BUCKETS,
+        max_rejected: float = MAX_REJECTED,
     ):
         self.spark = spark
         self.raw_root = raw_root
@@ -120,6 +137,8 @@ class DailyRun:
         self.first_day = first_day
         self.not_delivered = frozenset(not_delivered)
         self.buckets = buckets
+        self.max_rejected = max_rejected
+        self.raw_profile: dict[str, Profile] = {}
         self.written: list[str] = []
         self.touched: list[str] = []
         self.late: dict[str, list[str]] = {}
@@ -227,6 +246,20 @@ class DailyRun:
 
     # Layers -------------------------------------------------------------
 
+    def run_raw(self) -> None:
+        """Damaged lines of the day's raw tables go to quarantine/raw, with their reasons."""
+        tables = {t: (raw_schema(t), rules) for t, rules in RAW_RULES.items() if t not in self.not_delivered}
+        for table in tables:
+            self.raw(table)  # has to be there
+        self.raw_profile = quarantine(self.spark, self.raw_root, tables, self.path("quarantine", "raw"), self.dt)
+
+    def raw_gate(self) -> DataFrame:
+        """Sound lines of each raw table against those it needs."""
+        sound = [(f"raw/{t}", p.rows - p.rejected) for t, p in self.raw_profile.items()]
+        counts = self.spark.createDataFrame(sound, "table_name string, row_count bigint")
+        least = {f"raw/{t}": ceil(p.rows * (1 - self.max_rejected)) for t, p in self.raw_profile.items()}
+        return quality.quality_gate(counts, least)
+
     def run_dim(self) -> None:
         users = latest_per_key(self.raw("user_info"), ["id"], ["operate_time", "create_time"])
         self._zip_users(users)
@@ -588,15 +621,19 @@ def run_day(
     first_day: bool = False,
     not_delivered: Collection[str] = (),
     buckets: int = BUCKETS,
+    max_rejected: float = MAX_REJECTED,
 ) -> list[str]:
     """Run every layer for one day and fail the day if a table misses rows.
 
     first_day starts the history; on any other day the day before must have run.
     not_delivered names raw tables that are known to be absent; any other absent one
     fails the run before anything is replaced that depends on it. buckets is the number of buckets
-    of the open users, which the first day settles.
+    of the open users, which the first day settles. A raw table of which more than the share max_rejected
+    of its lines is rejected stops the run at once; damaged lines are in quarantine/raw.
     """
-    run = DailyRun(spark, raw_root, root, biz_date, first_day, not_delivered, buckets)
+    run = DailyRun(spark, raw_root, root, biz_date, first_day, not_delivered, buckets, max_rejected)
+    run.run_raw()
+    quality.assert_quality(run.raw_gate())
     run.run_dim()
     run.run_dwd()
     run.run_dws()

@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bazaarlake.functions.common import null_text_to_null, shift
+from bazaarlake.functions.common import shift
 
-# The NULL marker of the text tables and their separator.
+# The NULL marker of the text tables, the word other exports print, the separator.
 NULL_MARKER = "\\N"
+NULL_WORD = "NULL"
 SEPARATOR = "\t"
 
 
@@ -81,24 +82,37 @@ def write_raw(df: DataFrame, table_path: str, dt: str, compression: str = "none"
     )
 
 
-def read_raw(
-    spark: SparkSession, table_path: str, schema: T.StructType, dt: str | None = None
-) -> DataFrame:
-    """Text table with a declared schema; NULL is \\N, or the word a plain export
-    prints. Fields a line does not have, and values that are none of their type, are NULL.
-    With dt only that folder is read."""
+def raw_lines(spark: SparkSession, table_path: str, dt: str | None = None) -> DataFrame:
+    """value, dt: the lines of a text table, with dt only that folder is read."""
     if dt is None:
-        lines = spark.read.option("basePath", table_path).text(table_path)
-    else:
-        lines = spark.read.text(f"{table_path}/dt={dt}").withColumn("dt", F.lit(dt))
-    parts = F.split("value", SEPARATOR, -1)
+        return spark.read.option("basePath", table_path).text(table_path)
+    return spark.read.text(f"{table_path}/dt={dt}").withColumn("dt", F.lit(dt))
+
+
+def raw_parts() -> Column:
+    return F.split("value", SEPARATOR, -1)
+
+
+def raw_fields(schema: T.StructType) -> list[Column]:
+    """The typed fields of a line in column value; the word a plain export prints for NULL is NULL."""
     fields = []
     for i, field in enumerate(schema.fields):
-        written = F.get(parts, F.lit(i))
+        written = F.get(raw_parts(), F.lit(i))
         value = F.when(written != NULL_MARKER, _unescaped(written))
-        typed = value if isinstance(field.dataType, T.StringType) else value.try_cast(field.dataType)
+        text = isinstance(field.dataType, T.StringType)
+        typed = F.nullif(value, F.lit(NULL_WORD)) if text else value.try_cast(field.dataType)
         fields.append(typed.alias(field.name))
-    return null_text_to_null(lines.select(*fields, *(["dt"] if "dt" in lines.columns else [])))
+    return fields
+
+
+def read_raw(
+    spark: SparkSession, table_path: str, schema: T.StructType, dt: str | None = None
+) -> DataFrame:
+    """Text table with a declared schema; NULL is \\N, or the word a plain export
+    prints. Fields a line does not have, and values that are none of their type, are NULL;
+    sources.quarantine tells which. With dt only that folder is read."""
+    lines = raw_lines(spark, table_path, dt)
+    return lines.select(*raw_fields(schema), *(["dt"] if "dt" in lines.columns else []))
 
 
 def write_partition(df: DataFrame, table_path: str, dt: str, fmt: str = "orc") -> None:
