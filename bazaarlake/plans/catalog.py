@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bazaarlake.functions.common import OPEN_END, last_year, latest_per_key, on_days, shift
-from bazaarlake.operators import activity, ads, batch, behavior, bitmaps, dim, dwd, dws, quality
+from bazaarlake.operators import activity, ads, batch, behavior, bitmaps, dim, dwd, dws, quality, quantiles
 from bazaarlake.sources.files import created_on
 from bazaarlake.sources.sample import (
     EVENT_DAY,
@@ -835,6 +835,12 @@ def order_amount_summary(s: Sample) -> DataFrame:
     return batch.order_amount_summary(s.order_info())
 
 
+@query
+def order_amount_windows(s: Sample) -> DataFrame:
+    """Quartiles of the last 1, 7 and 30 days from daily counts per amount."""
+    return quantiles.amount_windows(quantiles.daily_amounts(_orders(s, MONTH)), ORDER_DAY)
+
+
 # Behaviour log ------------------------------------------------------------
 
 

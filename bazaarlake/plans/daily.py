@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlake.functions.common import date_id, is_paid, last_year, latest_per_key, present, shift
-from bazaarlake.operators import activity, ads, bitmaps, dim, dwd, dws, quality
+from bazaarlake.operators import activity, ads, bitmaps, dim, dwd, dws, quality, quantiles
 from bazaarlake.operators.sessions import as_of, daily_sessions
 from bazaarlake.sources.arrivals import KEY, Ledger
 from bazaarlake.sources.bucketed import read_bucketed, stored_buckets, write_bucketed
@@ -491,6 +491,7 @@ class DailyRun:
             "dws_user_day": dws.dws_user_day(orders),
             "dws_sku_day": dws.dws_sku_day(lines),
             "dws_order_total": bitmaps.order_totals(orders),
+            "dws_order_amounts": quantiles.daily_amounts(orders),
             "dws_order_users": bitmaps.order_users(orders, self._numbers("dim_buyer_number")),
             "dws_refund_total": bitmaps.refund_totals(refunds),
             "dws_refunded_orders": bitmaps.refunded_orders(
@@ -513,6 +514,9 @@ class DailyRun:
                 self.load_days("dws", "dws_refunded_orders", month),
                 self.dt,
             ),
+            "ads_order_amounts": lambda: quantiles.amount_windows(
+                self.load_days("dws", "dws_order_amounts", month), self.dt
+            ),
             "ads_sku_sales_rank": lambda: ads.ads_sku_sales_rank(
                 None, self.dt, daily=self.load_days("dws", "dws_sku_stats", month)
             ),

@@ -1087,6 +1087,21 @@ ORACLE: dict[str, str] = {
     "order_amount_summary": """SELECT count(*) AS cnt, min(o_totalprice) AS min_amount,
         round(quantile_cont(o_totalprice, 0.25), 2) AS p25, round(quantile_cont(o_totalprice, 0.5), 2) AS p50,
         round(quantile_cont(o_totalprice, 0.75), 2) AS p75, max(o_totalprice) AS max_amount FROM orders""",
+    "order_amount_windows": sql(
+        "o r",
+        f"""
+        , w AS (SELECT k, amt, row_number() OVER (PARTITION BY k ORDER BY amt) - 1 AS i, count(*) OVER (PARTITION BY k) - 1 AS n
+                FROM o JOIN r ON day > {BO} - k AND day <= {BO}),
+        j(name, j) AS (VALUES ('p25', 1), ('p50', 2), ('p75', 3)),
+        p AS (SELECT k, name, round(sum(amt * CAST(CASE i WHEN n * j // 4 THEN 4 - n * j % 4 ELSE n * j % 4 END AS DECIMAL(2,0))
+                                    * CAST(0.25 AS DECIMAL(3,2))), 2) AS v
+              FROM w, j WHERE i = n * j // 4 OR (i = n * j // 4 + 1 AND n * j % 4 > 0) GROUP BY k, name)
+        SELECT {big('w.k')} AS recent_days, count(*) AS cnt, CAST(min(amt) AS DOUBLE) AS min_amount,
+               (SELECT CAST(v AS DOUBLE) FROM p WHERE p.k = w.k AND name = 'p25') AS p25,
+               (SELECT CAST(v AS DOUBLE) FROM p WHERE p.k = w.k AND name = 'p50') AS p50,
+               (SELECT CAST(v AS DOUBLE) FROM p WHERE p.k = w.k AND name = 'p75') AS p75, CAST(max(amt) AS DOUBLE) AS max_amount
+        FROM w GROUP BY w.k""",
+    ),
     # Behaviour log
     "log_clean_adaptive": sql("c", "SELECT * FROM c"),
     "log_clean_strict": sql(
