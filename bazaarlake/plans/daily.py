@@ -285,9 +285,7 @@ class DailyRun:
             write_bucketed(first, path, self.dt, "id", self.buckets)
             return
         before = shift(self.dt, -1)
-        open_users = read_bucketed(self.spark, path, before, "id")
-        if open_users is None:
-            raise MissingInput(f"dim/dim_user_open of {before} is missing: run that day, or start with first_day")
+        open_users = self.open_before()
         # The number of buckets stays what it was on the first day.
         buckets = stored_buckets(self.spark, path, before)
         known, new, closed = dim.dim_user_open_update(open_users, users, self.dt)
@@ -295,6 +293,16 @@ class DailyRun:
         write_bucketed(new.repartition(buckets, "id"), path, self.dt, "id", buckets, append=True)
         write_partition(closed, closed_path, before)
 
+    def open_before(self) -> DataFrame | None:
+        """The open users as the day before left them; None on the first day only."""
+        if self.first_day:
+            return None
+        before = shift(self.dt, -1)
+        users = read_bucketed(self.spark, self.path("dim", "dim_user_open"), before, "id")
+        if users is None:
+            raise MissingInput(f"dim/dim_user_open of {before} is missing: run that day, or start with first_day")
+        return users
+
     def open_users(self) -> DataFrame:
         return read_bucketed(self.spark, self.path("dim", "dim_user_open"), self.dt, "id")
 
@@ -636,6 +644,7 @@ def run_day(
     of its lines is rejected stops the run at once; damaged lines are in quarantine/raw.
     """
     run = DailyRun(spark, raw_root, root, biz_date, first_day, not_delivered, buckets, max_rejected)
+    run.open_before()  # the day before has to have run
     run.run_raw()
     quality.assert_quality(run.raw_gate())
     run.run_dim()
