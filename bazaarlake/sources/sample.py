@@ -19,6 +19,7 @@ from bazaarlake.functions.common import (
     order_status_name,
     shift,
 )
+from bazaarlake.session import bound_tasks
 
 ORDER_DAY = "2000-12-31"
 EVENT_DAY = "2024-01-30"
@@ -42,6 +43,7 @@ class Sample:
         self.spark = spark
         self.path = path
         self._tables: dict[str, DataFrame] = {}
+        self._bounded = False
 
     def table(self, name: str) -> DataFrame:
         """The table's scan; its files are listed once per query."""
@@ -146,13 +148,21 @@ class Sample:
 
     # Order lines --------------------------------------------------------
 
+    def _lineitem(self) -> DataFrame:
+        """The order lines' scan. Their joins and the aggregates over them hold nearly every line as a
+        group of its own; its row count, from the file footers, sets the size of their tasks."""
+        if not self._bounded:
+            bound_tasks(self.spark, self.table("lineitem").count())
+            self._bounded = True
+        return self.table("lineitem")
+
     def order_detail(self, days: int | None = None) -> DataFrame:
         """Order lines; order and line number are no key in the sample, the id may
         repeat. order_price is the line's amount (the sample has no unit price)."""
         header = self._raw_orders(days).select(
             F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").alias("create_time")
         )
-        return self.table("lineitem").join(header, "l_orderkey").select(
+        return self._lineitem().join(header, "l_orderkey").select(
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
             F.col("l_orderkey").alias("order_id"),
             F.col("l_partkey").alias("sku_id"),
@@ -172,7 +182,7 @@ class Sample:
             date_id("create_time").alias("date_id"),
         )
         amount = F.col("l_extendedprice").cast(MONEY)
-        return self.table("lineitem").join(header, "l_orderkey").select(
+        return self._lineitem().join(header, "l_orderkey").select(
             F.col("l_orderkey").alias("order_id"),
             "user_id",
             F.col("l_partkey").alias("sku_id"),
@@ -196,7 +206,7 @@ class Sample:
         """Returned lines as refunds of their whole amount on the day they were shipped: the
         refund's own day, which the window is about. It filters the line's scan; the order
         may be older. order_time is the order's."""
-        lines = self.table("lineitem").where(F.col("l_returnflag") == "R")
+        lines = self._lineitem().where(F.col("l_returnflag") == "R")
         if days is not None:
             lines = lines.where(in_recent_days("l_shipdate", ORDER_DAY, days))
         header = self.order_info().select(
