@@ -1,12 +1,14 @@
 """Content-addressed WARC archive.
 
 write_archive keeps two tables in one folder: `payloads`, the bytes of every distinct payload once,
-under its SHA-256, and `headers`, the exact header bytes of every record with the digest
-of its payload, and the ids and the URL as they were given. read_archive joins them again, verifies each
-stored payload against its digest, rebuilds the records and parses type and digest from their bytes.
+under its SHA-256 and beside the record that keeps it, and `headers`, the exact header bytes of every
+record with the digest of its payload, and the ids and the URL as they were given. read_archive verifies
+each stored payload against its digest, rebuilds the records and parses type and digest from their bytes.
 
 All payload bytes are shuffled once, by record and not by digest, so a payload that a third of
-all pages share is no hot key: which record stores it is settled on (digest, id) alone.
+all pages share is no hot key: which record keeps it is settled on (digest, id, url) alone. The read
+takes a keeping record from the row of its payload; only payloads that several records share
+are shuffled again, once each, to the headers of the others.
 """
 
 from __future__ import annotations
@@ -15,8 +17,9 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from bazaarlake.llm.shared import shared_folder
+from bazaarlake.llm.shared import BOOL, shared_folder, struct
 
 # Digits of conv() in base 32, and the letters of RFC 4648 that stand for them.
 DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
@@ -45,6 +48,26 @@ def _record_id(record: Column, digest: Column) -> Column:
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
 
 
+def _header(response: Column, record: Column, holder: Column, digest: Column, payload: tuple[Column, Column], date: str) -> Column:
+    """The header bytes of a record (id and url); payload is the size and the SHA-1 of its payload."""
+    size, sha1 = payload
+    lines = [
+        F.lit(f"WARC/1.1{CRLF}"),
+        _line("WARC-Type", F.when(response, "response").otherwise("revisit")),
+        _line("WARC-Record-ID", _record_id(record["id"], digest)),
+        _line("WARC-Date", F.lit(date)),
+        _line("WARC-Target-URI", record["url"]),
+        _line("WARC-Page-ID", record["id"]),
+        _line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), sha1)),
+        _line("WARC-Refers-To", F.when(~response, _record_id(holder, digest))),
+        _line("WARC-Refers-To-Page-ID", F.when(~response, holder)),
+        _line("Content-Type", F.lit("text/html")),
+        _line("Content-Length", F.when(response, size).otherwise(F.lit(0))),
+        F.lit(CRLF),
+    ]
+    return F.concat(*lines).cast("binary")
+
+
 def write_archive(
     pages: DataFrame,
     folder: str,
@@ -69,44 +92,41 @@ def write_archive(
         F.col(url_col).alias("url"),
         F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"")).alias("payload"),
     ).withColumn("digest", F.sha2("payload", 256))
-    size = F.octet_length("payload")
+    # Null ids come last. Structs are equal where their nulls are.
+    record = F.struct(F.col("id").isNull().alias("last"), "id", "url").alias("record")
+    size, sha1 = F.octet_length("payload").cast("bigint"), base32_sha1(F.col("payload"))
     # Decided on narrow rows; repeated payloads are combined before they are shuffled.
-    holders = rows.groupBy("digest").agg(F.min("id").alias("holder"))
-    narrow = rows.select(
-        "id", "url", "digest", size.cast("bigint").alias("size"), base32_sha1(F.col("payload")).alias("sha1")
-    )
-    first = F.col("id").eqNullSafe(F.col("holder"))
-    response = first | (F.col("size") < at_least)
-    refers = F.when(~response, F.col("holder"))
-    lines = [
-        F.lit(f"WARC/1.1{CRLF}"),
-        _line("WARC-Type", F.when(response, "response").otherwise("revisit")),
-        _line("WARC-Record-ID", _record_id(F.col("id"), F.col("digest"))),
-        _line("WARC-Date", F.lit(date)),
-        _line("WARC-Target-URI", F.col("url")),
-        _line("WARC-Page-ID", F.col("id")),
-        _line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha1"))),
-        _line("WARC-Refers-To", F.when(~response, _record_id(F.col("holder"), F.col("digest")))),
-        _line("WARC-Refers-To-Page-ID", refers),
-        _line("Content-Type", F.lit("text/html")),
-        _line("Content-Length", F.when(response, F.col("size")).otherwise(F.lit(0))),
-        F.lit(CRLF),
-    ]
+    holders = rows.groupBy("digest").agg(F.min(record).alias("keeper"), F.count("*").alias("records"))
+    narrow = rows.select(record, "digest", size.alias("size"), sha1.alias("sha1"))
+    holder = F.col("keeper.id")
+    response = F.col("record.id").eqNullSafe(holder) | (F.col("size") < at_least)
+    header = _header(response, F.col("record"), holder, F.col("digest"), (F.col("size"), F.col("sha1")), date)
     narrow.join(holders, "digest").select(
-        "id", "url", refers.alias("refers_to"), "digest", F.concat(*lines).cast("binary").alias("header")
+        "record.id",
+        "record.url",
+        F.when(~response, holder).alias("refers_to"),
+        "digest",
+        (F.col("record") == F.col("keeper")).alias("kept"),
+        header.alias("header"),
     ).write.mode("overwrite").parquet(f"{folder}/headers")
-    # The record that stores a payload: joined by digest and id, which no group of copies shares. Rows
-    # that repeat both are combined where the join has put them.
-    key = F.when(F.col("id").isNull(), "").otherwise(F.concat(F.lit("="), F.col("id").cast("string")))
-    keeper = holders.select("digest", F.col("holder").alias("id")).select("digest", key.alias("key"))
+    # The record that keeps a payload: joined by digest, id and url, which no group of copies shares. Rows
+    # that repeat all three are combined where the join has put them.
     once = (
-        rows.select("digest", key.alias("key"), "payload")
-        .join(keeper, ["digest", "key"], "left_semi")
-        .groupBy("digest", "key")
-        .agg(F.first("payload").alias("payload"))
-        .drop("key")
+        rows.select("digest", record, "payload")
+        .join(holders.withColumnRenamed("keeper", "record"), ["digest", "record"])
+        .groupBy("digest", "record")
+        .agg(F.first("payload").alias("payload"), F.first("records").alias("records"), F.count("*").alias("copies"))
     )
-    once.write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/payloads")
+    header = _header(F.lit(True), F.col("record"), F.lit(None), F.col("digest"), (size, sha1), date)
+    once.select(
+        "digest",
+        "record.id",
+        "record.url",
+        header.alias("header"),
+        "payload",
+        (F.col("copies") > 1).alias("repeated"),
+        (F.col("records") > 1).alias("shared"),
+    ).write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/payloads")
 
 
 def _field(name: str) -> Column:
@@ -119,18 +139,34 @@ def read_archive(spark: SparkSession, folder: str) -> DataFrame:
     """Every record as it was written: id, record (bytes), payload (full, for revisits as well),
     record_type, url, payload_digest, refers_to. A payload that does not have its digest fails the read."""
     headers = spark.read.parquet(f"{folder}/headers")
-    payloads = spark.read.parquet(f"{folder}/payloads")
+    beside = [headers.schema[name] for name in ("digest", "id", "url", "header")]
+    extra = struct(payload=T.BinaryType(), repeated=BOOL, shared=BOOL)
+    payloads = spark.read.schema(T.StructType(beside + extra.fields)).parquet(f"{folder}/payloads")
     verified = payloads.withColumn(
         "payload",
         F.when(F.sha2("payload", 256) == F.col("digest"), F.col("payload")).otherwise(
             F.raise_error(F.concat(F.lit("payload differs from its digest "), F.col("digest"))).cast("binary")
         ),
     )
-    # A left join: a header whose payload is gone fails as well, instead of dropping its record.
-    joined = headers.join(verified, "digest", "left").withColumn(
-        "payload",
-        F.coalesce("payload", F.raise_error(F.concat(F.lit("no payload "), F.col("digest"))).cast("binary")),
+    refers = headers.schema["refers_to"].dataType
+    # The keeping records, from the rows of their payloads, but for those whose very row is repeated.
+    single = ~F.coalesce("repeated", F.lit(False))
+    kept = verified.where(single).withColumn("refers_to", F.lit(None).cast(refers))
+    # The headers of all other records, joined to the payloads these share. A left join: a header whose
+    # payload is gone fails as well, instead of dropping its record, also that of a keeping record.
+    stored = verified.select(
+        "digest", single.alias("single"), F.when(F.col("shared"), F.col("payload")).alias("payload")
+    )
+    others = (
+        headers.join(stored, "digest", "left")
+        .where(~(F.col("kept") & F.coalesce("single", F.lit(False))))
+        .withColumn(
+            "payload",
+            F.coalesce("payload", F.raise_error(F.concat(F.lit("no payload "), F.col("digest"))).cast("binary")),
+        )
     )
+    columns = ["id", "url", "refers_to", "header", "payload"]
+    joined = kept.select(*columns).union(others.select(*columns))
     parsed = joined.withColumn("head", F.col("header").cast("string"))
     body = F.when(_field("WARC-Type") == "response", F.col("payload")).otherwise(F.lit(b""))
     return parsed.select(
